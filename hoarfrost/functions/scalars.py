@@ -124,3 +124,13 @@ def rule_code(text: Column, limit: int = 50) -> Column:
     code = F.upper(F.regexp_replace(F.regexp_replace(text, "[^A-Za-z0-9]+", "_"), "^_+|_+$", ""))
     short = F.concat(F.substring(code, 1, limit - 9), F.lit("_"), F.upper(hash_bucket(8, code)))
     return F.when(F.length(code) > limit, short).otherwise(code)
+
+
+def text_or_empty(*parts: Column | str) -> Column:
+    """Concatenation that takes NULL as empty text."""
+    return F.concat(*[F.coalesce(col(p).cast("string"), F.lit("")) for p in parts])
+
+
+def clean_label(text: Column) -> Column:
+    """Upper-case text with everything but letters and digits turned into underscores."""
+    return F.upper(F.regexp_replace(text, "[^A-Za-z0-9]+", "_"))

@@ -1,4 +1,4 @@
 """All registered queries, collected by importing the modules that declare them."""
 
-from hoarfrost.plans import queries_reports  # noqa: F401
+from hoarfrost.plans import queries_relational, queries_reports  # noqa: F401
 from hoarfrost.plans.registry import ORACLES, QUERIES  # noqa: F401

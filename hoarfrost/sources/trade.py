@@ -9,6 +9,8 @@ All tables are views: a query reads only the columns it needs from the files.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +26,21 @@ from hoarfrost.plans.manufacturing import CALENDAR
 from hoarfrost.plans.manufacturing import MODEL as MANUFACTURING
 from hoarfrost.plans.warehouse import Warehouse
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+# The trade tables and their columns. Declared, so that opening a table
+# reads no file footer.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 # Calendar range, and the day the reports look back from.
 CALENDAR_START, CALENDAR_END = dt.date(1995, 1, 1), dt.date(2024, 12, 31)
@@ -100,7 +116,12 @@ MODEL = WarehouseModel.of(
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    return spark.read.schema(TABLES[table]).parquet(f"{folder}/{table}.parquet")
+
+
+def opened(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:
+    """The trade tables, each opened when first used."""
+    return {name: cache(lambda name=name: read(spark, folder, name)) for name in TABLES}
 
 
 def money(c: str) -> Column:
@@ -128,7 +149,7 @@ def code_key(c: Column, codes: tuple[str, ...]) -> Column:
 
 
 def trade_warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    t = {name: (lambda name=name: read(spark, folder, name)) for name in TABLES}
+    t = opened(spark, folder)
 
     def part() -> DataFrame:
         return t["part"]().select(
@@ -249,7 +270,7 @@ def manufacturing_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """Nations stand for plants and work centers, suppliers for machines, parts for products
     under their sizes, line items for machine, quality and cost rows, orders for incidents,
     events for confirmations."""
-    t = {name: (lambda name=name: read(spark, folder, name)) for name in TABLES}
+    t = opened(spark, folder)
     flags = tuple(f[0] for f in RETURN_FLAGS)
 
     def with_plant(lines: DataFrame) -> DataFrame:
@@ -325,6 +346,7 @@ def manufacturing_warehouse(spark: SparkSession, folder: str) -> Warehouse:
             F.col("value").cast("decimal(19,4)").alias("CostAmount"),
         )
 
+    @cache
     def sizes() -> DataFrame:
         return t["part"]().select(F.col("p_size").alias("size")).distinct()
 
@@ -407,3 +429,77 @@ def manufacturing_warehouse(spark: SparkSession, folder: str) -> Warehouse:
             "ProductionOperationConfirmation": confirmations,
         },
     )
+
+
+def customer_stage(spark: SparkSession, folder: str, until: dt.date, batch_id: int) -> DataFrame:
+    """Customers as a source system knows them on a day: those who have ordered before it,
+    with what they have spent so far as their balance."""
+    spent = (
+        read(spark, folder, "orders")
+        .filter(F.col("o_orderdate") < F.lit(until.isoformat()).cast("timestamp_ntz"))
+        .groupBy("o_custkey")
+        .agg(F.sum(money("o_totalprice")).cast("decimal(18,4)").alias("spent"))
+    )
+    nations = read(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("NationNationCode"))
+    customers = read(spark, folder, "customer").join(spent, F.col("c_custkey") == F.col("o_custkey"))
+    return sized_join(customers, nations, {"c_nationkey": "n_nationkey"}).select(
+        F.col("c_name").alias("CustomerNumber"),
+        F.col("c_mktsegment").alias("MarketSegmentName"),
+        F.col("spent").alias("AccountBalanceAmount"),
+        "NationNationCode",
+        F.lit(batch_id).cast("bigint").alias("BatchId"),
+        (F.col("c_custkey") + 1).alias("RowNumber"),
+    )
+
+
+def supplier_stage(spark: SparkSession, folder: str, until: dt.date, batch_id: int) -> DataFrame:
+    """Suppliers who have shipped before a day, with the value shipped as their balance."""
+    shipped = (
+        read(spark, folder, "lineitem")
+        .filter(F.col("l_shipdate") < F.lit(until.isoformat()).cast("timestamp_ntz"))
+        .groupBy("l_suppkey")
+        .agg(F.sum(money("l_extendedprice")).cast("decimal(18,4)").alias("shipped"))
+    )
+    nations = read(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("NationNationCode"))
+    suppliers = read(spark, folder, "supplier").join(shipped, F.col("s_suppkey") == F.col("l_suppkey"))
+    return sized_join(suppliers, nations, {"s_nationkey": "n_nationkey"}).select(
+        F.col("s_name").alias("SupplierNumber"),
+        F.col("shipped").alias("AccountBalanceAmount"),
+        "NationNationCode",
+        F.lit(batch_id).cast("bigint").alias("BatchId"),
+        (F.col("s_suppkey") + 1).alias("RowNumber"),
+    )
+
+
+def order_stage(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
+    """All orders as staged rows of the order cycle. A pending order names no customer."""
+    wh = trade_warehouse(spark, folder)
+    names = wh["Customer"].select(F.col("CustomerKey").alias("__c"), "CustomerNumber")
+    cycle = sized_join(wh["OrderCycle"], names, {"CustomerKey": "__c"}, "left")
+    priorities = wh["OrderPriority"].select("OrderPriorityKey", "OrderPriorityCode")
+    cycle = sized_join(cycle, priorities, {"OrderPriorityKey": "OrderPriorityKey"}, "left")
+    status = read(spark, folder, "orders").select(F.col("o_orderkey").alias("__o"), "o_orderstatus")
+    cycle = cycle.join(status, F.col("OrderNumber") == F.col("__o"))
+    return cycle.select(
+        "OrderNumber", "TotalAmount", "LineCount", "OrderDateKey", "FirstShipDateKey", "LastShipDateKey",
+        F.when(F.col("o_orderstatus") != "P", F.col("CustomerNumber")).alias("CustomerCustomerNumber"),
+        F.col("OrderPriorityCode").alias("OrderPriorityOrderPriorityCode"),
+        F.lit(batch_id).cast("bigint").alias("BatchId"),
+        (F.col("OrderNumber") + 1).alias("RowNumber"),
+    )
+
+
+def event_stage(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
+    """All events as staged rows, with the customer by number."""
+    wh = trade_warehouse(spark, folder)
+    names = wh["Customer"].select("CustomerKey", F.col("CustomerNumber").alias("CustomerCustomerNumber"))
+    events = sized_join(read(spark, folder, "events"), names, {"user_id": "CustomerKey"}, "left")
+    return events.select(
+        F.col("event_type").alias("EventTypeCode"),
+        money("value").alias("EventAmount"),
+        date_key("ts").alias("EventDateKey"),
+        event_minute("ts").alias("EventTimeOfDayKey"),
+        "CustomerCustomerNumber",
+        F.lit(batch_id).cast("bigint").alias("BatchId"),
+        (F.col("event_id") + 1).alias("RowNumber"),
+    )
