@@ -77,11 +77,12 @@ def with_dense_rank(df: DataFrame, group: list[str], measure: str, out: str, ban
     band, so a group that holds a third of the rows is ranked by many tasks.
     """
     values = df.select(*group, measure).distinct()
-    edges = values.agg(
-        F.percentile_approx(measure, [i / bands for i in range(1, bands)], 10 * bands).alias("e")
-    ).select(F.sort_array(F.array_distinct("e")).alias("e"))
-    # The edges are one array of at most `bands` numbers; any edges give right ranks.
-    band = F.aggregate(edges.scalar(), F.lit(0), lambda n, e: n + (F.col(measure) > e).cast("int"))
+    quantiles = [i / bands for i in range(1, bands)]
+    edges = values.agg(F.percentile_approx(measure, quantiles, 10 * bands)).first()[0] or []
+    # At most `bands` numbers reach the driver. Wherever the edges lie, ranks come out right.
+    marks = F.array(*[F.lit(e) for e in sorted(set(edges))])
+    below = F.size(F.filter(marks, lambda e: e < F.col(measure))) if edges else F.lit(0)
+    band = F.when(F.col(measure).isNotNull(), below)
     banded = values.withColumn("__band", band)
     per_band = banded.groupBy(*group, "__band").agg(F.count(measure).alias("__n"))
     above = Window.partitionBy(*group).orderBy(F.desc("__band")).rowsBetween(Window.unboundedPreceding, -1)
