@@ -59,7 +59,7 @@ def with_share(grouped: DataFrame, value: str, group: list[str], total: str, per
 def with_share_of_totals(df: DataFrame, value: str, group: list[str], total: str, percent: str) -> DataFrame:
     """The same for groups of any size: totals by an aggregate, joined back."""
     totals = df.groupBy(*group).agg(F.sum(value).alias(total))
-    joined = sized_join(df, totals, {g: g for g in group}, "left")
+    joined = sized_join(df, totals, {g: g for g in group}, null_safe=True)
     return joined.withColumn(percent, _percent(value, total))
 
 
@@ -97,14 +97,10 @@ def with_dense_rank(df: DataFrame, group: list[str], measure: str, out: str, ban
     for g in group:
         on = on & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
     ranks = ranked.join(starts, on).select(
-        *[F.col(g).alias(f"__g_{g}") for g in group],
-        F.col(measure).alias("__m"),
-        (F.col("__start") + F.col("__rank")).cast("bigint").alias(out),
+        *group, measure, (F.col("__start") + F.col("__rank")).cast("bigint").alias(out)
     )
-    back = F.col(measure).eqNullSafe(F.col("__m"))
-    for g in group:
-        back = back & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
-    return df.join(ranks, back).drop("__m", *[f"__g_{g}" for g in group])
+    # One value may hold many of the rows; the ranks have it once.
+    return sized_join(df, ranks, {c: c for c in (*group, measure)}, null_safe=True)
 
 
 def top_ranked(df: DataFrame, group: list[str], measure: str, ties: list[str], n: int, out: str) -> DataFrame:

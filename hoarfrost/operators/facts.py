@@ -49,7 +49,11 @@ def lookup_plan(model: WarehouseModel, table: str, staged: list[str]) -> list[Lo
 
 
 def resolve_all(stage: DataFrame, plan: list[Lookup], dims: dict[str, DataFrame], ci_keys: bool = False) -> DataFrame:
-    """Resolve every key of the plan, leaving one miss flag per natural-key lookup."""
+    """Resolve every key of the plan, leaving one miss flag per natural-key lookup.
+
+    Heavy keys are counted in the batch as staged, not behind the lookups already made.
+    """
+    staged = stage
     for look in plan:
         if look.mode == "natural":
             stage = resolve_key(
@@ -62,9 +66,10 @@ def resolve_all(stage: DataFrame, plan: list[Lookup], dims: dict[str, DataFrame]
                 look.current_only,
                 miss=f"{MISS}{look.column}",
                 ci_keys=ci_keys,
+                skew_from=staged,
             )
         elif look.mode == "key":
-            stage = check_key(stage, dims[look.parent], look.column, look.parent_key)
+            stage = check_key(stage, dims[look.parent], look.column, look.parent_key, skew_from=staged)
     return stage
 
 

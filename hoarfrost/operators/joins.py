@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hoarfrost.model import UNKNOWN_KEY
@@ -11,9 +13,9 @@ from hoarfrost.model import UNKNOWN_KEY
 # columns may grow to in memory, stays under the limit.
 BROADCAST_LIMIT = 256 * 1024 * 1024
 EXPANSION = 4
-# Beyond the limit both sides are shuffled on (key, salt): a key that holds a third of the
-# rows, NULL and the unknown key included, is spread over this many tasks.
-SALTS = 32
+# Beyond the limit both sides are shuffled on their key. A key with more rows than this on
+# the left, NULL and the unknown key included, is cut into pieces of about this size.
+HEAVY_ROWS = 5_000_000
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -31,43 +33,62 @@ def sized_join(
     keys: dict[str, str],
     how: str = "inner",
     limit: int | None = None,
-    salts: int = SALTS,
+    heavy_rows: int | None = HEAVY_ROWS,
     size_from: DataFrame | None = None,
+    skew_from: DataFrame | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
-    """Join left rows to a right side that is unique on its keys.
+    """Join left rows to a right side that has few rows per key, one as a rule.
 
     `keys` maps left columns to right columns. The result holds the left columns and the
-    right columns that are not keys. A small right side is broadcast; a larger one is
-    repeated once per salt, which costs `salts` copies of a dimension and saves the skewed
-    shuffle of a fact. Where the left keys are unique too, there is no skew to spread:
-    pass `salts=1` for a plain shuffle join.
+    right columns that are not keys. A small right side is broadcast. With a larger one,
+    both sides are shuffled, and the left's heavy keys are spread over many tasks. Where the
+    left keys are unique there is nothing to spread: pass `heavy_rows=None`.
 
     The planner multiplies sizes at each join, so for a right side that was itself joined
-    to its parents, row by row, `size_from` names the table it has the rows of.
+    to its parents, row by row, `size_from` names the table it has the rows of. `skew_from`
+    names a cheaper frame with the left's keys to count them in.
     """
     names = {r: f"__right_{i}" for i, r in enumerate(keys.values())}
     picked = right.select(
         *[F.col(r).alias(n) for r, n in names.items()],
         *[F.col(c) for c in right.columns if c not in names],
     )
-    on = _all_equal(keys, names)
+    pairs = [(F.col(k), F.col(names[r])) for k, r in keys.items()]
+    on = reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
     if fits_broadcast(picked if size_from is None else size_from, limit):
         joined = left.join(F.broadcast(picked), on, how)
-    elif salts <= 1:
+    elif heavy_rows is None:
         joined = left.join(picked, on, how)
     else:
-        spread = left.withColumn("__salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-        copies = picked.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = spread.join(copies, on & (F.col("__salt") == F.col("__copy")), how).drop("__salt", "__copy")
+        heavy = heavy_keys(left if skew_from is None else skew_from, list(keys), heavy_rows)
+        spread = _mark(left, list(keys), heavy).withColumn(
+            "__salt", F.pmod(F.xxhash64(*left.columns), F.col("__pieces"))
+        )
+        copies = _mark(picked, list(names.values()), heavy).withColumn(
+            "__copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__pieces") - 1))
+        )
+        joined = spread.drop("__pieces").join(
+            copies.drop("__pieces"), on & (F.col("__salt") == F.col("__copy")), how
+        ).drop("__salt", "__copy")
     return joined.drop(*names.values())
 
 
-def _all_equal(keys: dict[str, str], names: dict[str, str]) -> Column:
-    on = None
-    for left_name, right_name in keys.items():
-        term = F.col(left_name) == F.col(names[right_name])
-        on = term if on is None else on & term
-    return on
+def heavy_keys(df: DataFrame, keys: list[str], heavy_rows: int) -> DataFrame:
+    """Hashes of the keys with more than `heavy_rows` rows, and the pieces to cut each into.
+
+    Counting combines before its shuffle, and there is at most one such key per
+    `heavy_rows` rows of the table, so the list is small enough to broadcast.
+    """
+    counted = df.groupBy(F.xxhash64(*keys).alias("__heavy")).agg(F.count("*").alias("__rows"))
+    pieces = F.ceil(F.col("__rows") / heavy_rows).cast("bigint")
+    return counted.filter(F.col("__rows") > heavy_rows).select("__heavy", pieces.alias("__cut"))
+
+
+def _mark(df: DataFrame, keys: list[str], heavy: DataFrame) -> DataFrame:
+    """Add the number of pieces a row's key is cut into, 1 for most."""
+    found = df.join(F.broadcast(heavy), F.xxhash64(*keys) == F.col("__heavy"), "left")
+    return found.withColumn("__pieces", F.coalesce("__cut", F.lit(1).cast("bigint"))).drop("__heavy", "__cut")
 
 
 def star_join(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -103,6 +124,7 @@ def resolve_key(
     current_only: bool = False,
     miss: str | None = None,
     ci_keys: bool = False,
+    skew_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add `out`: the key of the parent with the staged business key, or -1.
 
@@ -114,16 +136,17 @@ def resolve_key(
     fold = F.lower if ci_keys else (lambda c: c)
     parents = dim.select(fold(F.col(business_key)).alias("__bk"), F.col(key).alias("__key"))
     probe = stage.withColumn("__natural", fold(F.col(natural)))
-    joined = sized_join(probe, parents, {"__natural": "__bk"}, "left")
+    counted = None if skew_from is None else skew_from.select(fold(F.col(natural)).alias("__natural"))
+    joined = sized_join(probe, parents, {"__natural": "__bk"}, "left", skew_from=counted)
     if miss:
         joined = joined.withColumn(miss, F.col(natural).isNotNull() & F.col("__key").isNull())
     return joined.withColumn(out, F.coalesce(F.col("__key"), F.lit(UNKNOWN_KEY))).drop("__key", "__natural")
 
 
-def check_key(stage: DataFrame, dim: DataFrame, fk: str, key: str) -> DataFrame:
+def check_key(stage: DataFrame, dim: DataFrame, fk: str, key: str, skew_from: DataFrame | None = None) -> DataFrame:
     """Keep a staged surrogate key only if the parent has it, else -1."""
     parents = dim.select(F.col(key).alias("__bk"), F.col(key).alias("__key"))
-    joined = sized_join(stage, parents, {fk: "__bk"}, "left")
+    joined = sized_join(stage, parents, {fk: "__bk"}, "left", skew_from=skew_from)
     return joined.withColumn(fk, F.coalesce(F.col("__key"), F.lit(UNKNOWN_KEY))).drop("__key")
 
 
@@ -149,9 +172,9 @@ def via_bridge(df: DataFrame, bridge: DataFrame, member: str, other: DataFrame,
     """Reach a many-to-many dimension through its resolver.
 
     One row comes out per matching bridge row, so measures of `df` repeat: aggregate them
-    before the bridge, or weight them by the bridge's share. The bridge is large and
-    repeats its members, so both joins are left to the planner's shuffle and skew handling.
+    before the bridge, or weight them by the bridge's share. A member may hold a large part
+    of the bridge, so the bridge is the side whose heavy keys are spread.
     """
     pairs = bridge.select(member, other_member)
-    reached = df.join(pairs, member, "inner")
-    return sized_join(reached, other, {other_member: other_key})
+    reached = sized_join(pairs, df, {member: member})
+    return sized_join(reached, other, {other_member: other_key}, skew_from=pairs)

@@ -127,11 +127,13 @@ def dedupe_business_key(df: DataFrame, business_key: str, order: list[str], limi
     """Make a business key unique: the second and later rows of a key get -2, -3, ...
 
     The suffix replaces the end of a key that would outgrow `limit`. A made key may meet
-    one that was there before, so the result is checked, and numbered again if needed.
+    one that was there before, so the result is checked, and what is double is numbered
+    again with numbers not used so far.
     """
+    used = 1
     for _ in range(rounds):
         ranked = numbered(df, order, "__n", within=[business_key])
-        suffix = F.concat(F.lit("-"), F.col("__n").cast("string"))
+        suffix = F.concat(F.lit("-"), (F.col("__n") + (used - 1)).cast("string"))
         text = F.col(business_key)
         if limit is not None:
             text = F.substring(text, F.lit(1), F.greatest(F.lit(1), F.lit(limit) - F.length(suffix)))
@@ -142,4 +144,5 @@ def dedupe_business_key(df: DataFrame, business_key: str, order: list[str], limi
         twice = df.filter(F.col(business_key).isNotNull()).groupBy(business_key).count().filter("count > 1")
         if twice.isEmpty():
             return df
+        used += ranked.filter(F.col(business_key).isNotNull()).agg(F.max("__n")).first()[0] - 1
     raise ValueError(f"{business_key} cannot be made unique within {limit} characters")

@@ -71,7 +71,7 @@ def hash_columns(model: WarehouseModel | None, spec: TableSpec, stage: DataFrame
 
 def _existing(current: DataFrame, staged: DataFrame, business_key: str) -> DataFrame:
     """The rows of a dimension that the batch touches."""
-    return sized_join(current, staged.select(business_key), {business_key: business_key}, "left_semi", salts=1)
+    return sized_join(current, staged.select(business_key), {business_key: business_key}, "left_semi", heavy_rows=None)
 
 
 def scd2_merge(
@@ -96,7 +96,7 @@ def scd2_merge(
     staged = staged.withColumn("RowHash", F.coalesce(given, computed))
 
     current = dim.filter(F.col("IsCurrent")).select(bk, F.col("RowHash").alias("__old"))
-    compared = sized_join(staged, _existing(current, staged, bk), {bk: bk}, "left", salts=1)
+    compared = sized_join(staged, _existing(current, staged, bk), {bk: bk}, "left", heavy_rows=None)
     action = (
         F.when(F.col("__old").isNull(), "insert")
         .when(changed(F.col("__old"), F.col("RowHash")), "update")
@@ -149,12 +149,12 @@ def scd1_merge(
         staged = resolve_parents(model, spec, staged, dims)
     shared = project_shared(staged, dim.columns, {bk, spec.key, "SourceSystemKey", "LoadedAtUtc"})
     existing = _existing(dim.select(bk), staged, bk).withColumn("__known", F.lit(True))
-    compared = materialise(sized_join(staged, existing, {bk: bk}, "left", salts=1), f"scd1-{spec.name}")
+    compared = materialise(sized_join(staged, existing, {bk: bk}, "left", heavy_rows=None), f"scd1-{spec.name}")
 
     incoming = compared.filter(F.col("__known")).select(
         bk, F.lit(True).alias("__hit"), *[F.col(c).alias(f"__new_{c}") for c in shared]
     )
-    joined = sized_join(dim, incoming, {bk: bk}, "left", salts=1)
+    joined = sized_join(dim, incoming, {bk: bk}, "left", heavy_rows=None)
     updated = joined.withColumns(
         {c: F.when(F.col("__hit"), F.col(f"__new_{c}")).otherwise(F.col(c)).cast(dim.schema[c].dataType) for c in shared}
     ).select(*dim.columns)

@@ -22,6 +22,7 @@ from hoarfrost.operators.generate import (
     synthesize_batch,
     time_dimension,
 )
+from hoarfrost.operators.joins import sized_join
 from hoarfrost.operators.keys import dedupe_business_key
 from hoarfrost.plans.check_sql import bucket, hash_number, key_of, small
 from hoarfrost.plans.registry import query
@@ -157,7 +158,7 @@ def gn_table(spark, folder):
 def gn_consistent(spark, folder):
     zero = F.lit(0).cast("decimal(18,4)")
     orders = read(spark, folder, "orders").select("o_orderkey", "o_orderdate")
-    lines = read(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = sized_join(read(spark, folder, "lineitem"), orders, {"l_orderkey": "o_orderkey"})
     rows = lines.select(
         F.col("l_orderkey").alias("OrderNumber"), zero.alias("TotalQuantity"), zero.alias("ScrapQuantity"), zero.alias("GoodQuantity"),
         (F.datediff("l_shipdate", "o_orderdate") * 24).alias("TransitHours"),

@@ -140,7 +140,7 @@ def _compared(spark, folder):
     )
     after = _hashed(spark, folder, SECOND, 2)
     # Both sides hold a customer once, so a plain join on the number has no skew.
-    return jn.sized_join(after, before, {"CustomerNumber": "CustomerNumber"}, "left", salts=1)
+    return jn.sized_join(after, before, {"CustomerNumber": "CustomerNumber"}, "left", heavy_rows=None)
 
 
 @query("flt_changed", f"SELECT CustomerNumber, before, after FROM ({CHANGES}) WHERE action <> 'unchanged'")
@@ -165,7 +165,7 @@ def jn_change_detect(spark, folder):
 def jn_expire(spark, folder):
     changed = _compared(spark, folder).filter(F.col("old") != F.col("RowHash")).select("CustomerNumber")
     current = customer_dim(spark, folder).filter("IsCurrent").select("CustomerNumber", "AccountBalanceAmount")
-    return jn.sized_join(current, changed, {"CustomerNumber": "CustomerNumber"}, "left_semi", salts=1)
+    return jn.sized_join(current, changed, {"CustomerNumber": "CustomerNumber"}, "left_semi", heavy_rows=None)
 
 
 @query("flt_null_negative", f"""SELECT c_name AS CustomerNumber, {dec('c_acctbal')} AS AccountBalanceAmount FROM customer

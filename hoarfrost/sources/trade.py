@@ -180,9 +180,9 @@ def trade_warehouse(spark: SparkSession, folder: str) -> Warehouse:
             money("l_tax").alias("TaxRate"),
             ship_month("l_shipdate").alias("BatchId"),
         )
-        # Two tables that grow together: a shuffle join on the order key, never a broadcast
-        # hint. Order keys are near uniform, and AQE splits those that are not.
-        return lines.join(orders, F.col("OrderNumber") == F.col("o_orderkey"), "left").drop("o_orderkey")
+        # Two tables that grow together: beyond the limit this is a shuffle join on the order,
+        # and an order that holds a large part of the lines is cut into pieces.
+        return sized_join(lines, orders, {"OrderNumber": "o_orderkey"}, "left")
 
     def order_cycle() -> DataFrame:
         ships = t["lineitem"]().groupBy("l_orderkey").agg(
