@@ -117,19 +117,30 @@ def flatten(
     every = branches(model, leaf, max_columns)
     wanted = set(columns) if columns is not None else None
     joins = every if wanted is None else _needed(every, wanted)
-    out = tables[leaf]
+    out = _with_parents(tables[leaf], 0, tables, joins, wanted)
+    names = [*tables[leaf].columns, *[n for b in every for _, n in b.outputs]]
+    return out.select(*[n for n in names if n in out.columns and (wanted is None or n in wanted)])
+
+
+def _with_parents(
+    df: DataFrame, index: int, tables: dict[str, DataFrame], joins: list[Branch], wanted: set[str] | None
+) -> DataFrame:
+    """A table with all its ancestors. Each parent is completed before it is joined, so the
+    table meets one frame per parent, and the long chain is joined among the short tables."""
+    out = df
     for b in joins:
+        if b.child != index:
+            continue
         up = sorted({j.column for j in joins if j.child == b.index})
-        picked = [(c, n) for c, n in b.outputs if wanted is None or n in wanted]
         parent = tables[b.parent].select(
             F.col(b.key).alias("__key"),
             *[F.col(c).alias(f"__{b.index}_{c}") for c in up],
-            *[F.col(c).alias(n) for c, n in picked],
+            *[F.col(c).alias(n) for c, n in b.outputs if wanted is None or n in wanted],
         )
-        pointer = b.column if b.child == 0 else f"__{b.child}_{b.column}"
-        out = sized_join(out, parent, {pointer: "__key"}, "left")
-    names = [*tables[leaf].columns, *[n for b in every for _, n in b.outputs]]
-    return out.select(*[n for n in names if n in out.columns and (wanted is None or n in wanted)])
+        complete = _with_parents(parent, b.index, tables, joins, wanted).drop(*[f"__{b.index}_{c}" for c in up])
+        pointer = b.column if index == 0 else f"__{index}_{b.column}"
+        out = sized_join(out, complete, {pointer: "__key"}, "left", size_from=parent, skew_from=df)
+    return out
 
 
 def flatten_all(model: WarehouseModel, tables: dict[str, DataFrame], spark: SparkSession) -> list[str]:

@@ -93,25 +93,32 @@ def _mark(df: DataFrame, keys: list[str], heavy: DataFrame) -> DataFrame:
 
 def star_join(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Inner join of a fact to each dimension on its surrogate key."""
+    joined = fact
     for fk, (dim, key) in dims.items():
-        fact = sized_join(fact, dim, {fk: key})
-    return fact
+        joined = sized_join(joined, dim, {fk: key}, skew_from=fact)
+    return joined
 
 
 def climb(df: DataFrame, levels: list[tuple[str, DataFrame, str]]) -> DataFrame:
-    """Inner chain up one branch: each level is (column pointing up, parent, parent key)."""
-    for column, parent, key in levels:
-        df = sized_join(df, parent, {column: key})
-    return df
+    """Inner chain up one branch: each level is (column pointing up, parent, parent key).
+
+    The levels are joined to each other from the top down, so the rows at the bottom, the
+    many, meet one table however deep the branch is.
+    """
+    if not levels:
+        return df
+    (column, parent, key), above = levels[0], levels[1:]
+    return sized_join(df, climb(parent, above), {column: key}, size_from=parent, skew_from=df)
 
 
 def role_join(fact: DataFrame, dim: DataFrame, key: str, roles: dict[str, str], how: str = "inner") -> DataFrame:
     """Join one dimension several times. `roles` maps a role to the fact column it plays;
     the dimension's columns come out prefixed with the role."""
+    joined = fact
     for role, fk in roles.items():
         played = dim.select(F.col(key), *[F.col(c).alias(f"{role}{c}") for c in dim.columns if c != key])
-        fact = sized_join(fact, played, {fk: key}, how)
-    return fact
+        joined = sized_join(joined, played, {fk: key}, how, skew_from=fact)
+    return joined
 
 
 def resolve_key(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hoarfrost.model import Edge, WarehouseModel
 from hoarfrost.operators.aggregates import AGGREGATES, top_n
 from hoarfrost.operators.filters import datekey_window, loaded_only
-from hoarfrost.operators.joins import sized_join
+from hoarfrost.operators.joins import climb, sized_join
 
 MAX_DEPTH = 4
 
@@ -65,28 +65,25 @@ def _grouped(
     df = loaded_only(df)
     keep = {a.foreign_key for a in attributes} | set(measures) | {"BatchId"}
     df = df.select(*[c for c in df.columns if c in keep])
-    labels = []
+    base, labels = df, []
     for a in attributes:
         path = branch_path(model, fact, a.foreign_key, a.parents)
         label = f"{path[-1].parent}_{a.column}"
         branch = _branch(tables, path, a.column, label)
-        df = sized_join(df, branch, {a.foreign_key: "__key"}, size_from=tables[path[0].parent])
+        first = tables[path[0].parent]
+        df = sized_join(df, branch, {a.foreign_key: "__key"}, size_from=first, skew_from=base)
         labels.append(label)
     return df, labels
 
 
 def _branch(tables: dict[str, DataFrame], path: list[Edge], column: str, label: str) -> DataFrame:
-    """The first dimension of a path with the attribute of the last one beside its key, so
-    that the fact meets one table per branch however deep the branch is."""
-    first = tables[path[0].parent]
-    pointer = F.col(path[1].column).alias("__up") if len(path) > 1 else F.col(column).alias(label)
-    branch = first.select(F.col(path[0].parent_key).alias("__key"), pointer)
-    for level, edge in enumerate(path[1:], 1):
+    """The first dimension of a path with the attribute of the last one beside its key."""
+    frames = []
+    for level, edge in enumerate(path):
         last = level == len(path) - 1
-        value = F.col(column).alias(label) if last else F.col(path[level + 1].column).alias("__next")
-        parent = tables[edge.parent].select(F.col(edge.parent_key).alias("__parent"), value)
-        branch = sized_join(branch, parent, {"__up": "__parent"}).drop("__up").withColumnRenamed("__next", "__up")
-    return branch
+        value = F.col(column).alias(label) if last else F.col(path[level + 1].column).alias(f"__up{level}")
+        frames.append(tables[edge.parent].select(F.col(edge.parent_key).alias("__key"), value))
+    return climb(frames[0], [(f"__up{level}", frame, "__key") for level, frame in enumerate(frames[1:])])
 
 
 def _totals(aggs: list[tuple[str, str]]) -> tuple[list[Column], list[str]]:

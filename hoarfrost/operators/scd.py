@@ -44,12 +44,14 @@ def latest_per_key(stage: DataFrame, business_key: str) -> DataFrame:
 
 def resolve_parents(model: WarehouseModel, spec: TableSpec, stage: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Turn the staged natural keys of a dimension's parents into foreign keys."""
+    staged = stage
     for fk in spec.foreign_keys:
         parent = model[fk.parent]
         natural = model.natural_column(fk)
         if fk.parent in dims and natural in stage.columns:
             stage = resolve_key(
-                stage, dims[fk.parent], natural, parent.business_key.name, parent.key, fk.column, parent.is_scd2
+                stage, dims[fk.parent], natural, parent.business_key.name, parent.key, fk.column, parent.is_scd2,
+                skew_from=staged,
             )
     return stage
 

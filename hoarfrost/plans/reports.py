@@ -90,8 +90,9 @@ def quality_mix(wh: Warehouse, as_of: dt.date) -> DataFrame:
         rows,
         wh["QualityResultStatus"].select("QualityResultStatusKey", "ResultStatusCode", "ResultStatusName"),
         {"QualityResultStatusKey": "QualityResultStatusKey"},
+        skew_from=fact,
     )
-    rows = sized_join(rows, _calendar(wh), {"InspectionDateKey": "DateKey"}, "left_semi")
+    rows = sized_join(rows, _calendar(wh), {"InspectionDateKey": "DateKey"}, "left_semi", skew_from=fact)
     grouped = rows.groupBy("ProductFamilyCode", "ProductFamilyName", "ResultStatusCode", "ResultStatusName").agg(
         F.count("*").alias("InspectionCount"),
         F.sum("QuantityAmount").alias("InspectedQuantity"),
@@ -105,17 +106,15 @@ def quality_mix(wh: Warehouse, as_of: dt.date) -> DataFrame:
 
 
 def product_branch(wh: Warehouse, *levels: str) -> DataFrame:
-    """Products with the code and name of the last level, climbed through all of them."""
-    df = wh["Product"].select("ProductKey", f"{levels[0]}Key")
+    """Products with the codes and names of the last levels reports group by."""
+    shown = {"ProductFamily", "ProductLine", "ProductDivision"} & set(levels[-2:] if len(levels) > 2 else levels[-1:])
+    chain = []
     for n, level in enumerate(levels):
         up = [f"{levels[n + 1]}Key"] if n + 1 < len(levels) else []
-        df = climb(df, [(f"{level}Key", wh[level].select(f"{level}Key", *up, f"{level}Code", f"{level}Name"), f"{level}Key")])
-        df = df.drop(f"{level}Key")
-    last = levels[-1]
-    kept = {f"{last}Code", f"{last}Name"}
-    if last == "ProductDivision":
-        kept |= {"ProductLineCode", "ProductLineName"}
-    return df.select("ProductKey", *sorted(kept))
+        labels = [f"{level}Code", f"{level}Name"] if level in shown else []
+        chain.append((f"{level}Key", wh[level].select(f"{level}Key", *up, *labels), f"{level}Key"))
+    products = wh["Product"].select("ProductKey", f"{levels[0]}Key")
+    return climb(products, chain).drop(*[f"{level}Key" for level in levels])
 
 
 @report("downtime_rank")
@@ -204,11 +203,12 @@ def variance_line(wh: Warehouse, as_of: dt.date) -> DataFrame:
     # The flag is the most selective join, so it comes first.
     rows = sized_join(fact, kinds, {"FinanceVarianceTypeKey": "FinanceVarianceTypeKey"})
     rows = sized_join(
-        rows, _calendar(wh, "CalendarYearNumber", "CalendarQuarterNumber"), {"PostingDateKey": "DateKey"}
+        rows, _calendar(wh, "CalendarYearNumber", "CalendarQuarterNumber"), {"PostingDateKey": "DateKey"}, skew_from=fact
     )
     line = product_branch(wh, "ProductSubfamily", "ProductFamily", "ProductLine", "ProductDivision")
     rows = sized_join(
-        rows.withColumn("__product", F.col("ProductKey")), line, {"ProductKey": "ProductKey"}, size_from=wh["Product"]
+        rows.withColumn("__product", F.col("ProductKey")), line, {"ProductKey": "ProductKey"},
+        size_from=wh["Product"], skew_from=fact,
     )
     group = [
         "ProductDivisionCode", "ProductDivisionName", "ProductLineCode", "ProductLineName",

@@ -10,7 +10,8 @@ def spark(tmp_path_factory):
         "tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "1",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(folder),
             "spark.ui.showConsoleProgress": "false",
