@@ -20,7 +20,7 @@ HEAVY_ROWS = 5_000_000
 
 def plan_bytes(df: DataFrame) -> int:
     """The planner's upper estimate of a DataFrame's size."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return int(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:

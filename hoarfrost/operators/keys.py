@@ -100,8 +100,8 @@ def with_unknown(df: DataFrame, spec: TableSpec) -> DataFrame:
             for f in df.schema.fields
         ]
     )
-    present = df.filter(F.col(spec.key) == UNKNOWN_KEY).select(F.col(spec.key).alias("__k")).limit(1)
-    missing = row.join(F.broadcast(present), F.col(spec.key) == F.col("__k"), "left_anti")
+    present = df.filter(F.col(spec.key) == UNKNOWN_KEY).agg(F.count("*")).scalar()
+    missing = row.filter(present == 0)
     return df.unionByName(missing)
 
 

@@ -120,20 +120,21 @@ def rp_incident_trend(spark, folder):
 ACTUAL = f"CAST({dec('l_extendedprice')} * (1 - {dec('l_discount')}) AS DECIMAL(19,4))"
 VARIANCE = f"""
 WITH g AS (
-  SELECT CASE WHEN {BAND} <= 2 THEN 'COMPACT' ELSE 'BULK' END AS line, f.code, f.name,
+  SELECT CASE WHEN p_size <= 50 THEN 'PARTS' ELSE 'OVERSIZE' END AS division,
+    CASE WHEN {BAND} <= 2 THEN 'COMPACT' ELSE 'BULK' END AS line, f.code, f.name,
     {small('year(l_shipdate)')} AS y, {small('quarter(l_shipdate)')} AS q, l_partkey, s_nationkey,
     {MONEY} AS std, {ACTUAL} AS act, CAST({ACTUAL} - {dec('l_extendedprice')} AS DECIMAL(19,4)) AS var
   FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
     JOIN {FLAG_NAMES} ON f.code = l_returnflag
   WHERE l_shipdate >= DATE '2000-02-01' AND f.counts
 )
-SELECT 'PARTS' AS ProductDivisionCode, 'PARTS' AS ProductDivisionName, line AS ProductLineCode, line AS ProductLineName,
+SELECT division AS ProductDivisionCode, division AS ProductDivisionName, line AS ProductLineCode, line AS ProductLineName,
   code AS VarianceTypeCode, name AS VarianceTypeName, y AS CalendarYearNumber, q AS CalendarQuarterNumber,
   count(*) AS PostingCount, count(DISTINCT l_partkey) AS DistinctProductCount, count(DISTINCT s_nationkey) AS DistinctPlantCount,
   {total('std', 'DECIMAL(29,4)')} AS StandardAmount, {total('act', 'DECIMAL(29,4)')} AS ActualAmount,
   {total('var', 'DECIMAL(29,4)')} AS VarianceAmount,
   {quotient(f"sum({units('var')})", f"sum({units('std')})", 18, 4, 100)} AS VariancePercentOfStandard
-FROM g GROUP BY line, code, name, y, q
+FROM g GROUP BY division, line, code, name, y, q
 """
 
 

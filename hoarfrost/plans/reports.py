@@ -60,8 +60,12 @@ def oee_plant_month(wh: Warehouse, as_of: dt.date) -> DataFrame:
             "PlantKey": (wh["Plant"].select("PlantKey", "PlantCode", "PlantName"), "PlantKey"),
         },
     )
-    grouped = joined.groupBy("PlantCode", "PlantName", "CalendarYearNumber", "CalendarMonthNumber").agg(
-        F.max("CalendarMonthShortName").alias("CalendarMonthName"),
+    # A month has one name, so the name is a key: a maximum over text would make Spark sort
+    # all rows instead of hashing them.
+    labelled = joined.withColumnRenamed("CalendarMonthShortName", "CalendarMonthName")
+    grouped = labelled.groupBy(
+        "PlantCode", "PlantName", "CalendarYearNumber", "CalendarMonthNumber", "CalendarMonthName"
+    ).agg(
         F.count("*").alias("SnapshotCount"),
         F.countDistinct("MachineKey").alias("DistinctMachineCount"),
         F.countDistinct("ProductKey").alias("DistinctProductCount"),

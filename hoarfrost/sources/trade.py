@@ -352,6 +352,7 @@ def manufacturing_warehouse(spark: SparkSession, folder: str) -> Warehouse:
 
     family = F.floor((F.col("size") - 1) / 10).cast("int") + 1
     line = F.when(family <= 2, 1).otherwise(2)
+    division = F.when(F.col("size") <= 50, 1).otherwise(2)
 
     def level(name: str, key: Column, code: Column, above: str | None = None, up: Column | None = None) -> DataFrame:
         pointer = [up.cast("int").alias(f"{above}Key")] if above else []
@@ -409,9 +410,11 @@ def manufacturing_warehouse(spark: SparkSession, folder: str) -> Warehouse:
                 "ProductFamily", family, F.concat(F.lit("BAND-"), family.cast("string")), "ProductLine", line
             ),
             "ProductLine": lambda: level(
-                "ProductLine", line, F.when(family <= 2, "COMPACT").otherwise("BULK"), "ProductDivision", F.lit(1)
+                "ProductLine", line, F.when(family <= 2, "COMPACT").otherwise("BULK"), "ProductDivision", division
+            ),
+            "ProductDivision": lambda: level(
+                "ProductDivision", division, F.when(division == 1, "PARTS").otherwise("OVERSIZE")
             ),
-            "ProductDivision": lambda: level("ProductDivision", F.lit(1), F.lit("PARTS")),
             "OeePeriodicSnapshot": lambda: with_plant(lines("Snapshot", *event_measures)),
             "QualityInspectionResult": lambda: lines(
                 "Inspection", flag_key.alias("QualityResultStatusKey"), *event_measures
