@@ -67,10 +67,14 @@ def wide_sum(c: Column | str) -> Column:
 
 
 def ratio(top: Column, base: Column, precision: int, scale: int, percent: bool = False) -> Column:
-    """Quotient of two totals, NULL when the base is NULL or zero."""
-    top = top.cast("decimal(28,4)")
-    base = base.cast("decimal(28,4)")
-    quotient = F.try_divide(top * F.lit(100).cast("decimal(3,0)") if percent else top, base)
+    """Quotient of two totals, NULL when the base is NULL or zero.
+
+    It is taken at ten digits, and a percentage multiplied afterwards: a wider numerator
+    would cost the quotient its digits, since a decimal has 38 in all.
+    """
+    quotient = F.try_divide(top.cast("decimal(28,4)"), base.cast("decimal(28,4)"))
+    if percent:
+        quotient = quotient.cast("decimal(30,10)") * F.lit(100).cast("decimal(3,0)")
     return quotient.cast(T.DecimalType(precision, scale))
 
 

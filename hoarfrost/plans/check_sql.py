@@ -59,11 +59,17 @@ def average(expr: str, precision: int = 22, scale_in: int = 4, scale_out: int =
 
 
 def quotient(top_units: str, base_units: str, precision: int, scale: int, factor: int = 1, steps: int = 10) -> str:
-    """Quotient of two totals in units, rounded at ten digits and then at `scale`."""
-    fine = whole_quotient(f"({top_units}) * {factor * 10**steps}", base_units)
+    """Quotient of two totals in units: at `steps` digits, times the factor, then rounded."""
+    fine = f"{whole_quotient(f'({top_units}) * {10**steps}', base_units)} * {factor}"
     return from_units(whole_quotient(fine, f"CAST({10 ** (steps - scale)} AS HUGEINT)"), precision, scale)
 
 
+def share(part: str, whole: str) -> str:
+    """A count as a percentage of another, at fourteen digits and then at four."""
+    fine = whole_quotient(f"CAST({part} AS HUGEINT) * {100 * 10**14}", f"CAST({whole} AS HUGEINT)")
+    return from_units(whole_quotient(fine, f"CAST({10**10} AS HUGEINT)"), 9, 4)
+
+
 def bucket(expr: str, digits: int = 3) -> str:
     return f"substr(sha256({expr}), 1, {digits})"
 

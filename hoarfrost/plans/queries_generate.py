@@ -106,8 +106,8 @@ def gn_apportion(spark, folder):
 
 
 SPREAD = f"""SELECT event_id, CAST(CASE WHEN event_id % 17 = 0 THEN -1 ELSE p.s_suppkey END AS BIGINT) AS SupplierKey
-  FROM events JOIN (SELECT s_suppkey, {numbered_sql('CAST(s_suppkey AS VARCHAR)')} AS n FROM supplier) p
-  ON p.n = {hash_number("'42|SupplierKey|' || event_id")} % (SELECT count(*) FROM supplier) + 1"""
+  FROM (SELECT event_id, {hash_number("'42|SupplierKey|' || event_id")} % (SELECT count(*) FROM supplier) + 1 AS pick FROM events) e
+  JOIN (SELECT s_suppkey, {numbered_sql('s_suppkey')} AS n FROM supplier) p ON p.n = e.pick"""
 
 
 @query("gn_fk_spread", SPREAD)
@@ -128,9 +128,12 @@ ITEM = TableSpec(
 WORD_LIST = "[" + ", ".join(f"'{w}'" for w in WORDS) + "]"
 
 
+def _pick(table: str, role: str) -> str:
+    return f"{hash_number(f"'42|{role}|' || q")} % (SELECT count(*) FROM {table}) + 1 AS pick_{role}"
+
+
 def _parent(table: str, key: str, role: str) -> str:
-    return f"""JOIN (SELECT {key}, {numbered_sql(f'CAST({key} AS VARCHAR)')} AS n FROM {table}) {role}
-      ON {role}.n = {hash_number(f"'42|{role}|' || q")} % (SELECT count(*) FROM {table}) + 1"""
+    return f"JOIN (SELECT {key}, {numbered_sql(key)} AS n FROM {table}) {role} ON {role}.n = pick_{role}"
 
 
 BRANDS = "(SELECT DISTINCT CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS b FROM part)"
@@ -143,7 +146,8 @@ BRANDS = "(SELECT DISTINCT CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGE
     CAST((1 + (q * 7) % 10000) * 0.1 AS DECIMAL(9,2)) AS ReorderQuantity, q % 5 <> 0 AS IsSpare,
     DATE '2020-01-01' + CAST(q % 1460 AS INTEGER) AS IntroducedDate,
     ['US', 'CA', 'MX', 'DE', 'GB', 'JP', 'CN', 'IN'][q % 8 + 1] AS OriginCountryCode, CAST(1 AS BIGINT) AS BatchId
-  FROM (SELECT p_partkey + 1 AS q FROM part) s {_parent(BRANDS + ' bb', 'b', 'BrandKey')} {_parent('supplier', 's_suppkey', 'PreferredSupplierKey')}""")
+  FROM (SELECT q, {_pick(BRANDS + ' bb', 'BrandKey')}, {_pick('supplier', 'PreferredSupplierKey')} FROM (SELECT p_partkey + 1 AS q FROM part) t) s
+  {_parent(BRANDS + ' bb', 'b', 'BrandKey')} {_parent('supplier', 's_suppkey', 'PreferredSupplierKey')}""")
 def gn_table(spark, folder):
     wh = trade_warehouse(spark, folder)
     rows = read(spark, folder, "part").select((F.col("p_partkey") + 1).alias("seq"))
@@ -174,8 +178,8 @@ BATCH = 77
     {key_of(f"DATE '2024-01-31' - CAST({hash_number(f"'{BATCH}|EventDateKey|' || q")} % 366 AS INTEGER)")} AS EventDateKey,
     CAST({hash_number(f"'{BATCH}|EventTimeOfDayKey|' || q")} % 86400 AS INTEGER) AS EventTimeOfDayKey,
     c.c_name AS CustomerCustomerNumber, CAST({BATCH} AS BIGINT) AS BatchId, q AS RowNumber
-  FROM (SELECT event_id + 1 AS q FROM events) s JOIN (SELECT c_name, {numbered_sql('c_name')} AS n FROM customer) c
-    ON c.n = {hash_number(f"'{BATCH}|CustomerCustomerNumber|' || q")} % (SELECT count(*) FROM customer) + 1""")
+  FROM (SELECT q, {hash_number(f"'{BATCH}|CustomerCustomerNumber|' || q")} % (SELECT count(*) FROM customer) + 1 AS pick
+    FROM (SELECT event_id + 1 AS q FROM events) t) s JOIN (SELECT c_name, {numbered_sql('c_name')} AS n FROM customer) c ON c.n = s.pick""")
 def gn_batch(spark, folder):
     rows = read(spark, folder, "events").select((F.col("event_id") + 1).alias("seq"))
     pools = {"Customer": (trade_warehouse(spark, folder)["Customer"], "CustomerNumber")}

@@ -36,7 +36,7 @@ from hoarfrost.operators.aggregates import (
 from hoarfrost.operators.flatten import flatten
 from hoarfrost.operators.quality import climb_closure
 from hoarfrost.plans.check_sql import average, big, code_key, dec, from_units, hash_number as sql_hash, key_of, month_of
-from hoarfrost.plans.check_sql import quotient, small, total, units
+from hoarfrost.plans.check_sql import quotient, share, small, total, units
 from hoarfrost.plans.registry import query
 from hoarfrost.plans.states import CUSTOMERS_AT, FIRST, SECOND, customer_dim, customer_rows
 from hoarfrost.sources import trade
@@ -371,7 +371,7 @@ def ag_rows_by_table(spark, folder):
 @query("wn_share", f"""WITH g AS (SELECT n_name AS NationName, c_mktsegment AS MarketSegmentName, count(*) AS Customers
     FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2),
   t AS (SELECT NationName AS k, {big('sum(Customers)')} AS n FROM g GROUP BY 1)
-  SELECT g.*, n AS NationCustomers, {quotient('CAST(Customers AS HUGEINT)', 'CAST(n AS HUGEINT)', 9, 4, 100)} AS PercentOfNation
+  SELECT g.*, n AS NationCustomers, {share('Customers', 'n')} AS PercentOfNation
   FROM g JOIN t ON k = NationName""")
 def wn_share(spark, folder):
     wh = trade_warehouse(spark, folder)

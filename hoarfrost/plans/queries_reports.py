@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hoarfrost.operators.control import append_control, read_control
-from hoarfrost.plans.check_sql import average, big, dec, quotient, small, total, units
+from hoarfrost.plans.check_sql import average, big, dec, quotient, share, small, total, units
 from hoarfrost.plans.registry import query
 from hoarfrost.plans.reports import (
     downtime_rank,
@@ -58,7 +58,7 @@ WITH g AS (
   GROUP BY {BAND}, f.code, f.name
 ), t AS (SELECT ProductFamilyCode AS c, {big('sum(InspectionCount)')} AS n FROM g GROUP BY ProductFamilyCode)
 SELECT g.*, t.n AS FamilyInspectionCount,
-  {quotient('CAST(InspectionCount AS HUGEINT)', 'CAST(t.n AS HUGEINT)', 9, 4, 100)} AS PercentOfFamily
+  {share('InspectionCount', 't.n')} AS PercentOfFamily
 FROM g JOIN t ON t.c = g.ProductFamilyCode
 """
 

@@ -40,8 +40,9 @@ def SUPPLIERS_AT(day: dt.date) -> str:  # noqa: N802 - a piece of SQL
 
 
 def numbered_sql(order: str) -> str:
-    """The order in which new surrogate keys are given out."""
-    return f"row_number() OVER (ORDER BY {bucket(order)}, {order})"
+    """The order in which new surrogate keys are given out: by the bucket of the value's
+    text, then by the value itself."""
+    return f"row_number() OVER (ORDER BY {bucket(f'CAST({order} AS VARCHAR)')}, {order})"
 
 
 def customer_rows(spark: SparkSession, folder: str, day: dt.date, batch_id: int) -> DataFrame:

@@ -10,7 +10,7 @@ from hoarfrost.functions.scalars import months_before
 from hoarfrost.operators.generate import date_dimension, synthesize, time_dimension
 from hoarfrost.operators.keys import with_unknown
 from hoarfrost.plans import reports
-from hoarfrost.plans.check_sql import average, quotient, units
+from hoarfrost.plans.check_sql import average, quotient, share, units
 from hoarfrost.plans.manufacturing import MODEL, SEVERITIES
 from hoarfrost.plans.warehouse import Warehouse
 from hoarfrost.sources import tables
@@ -79,7 +79,7 @@ SQL = {
             JOIN ProductSubfamily s ON s.ProductSubfamilyKey = p.ProductSubfamilyKey JOIN ProductFamily y ON y.ProductFamilyKey = s.ProductFamilyKey
             JOIN QualityResultStatus q ON q.QualityResultStatusKey = f.QualityResultStatusKey WHERE FullDate >= $since GROUP BY ALL),
           t AS (SELECT ProductFamilyCode AS c, CAST(sum(InspectionCount) AS BIGINT) AS n FROM i GROUP BY 1)
-        SELECT i.*, n AS FamilyInspectionCount, {quotient('CAST(InspectionCount AS HUGEINT)', 'CAST(n AS HUGEINT)', 9, 4, 100)} AS PercentOfFamily
+        SELECT i.*, n AS FamilyInspectionCount, {share('InspectionCount', 'n')} AS PercentOfFamily
         FROM i JOIN t ON c = ProductFamilyCode""",
     ),
     "downtime_rank": (
