@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from hoarfrost.functions.scalars import (
     clean_label,
     count_where,
     date_key,
-    days_between,
     decimal_average,
     hash_number,
     key_date,
@@ -35,12 +32,12 @@ from hoarfrost.operators.aggregates import (
 )
 from hoarfrost.operators.flatten import flatten
 from hoarfrost.operators.quality import climb_closure
-from hoarfrost.plans.check_sql import average, big, code_key, dec, from_units, hash_number as sql_hash, key_of, month_of
-from hoarfrost.plans.check_sql import quotient, share, small, total, units
+from hoarfrost.plans.check_sql import average, big, code_key, dec, key_of, month_of, quotient, share, total, units
+from hoarfrost.plans.check_sql import hash_number as sql_hash
 from hoarfrost.plans.registry import query
-from hoarfrost.plans.states import CUSTOMERS_AT, FIRST, SECOND, customer_dim, customer_rows
+from hoarfrost.plans.states import CUSTOMERS_AT, FIRST, SECOND, customer_dim
 from hoarfrost.sources import trade
-from hoarfrost.sources.trade import AS_OF, MODEL, RETURN_FLAGS, TABLES, money, read, trade_warehouse
+from hoarfrost.sources.trade import AS_OF, MODEL, TABLES, money, read, trade_warehouse
 
 PRIORITY_CODES = tuple(p[0] for p in trade.PRIORITIES)
 LINES = f"""(
