@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from hoarfrost.session import materialise, scratch
 
 #: UTF-8 bytes of text that one vectorised step looks at together. A longer text is one step by itself.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2_000_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

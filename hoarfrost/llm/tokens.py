@@ -17,8 +17,8 @@ import pandas as pd
 
 from hoarfrost.llm.common import ragged
 
-#: Pieces that a worker remembers, at about 150 bytes each. Later ones are encoded again when met.
-REMEMBERED = 700_000
+#: Pieces that a worker remembers, at about 50 bytes each. Later ones are encoded again when met.
+REMEMBERED = 1 << 20
 
 SPACE, WHITE, LETTER, NUMBER, OTHER = 1, 0, 2, 3, 4
 
@@ -47,7 +47,7 @@ _powers: list[np.ndarray] = []
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """FACTOR ** i and its inverse modulo 2 ** 64, for i below n."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 22)
+        size = max(n, 1 << 21)
         both = []
         for base in (FACTOR, pow(FACTOR, -1, 1 << 64)):
             out = np.empty(size, np.uint64)
@@ -134,6 +134,41 @@ def split(data: np.ndarray, begins: np.ndarray, lower: bool) -> tuple[np.ndarray
     return data, starts, ends
 
 
+class Table:
+    """Numbers of the hashes that were added, in the order of adding; open addressing in flat arrays."""
+
+    def __init__(self, most: int):
+        self.keys, self.numbers = (np.zeros(1 << (most.bit_length() + 1), t) for t in (np.uint64, np.int32))
+        self.size = 0
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        mixed = (keys ^ (keys >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        return (mixed >> np.uint64(65 - len(self.keys).bit_length())).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 where it isn't there. No hash is zero."""
+        out, rows, at = np.full(len(keys), -1, np.int64), np.arange(len(keys)), self._place(keys)
+        while len(rows):
+            there = self.keys[at]
+            hit = there == keys[rows]
+            out[rows[hit]] = self.numbers[at[hit]]
+            more = ~hit & (there != 0)
+            rows, at = rows[more], (at[more] + 1) % len(self.keys)
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Add distinct hashes that are not there yet."""
+        numbers, at = np.arange(self.size, self.size + len(keys), dtype=np.int32), self._place(keys)
+        self.size += len(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[at] == 0)
+            self.keys[at[free]] = keys[free]
+            mine = np.zeros(len(keys), bool)
+            mine[free] = self.keys[at[free]] == keys[free]
+            self.numbers[at[mine]] = numbers[mine]
+            keys, numbers, at = keys[~mine], numbers[~mine], (at[~mine] + 1) % len(self.keys)
+
+
 class Encoder:
     """Ids of whole texts by a tokenizers file, special strings being ordinary text."""
 
@@ -144,12 +179,13 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.lower = lower
-        self.known: dict[int, int] = {}
+        self.known = Table(REMEMBERED)
         self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        encode = self.library.encode_batch_fast
+        return [x.ids for at in range(0, len(texts), 4096) for x in encode(texts[at : at + 4096], add_special_tokens=False)]
 
     def _keep(self, ids: list[list[int]], at: int) -> None:
         flat = np.array([i for x in ids for i in x], np.uint32)
@@ -166,11 +202,11 @@ class Encoder:
     def _split_ids(self, data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and for each text the number of ids before it."""
         data, starts, ends = split(data, begins, self.lower)
-        hashes = span_hashes(data, starts, ends)
+        hashes = span_hashes(data, starts, ends) | np.uint64(1)
         codes, distinct = pd.factorize(hashes)
-        found = np.fromiter((self.known.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
+        found = self.known.find(distinct)
         new = np.flatnonzero(found < 0)
-        mark, bytes_used = len(self.known), self.used
+        mark, used = self.known.size, self.used
         if len(new):
             example = np.empty(len(distinct), np.int64)
             example[codes[::-1]] = np.arange(len(codes))[::-1]
@@ -184,9 +220,10 @@ class Encoder:
         before = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(starts, begins)]
         room = max(0, REMEMBERED - mark)
         kept = new[:room]
-        self.known.update(zip(distinct[kept].tolist(), range(mark, mark + len(kept)), strict=True))
+        self.known.add(distinct[kept])
         if len(kept) < len(new):
-            self.used = int(self.starts[mark + len(kept)]) if len(kept) else bytes_used
+            # The ids of pieces that are not remembered were needed this once.
+            self.used = int(self.starts[mark + len(kept)]) if len(kept) else used
         return ids, before
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
