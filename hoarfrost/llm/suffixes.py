@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ from hoarfrost.llm.tokens import FACTOR, VALUES
 
 #: Bytes of an anchor; bytes of windows in a shard; different windows of one anchor in a shard.
 ANCHOR_BYTES, SHARD_BYTES, SHARD_KINDS = 32, 2 << 20, 2000
+#: Bytes of whole anchors that a shard sorts together: suffixes that cannot be equal need no common order.
+SORTED_BYTES = 256 << 10
+#: A string of a sorted run: its hash, its window, its start there, and whether its shard holds it twice.
+STRING = np.dtype([("s1", "<u8"), ("s2", "<u8"), ("w1", "<i8"), ("w2", "<i8"), ("first", "<i4"), ("known", "?")])
 
 
 # ---- one shard ----
@@ -43,25 +48,29 @@ def suffix_array(text: np.ndarray, left: np.ndarray) -> np.ndarray:
     cut = valid < 7
     key[cut] &= ~((np.uint64(1) << (np.uint64(8) * (7 - valid[cut]).astype(np.uint64))) - np.uint64(1))
     key = (key << np.uint64(8)) | valid.astype(np.uint64)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     sorted_ = key[order]
+    ended = np.flatnonzero((sorted_ & np.uint64(255)) < 8)
+    order[ended] = order[ended][np.lexsort((order[ended], sorted_[ended]))]
     first = np.ones(n, bool)
     first[1:] = (sorted_[1:] != sorted_[:-1]) | ((sorted_[1:] & np.uint64(255)) < 8)
     group = np.flatnonzero(first)
-    rank = np.empty(n, np.int64)
-    rank[order] = np.repeat(group, np.diff(np.append(group, n)))
+    rank = np.empty(n, np.uint32)
+    rank[order] = np.repeat(group.astype(np.uint32), np.diff(np.append(group, n)))
     lone = first & np.append(first[1:], True)
     slots, h = np.flatnonzero(~lone), 7
     while len(slots):
         at = order[slots]
-        both = (rank[at].astype(np.uint64) << np.uint64(32)) | rank[at + h].astype(np.uint64)
-        by = np.argsort(both, kind="stable")
+        both = rank[at].astype(np.uint64)
+        both <<= np.uint64(32)
+        both |= rank[at + h]
+        by = np.argsort(both)
         at, both = at[by], both[by]
         order[slots] = at
         first = np.ones(len(at), bool)
         first[1:] = both[1:] != both[:-1]
         group = np.flatnonzero(first)
-        rank[at] = np.repeat(slots[group], np.diff(np.append(group, len(at))))
+        rank[at] = np.repeat(slots[group].astype(np.uint32), np.diff(np.append(group, len(at))))
         slots = slots[~(first & np.append(first[1:], True))]
         h *= 2
     return order
@@ -203,6 +212,64 @@ def _packed(docs: DataFrame) -> DataFrame:
     return map_arrow(docs, run, f"{fields}, _zip binary")
 
 
+DECIDED = pa.schema([(x, pa.int64()) for x in ("w1", "w2", "first", "starts", "anchor", "piece")] + [("run", pa.binary())])
+
+
+def _decide(table: pa.Table, length: int) -> pa.Table:
+    """Runs of repeated starts of each window. If the anchor is spread over shards, also all different
+    strings of the block, as sorted runs that are cut where the other shards' runs are cut."""
+    from xxhash import xxh3_128_digest
+
+    contents = table.column("content").to_pylist()
+    w1, w2, anchor, parts = (table.column(x).to_numpy() for x in ("w1", "w2", "anchor", "parts"))
+    window, start, repeated, leader = repeated_starts(contents, table.column("starts").to_numpy().astype(np.int64), table.column("n").to_numpy(), length)
+    hit = np.flatnonzero(repeated)
+    new = np.ones(len(hit), bool)
+    new[1:] = (window[hit][1:] != window[hit][:-1]) | (start[hit][1:] != start[hit][:-1] + 1)
+    first = np.flatnonzero(new)
+    runs, sizes = hit[first], np.diff(np.append(first, len(hit)))
+    n = len(runs)
+    none = pa.nulls(n, pa.int64())
+    out = pa.table([pa.array(w1[window[runs]]), pa.array(w2[window[runs]]), pa.array(start[runs]), pa.array(sizes), none, none, pa.nulls(n, pa.binary())], schema=DECIDED)
+    if not len(contents) or parts[0] == 1:
+        return out
+    at = np.flatnonzero(leader)
+    strings = np.empty(len(at), STRING)
+    digests = b"".join([xxh3_128_digest(contents[w][s : s + length]) for w, s in zip(window[at].tolist(), start[at].tolist(), strict=True)])
+    strings["s1"], strings["s2"] = np.frombuffer(digests, np.uint64).reshape(-1, 2).T
+    strings["w1"], strings["w2"], strings["first"], strings["known"] = w1[window[at]], w2[window[at]], start[at], repeated[at]
+    strings = strings[np.lexsort((strings["s2"], strings["s1"]))]
+    piece = ((strings["s1"] >> np.uint64(32)) * np.uint64(parts[0]) >> np.uint64(32)).astype(np.int64)
+    cuts = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+    packed = [x.tobytes() for x in np.split(strings, cuts[1:])]
+    none = pa.nulls(len(cuts), pa.int64())
+    more = pa.table([none, none, none, none, pa.array(np.full(len(cuts), anchor[0])), pa.array(piece[cuts]), pa.array(packed, pa.binary())], schema=DECIDED)
+    return pa.concat_tables([out, more])
+
+
+def late_repeats(runs: list[np.ndarray]) -> np.ndarray:
+    """Strings that are in one sorted run only once, but in other runs too, by binary search of each run
+    in all others. A string is in a run once at most."""
+    late = []
+    for i, run in enumerate(runs):
+        there = np.zeros(len(run), bool)
+        for j, other in enumerate(runs):
+            if i == j or not len(other):
+                continue
+            at = np.searchsorted(other["s1"], run["s1"])
+            while True:
+                inside = np.minimum(at, len(other) - 1)
+                alike = (at < len(other)) & (other["s1"][inside] == run["s1"])
+                there |= alike & (other["s2"][inside] == run["s2"])
+                # Where only the first halves are equal, the next string of the run may be the one.
+                on = alike & (other["s2"][inside] < run["s2"])
+                if not on.any():
+                    break
+                at = at + on
+        late.append(run[there & ~run["known"]])
+    return np.concatenate(late) if late else np.zeros(0, STRING)
+
+
 def repeated_spans(docs: DataFrame, length: int, shard_bytes: int = SHARD_BYTES, shard_kinds: int = SHARD_KINDS) -> DataFrame:
     """Starts of repeated strings, for rows with _id, _mark and _text: _id, _mark and spans (begin, end).
 
@@ -221,14 +288,14 @@ def repeated_spans(docs: DataFrame, length: int, shard_bytes: int = SHARD_BYTES,
     total = kinds.agg(F.sum(F.col("starts") + length)).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = max(1, -(-total // shard_bytes), min(partitions, -(-total // (64 << 10))))
-    shard_kinds = max(64, min(shard_kinds, kinds.count() // partitions))
+    shard_kinds = min(shard_kinds, max(64, kinds.count() // partitions))
     split = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > shard_kinds)
     split = stored(split.select(F.col("anchor").alias("of"), F.ceil(F.col("k") / shard_kinds).alias("parts")), "split")
     dealt = kinds.join(split, F.col("anchor") == F.col("of"), "left")
     part = F.pmod(F.xxhash64("w1", "w2"), F.coalesce("parts", F.lit(1)))
     # A shard below zero holds a part of one split anchor.
     shard = F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("anchor"), F.lit(shards))).otherwise(-1 - F.shiftrightunsigned(F.xxhash64("anchor", part), 1))
-    dealt = dealt.select("_id", "_mark", F.struct("first", "starts", shard.alias("shard"), "anchor", "w1", "w2", "n").alias("w"))
+    dealt = dealt.select("_id", "_mark", F.struct("first", "starts", shard.alias("shard"), "anchor", F.coalesce("parts", F.lit(1)).alias("parts"), "w1", "w2", "n").alias("w"))
     wanted = dealt.groupBy(F.col("_id").alias("_of"), F.col("_mark").alias("_at")).agg(F.collect_list("w").alias("ws"))
     same = F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_at"))
     held = _packed(docs).join(stored(wanted, "wanted"), same).select("_zip", "ws")
@@ -241,53 +308,36 @@ def repeated_spans(docs: DataFrame, length: int, shard_bytes: int = SHARD_BYTES,
                 ws = pa.RecordBatch.from_struct_array(batch.column("ws")[i].values)
                 spans = zip(ws.column("first").to_pylist(), ws.column("starts").to_pylist(), strict=True)
                 content = pa.array([text[a : a + n + length - 1] for a, n in spans], pa.binary())
-                names = ["shard", "w1", "w2", "n", "starts"]
+                names = ["shard", "anchor", "parts", "w1", "w2", "n", "starts"]
                 yield pa.RecordBatch.from_arrays([*(ws.column(x) for x in names), content], [*names, "content"])
 
-    windows = map_arrow(held, cut, "shard long, w1 long, w2 long, n long, starts int, content binary")
+    windows = map_arrow(held, cut, "shard long, anchor long, parts long, w1 long, w2 long, n long, starts int, content binary")
 
     def decide(table: pa.Table) -> pa.Table:
-        from xxhash import xxh3_128_digest
-
-        table = table.combine_chunks()
-        contents = table.column("content").to_pylist()
-        w1, w2 = (table.column(x).to_numpy() for x in ("w1", "w2"))
-        window, start, repeated, leader = repeated_starts(contents, table.column("starts").to_numpy().astype(np.int64), table.column("n").to_numpy(), length)
-        hit = np.flatnonzero(repeated)
-        new = np.ones(len(hit), bool)
-        new[1:] = (window[hit][1:] != window[hit][:-1]) | (start[hit][1:] != start[hit][:-1] + 1)
-        run = np.flatnonzero(new)
-        runs = hit[run]
-        size = np.diff(np.append(run, len(hit)))
-        out = {"w1": w1[window[runs]], "w2": w2[window[runs]], "first": start[runs], "starts": size, "s1": np.zeros(len(runs), np.int64), "s2": np.zeros(len(runs), np.int64), "known": np.full(len(runs), -1)}
-        if len(contents) and table.column("shard")[0].as_py() < 0:
-            # Each different string once: those that other shards may hold too.
-            at = np.flatnonzero(leader)
-            digest = np.frombuffer(b"".join([xxh3_128_digest(contents[w][s : s + length]) for w, s in zip(window[at].tolist(), start[at].tolist(), strict=True)]), np.int64).reshape(-1, 2)
-            more = {"w1": w1[window[at]], "w2": w2[window[at]], "first": start[at], "starts": np.ones(len(at)), "s1": digest[:, 0], "s2": digest[:, 1], "known": repeated[at].astype(np.int64)}
-            out = {k: np.concatenate([v, more[k]]) for k, v in out.items()}
-        return pa.table({k: pa.array(v.astype(np.int64)) for k, v in out.items()})
+        table = table.sort_by("anchor").combine_chunks()
+        anchor, sizes = table.column("anchor").to_numpy(), pc.binary_length(table.column("content")).to_numpy()
+        # Cuts between anchors, after each further SORTED_BYTES.
+        at = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])) if len(anchor) else np.zeros(0, np.int64)
+        block = (np.cumsum(sizes) - sizes)[at] // SORTED_BYTES
+        cuts = at[np.append(True, block[1:] != block[:-1])] if len(at) else at
+        parts = [_decide(table.slice(a, b - a), length) for a, b in zip(cuts, np.append(cuts[1:], len(anchor)), strict=True)]
+        return pa.concat_tables(parts) if parts else DECIDED.empty_table()
 
     ship(spark)
-    decided = windows.groupBy("shard").applyInArrow(decide, "w1 long, w2 long, first long, starts long, s1 long, s2 long, known long")
+    decided = windows.groupBy("shard").applyInArrow(decide, "w1 long, w2 long, first long, starts long, anchor long, piece long, run binary")
     decided = stored(decided, "decided")
-    found = decided.where("known < 0").select("w1", "w2", "first", "starts")
+    found = decided.where("run IS NULL").select("w1", "w2", "first", "starts")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if got:
-            table = pa.Table.from_batches(got)
-            first, second = (table.column(x).to_numpy() for x in ("s1", "s2"))
-            known = table.column("known").to_numpy()
-            by = np.lexsort((second, first))
-            a, b = first[by], second[by]
-            low, high = np.searchsorted(a, first, "left"), np.searchsorted(a, first, "right")
-            # Equal first halves of the hashes are all but always one string; where not, the second decides.
-            alike = np.add.reduceat(np.append(b[ragged(low, high - low)] == np.repeat(second, high - low), False).astype(np.int64), np.cumsum(high - low) - (high - low)) if len(first) else low
-            late = pa.array((alike > 1) & (known == 0))
-            yield pa.RecordBatch.from_arrays([c.combine_chunks() for c in table.select(["w1", "w2", "first", "starts"]).filter(late).columns], ["w1", "w2", "first", "starts"])
-
-    late = map_arrow(decided.where("known >= 0").repartition("s1"), merge, "w1 long, w2 long, first long, starts long")
+        runs: dict[tuple[int, int], list[np.ndarray]] = {}
+        for batch in batches:
+            for anchor, piece, run in zip(*(batch.column(x).to_pylist() for x in ("anchor", "piece", "run")), strict=True):
+                runs.setdefault((anchor, piece), []).append(np.frombuffer(run, STRING))
+        for late in map(late_repeats, runs.values()):
+            columns = [pa.array(late[x].astype(np.int64)) for x in ("w1", "w2", "first")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.ones(len(late), np.int64))], ["w1", "w2", "first", "starts"])
+
+    late = map_arrow(decided.where("run IS NOT NULL").select("anchor", "piece", "run").repartition("anchor", "piece"), merge, "w1 long, w2 long, first long, starts long")
     found = found.unionByName(late).groupBy("w1", "w2").agg(F.collect_list(F.struct("first", "starts")).alias("runs"))
     found = stored(found.select(F.col("w1").alias("f1"), F.col("w2").alias("f2"), "runs"), "repeated")
     placed = members.select("_id", "_mark", F.col("first").alias("at"), "w1", "w2").join(found, (F.col("w1") == F.col("f1")) & (F.col("w2") == F.col("f2")))
