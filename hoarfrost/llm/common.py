@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import io
 import uuid
 import zipfile
@@ -50,9 +52,24 @@ def ship(spark: SparkSession) -> None:
     _sent.add(context.applicationId)
 
 
+def release() -> None:
+    """Hand freed memory back to the system: a worker lives on, and its next task may need another shape."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other systems have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow with this package on the executors, and memory released after each task."""
     ship(df.sparkSession)
-    return df.mapInArrow(f, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from f(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(run, schema)
 
 
 def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,8 +118,8 @@ def gapless(df: DataFrame, group: str, row: str, name: str, rows_a_bucket: int |
     if rows_a_bucket is None:
         spread = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
         rows_a_bucket = max(256, min(50_000, df.count() // spread))
-    sizes = df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / rows_a_bucket).alias("_buckets"))
-    dealt = df.join(sizes, df[group].eqNullSafe(sizes[group])).drop(sizes[group])
+    sizes = df.groupBy(F.col(group).alias("_of")).agg(F.ceil(F.count(F.lit(1)) / rows_a_bucket).alias("_buckets"))
+    dealt = df.join(sizes, F.col(group).eqNullSafe(F.col("_of"))).drop("_of")
     dealt = dealt.withColumn("_bucket", F.pmod(F.xxhash64(row), F.col("_buckets"))).drop("_buckets")
     counts = dealt.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -112,7 +129,7 @@ def gapless(df: DataFrame, group: str, row: str, name: str, rows_a_bucket: int |
     own = Window.partitionBy(group, "_bucket").orderBy(row)
     numbered = dealt.withColumn("_n", F.row_number().over(own).cast("long") - 1)
     joined = numbered.join(counts, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_bucket") == F.col("_b")))
-    return joined.withColumn(name, F.col("_first") + F.col("_n")).drop("_first", "_n", "_group", "_b", "_bucket")
+    return joined.select(*df.columns, (F.col("_first") + F.col("_n")).alias(name))
 
 
 def running_total(df: DataFrame, order: str, value: str, name: str, block: int = 1024) -> DataFrame:
