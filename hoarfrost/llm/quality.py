@@ -22,6 +22,8 @@ FEATURES = (
     "words", "word_length", "letters", "upper", "digits", "marks", "symbols", "white", "lines", "line_words",
     "distinct_words", "top_word", "repeated_words", "distinct_lines", "marked_words", "shout_words", "bare_words", "stops",
 )
+#: Bytes of text that are measured together; about a hundred bytes of arrays each.
+STEP_BYTES = 1_000_000
 #: Labelled rows that a model learns from at most; beyond, those with the smallest hashes of their ids.
 TRAINING_ROWS = 20_000
 
@@ -193,7 +195,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text")).join(F.broadcast(marked), "_id")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_text"):
+        for batch in pieces(batches, "_text", STEP_BYTES):
             x = features_of(*text_buffers(batch.column("_text")))
             values = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_y"), values], ["_id", "_y", "x"])
@@ -208,7 +210,7 @@ def with_scores(docs: DataFrame, model: Gam, text: str = "text", name: str = "sc
     """All rows and columns, with the model's score of the whole text (null: empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
+        for batch in pieces(batches, text, STEP_BYTES):
             scores = model.score(features_of(*text_buffers(batch.column(text))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, name])
 

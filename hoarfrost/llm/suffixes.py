@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hoarfrost.llm.common import map_arrow, pieces, ragged, ship, stored, text_buffers
+from hoarfrost.llm.common import map_arrow, pieces, ragged, release, ship, stored, text_buffers
 from hoarfrost.llm.tokens import FACTOR, VALUES
 
 #: Bytes of an anchor; bytes of windows in a shard; different windows of one anchor in a shard.
@@ -321,6 +321,7 @@ def repeated_spans(docs: DataFrame, length: int, shard_bytes: int = SHARD_BYTES,
         block = (np.cumsum(sizes) - sizes)[at] // SORTED_BYTES
         cuts = at[np.append(True, block[1:] != block[:-1])] if len(at) else at
         parts = [_decide(table.slice(a, b - a), length) for a, b in zip(cuts, np.append(cuts[1:], len(anchor)), strict=True)]
+        release()
         return pa.concat_tables(parts) if parts else DECIDED.empty_table()
 
     ship(spark)
@@ -340,7 +341,10 @@ def repeated_spans(docs: DataFrame, length: int, shard_bytes: int = SHARD_BYTES,
     late = map_arrow(decided.where("run IS NOT NULL").select("anchor", "piece", "run").repartition("anchor", "piece"), merge, "w1 long, w2 long, first long, starts long")
     found = found.unionByName(late).groupBy("w1", "w2").agg(F.collect_list(F.struct("first", "starts")).alias("runs"))
     found = stored(found.select(F.col("w1").alias("f1"), F.col("w2").alias("f2"), "runs"), "repeated")
-    placed = members.select("_id", "_mark", F.col("first").alias("at"), "w1", "w2").join(found, (F.col("w1") == F.col("f1")) & (F.col("w2") == F.col("f2")))
+    # A window that very many documents hold is joined once for each part of them, not once for each.
+    holders = members.groupBy("w1", "w2", F.spark_partition_id().alias("p")).agg(F.collect_list(F.struct("_id", "_mark", F.col("first").alias("at"))).alias("held"))
+    holders = stored(holders, "holders").join(found, (F.col("w1") == F.col("f1")) & (F.col("w2") == F.col("f2")))
+    placed = holders.select("w1", "w2", "p", "held", "runs").repartition("w1", "w2", "p").select("runs", F.inline("held"))
     span = lambda r: F.struct((F.col("at") + r["first"]).alias("begin"), (F.col("at") + r["first"] + r["starts"] + length - 1).alias("end"))
     placed = placed.select("_id", "_mark", F.transform("runs", span).alias("spans"))
     return stored(placed.groupBy("_id", "_mark").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")

@@ -135,10 +135,11 @@ def split(data: np.ndarray, begins: np.ndarray, lower: bool) -> tuple[np.ndarray
 
 
 class Table:
-    """Numbers of the hashes that were added, in the order of adding; open addressing in flat arrays."""
+    """Numbers of the hashes that were added, in the order of adding; open addressing in flat arrays of
+    twice the most hashes (a power of two)."""
 
     def __init__(self, most: int):
-        self.keys, self.numbers = (np.zeros(1 << (most.bit_length() + 1), t) for t in (np.uint64, np.int32))
+        self.keys, self.numbers = (np.zeros(2 * most, t) for t in (np.uint64, np.int32))
         self.size = 0
 
     def _place(self, keys: np.ndarray) -> np.ndarray:
