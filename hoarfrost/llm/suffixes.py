@@ -341,12 +341,23 @@ def repeated_spans(docs: DataFrame, length: int, shard_bytes: int = SHARD_BYTES,
     late = map_arrow(decided.where("run IS NOT NULL").select("anchor", "piece", "run").repartition("anchor", "piece"), merge, "w1 long, w2 long, first long, starts long")
     found = found.unionByName(late).groupBy("w1", "w2").agg(F.collect_list(F.struct("first", "starts")).alias("runs"))
     found = stored(found.select(F.col("w1").alias("f1"), F.col("w2").alias("f2"), "runs"), "repeated")
-    # A window that very many documents hold is joined once for each part of them, not once for each.
-    holders = members.groupBy("w1", "w2", F.spark_partition_id().alias("p")).agg(F.collect_list(F.struct("_id", "_mark", F.col("first").alias("at"))).alias("held"))
+    # A window that very many documents hold is joined once for each bucket of them, not once for each.
+    # A bucket's documents are then put together in one task: a row each, however many windows they have.
+    bucket = F.pmod(F.xxhash64("_id", "_mark"), F.lit(max(partitions, members.count() // 5000)))
+    holders = members.groupBy("w1", "w2", bucket.alias("p")).agg(F.collect_list(F.struct("_id", "_mark", F.col("first").alias("at"))).alias("held"))
     holders = stored(holders, "holders").join(found, (F.col("w1") == F.col("f1")) & (F.col("w2") == F.col("f2")))
-    placed = holders.select("w1", "w2", "p", "held", "runs").repartition("w1", "w2", "p").select("runs", F.inline("held"))
-    span = lambda r: F.struct((F.col("at") + r["first"]).alias("begin"), (F.col("at") + r["first"] + r["starts"] + length - 1).alias("end"))
-    placed = placed.select("_id", "_mark", F.transform("runs", span).alias("spans"))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spans: dict[tuple[int | None, int], list[dict[str, int]]] = {}
+        for batch in batches:
+            for held, runs in zip(batch.column("held").to_pylist(), batch.column("runs").to_pylist(), strict=True):
+                for x in held:
+                    spans.setdefault((x["_id"], x["_mark"]), []).extend({"begin": x["at"] + r["first"], "end": x["at"] + r["first"] + r["starts"] + length - 1} for r in runs)
+        kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+        columns = [pa.array([k[i] for k in spans], pa.int64()) for i in (0, 1)] + [pa.array(list(map(union_of, spans.values())), kind)]
+        yield pa.RecordBatch.from_arrays(columns, ["_id", "_mark", "spans"])
+
+    placed = map_arrow(holders.select("p", "held", "runs").repartition("p"), gather, "_id long, _mark long, spans array<struct<begin:bigint,end:bigint>>")
     return stored(placed.groupBy("_id", "_mark").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
 
 
