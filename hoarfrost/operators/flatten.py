@@ -11,7 +11,6 @@ from hoarfrost.model import ForeignKey, TableSpec, WarehouseModel
 from hoarfrost.operators.joins import sized_join
 
 NAME_LIMIT = 128
-MAX_COLUMNS = 1000
 
 
 @dataclass(frozen=True)
@@ -53,11 +52,11 @@ def _parents(model: WarehouseModel, spec: TableSpec, kind: str) -> list[ForeignK
     return sorted(found, key=lambda fk: (fk.parent, fk.column))
 
 
-def branches(model: WarehouseModel, leaf: str, max_columns: int = MAX_COLUMNS) -> list[Branch]:
+def branches(model: WarehouseModel, leaf: str, max_columns: int | None = None) -> list[Branch]:
     """The joins of a leaf, depth first: lookups before dimensions, each by table and key.
 
     Lookups are followed to their own lookups only. A table already on the path down to the
-    leaf is not entered again. Columns past the cap are left out, their joins too.
+    leaf is not entered again. There is no limit to the columns unless one is given.
     """
     found: list[Branch] = []
     used = {c.name for c in model[leaf].all_columns()}
@@ -70,7 +69,7 @@ def branches(model: WarehouseModel, leaf: str, max_columns: int = MAX_COLUMNS) -
         path = f"{path}_{role}" if path else role
         outputs = []
         for column in identifying_columns(parent):
-            if len(used) >= max_columns:
+            if max_columns is not None and len(used) >= max_columns:
                 break
             outputs.append((column, role_alias(path, column, used)))
         branch = Branch(len(found) + 1, child, fk.column, parent.name, parent.key, tuple(outputs))
@@ -106,7 +105,7 @@ def flatten(
     tables: dict[str, DataFrame],
     leaf: str,
     columns: list[str] | None = None,
-    max_columns: int = MAX_COLUMNS,
+    max_columns: int | None = None,
 ) -> DataFrame:
     """Left joins from a leaf to its ancestors.
 

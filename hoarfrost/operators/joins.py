@@ -63,7 +63,7 @@ def sized_join(
     else:
         heavy = heavy_keys(left if skew_from is None else skew_from, list(keys), heavy_rows)
         spread = _mark(left, list(keys), heavy).withColumn(
-            "__salt", F.pmod(F.xxhash64(*left.columns), F.col("__pieces"))
+            "__salt", F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.col("__pieces"))
         )
         copies = _mark(picked, list(names.values()), heavy).withColumn(
             "__copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__pieces") - 1))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -229,7 +230,7 @@ def catalog_columns(spark: SparkSession, model: WarehouseModel) -> DataFrame:
     )
 
 
-def climb_closure(edges: DataFrame, max_depth: int = 100) -> DataFrame:
+def climb_closure(edges: DataFrame) -> DataFrame:
     """Every (child, ancestor, depth) of an edge list with columns child and parent.
 
     One join per level climbs all paths at once; a node is not entered twice on a path, and
@@ -239,7 +240,7 @@ def climb_closure(edges: DataFrame, max_depth: int = 100) -> DataFrame:
     steps = edges.select("child", "parent").filter("child <> parent").distinct()
     level = steps.select("child", F.col("parent").alias("ancestor"), F.array("child", "parent").alias("path"))
     levels = []
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
         level = materialise(level, "climb")
         if level.isEmpty():
             break

@@ -13,8 +13,6 @@ from hoarfrost.operators.aggregates import AGGREGATES, top_n
 from hoarfrost.operators.filters import datekey_window, loaded_only
 from hoarfrost.operators.joins import climb, sized_join
 
-MAX_DEPTH = 4
-
 
 @dataclass(frozen=True)
 class Attribute:
@@ -45,8 +43,6 @@ def branch_path(model: WarehouseModel, fact: str, foreign_key: str, parents: tup
             raise ValueError(f"no way from {path[-1].parent} to {parent}")
         path.append(step)
         seen.add(parent)
-    if len(path) > MAX_DEPTH:
-        raise ValueError(f"a branch has at most {MAX_DEPTH} levels")
     return path
 
 

@@ -70,7 +70,7 @@ def load_batch(
         staged_dims = {n: s for n, s in stages.items() if model[n].kind in ("ref", "dim")}
         for name, merge in merge_dimensions(model, dims, staged_dims, batch_id, at).items():
             tables.write_version(merge.table, f"{root}/{name}", batch_id)
-            dims[name] = tables.read_version(spark, f"{root}/{name}", schema=model[name].schema_type())
+            dims[name] = tables.read_version(spark, f"{root}/{name}", batch_id + 1, model[name].schema_type())
             if all(c in dims[name].columns for c in VERSION_COLUMNS):
                 log = change_log(merge.changes, name, batch_id).withColumn("ChangedAtUtc", at)
                 append_control(spark, control, "ScdChangeLog", log)

@@ -77,7 +77,7 @@ def apply_stream(
         }
         for name, merge in merge_dimensions(model, dims, stages, batch_id, now).items():
             tables.write_version(merge.table, f"{warehouse}/{name}", batch_id)
-            dims[name] = tables.read_version(spark, f"{warehouse}/{name}")
+            dims[name] = tables.read_version(spark, f"{warehouse}/{name}", before=batch_id + 1)
         loaded = load_fact(model, fact, stage_of(df), dims, batch_id, now, highest=F.lit(batch_id) * 2**40)
         tables.replace_batch(loaded, f"{warehouse}/{fact}", batch_id)
 
