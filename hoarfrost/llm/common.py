@@ -52,6 +52,16 @@ def ship(spark: SparkSession) -> None:
     _sent.add(context.applicationId)
 
 
+#: What a worker remembers between tasks of the same kind.
+CACHES: list[dict] = []
+
+
+def forget() -> None:
+    """Drop what tasks of another kind have left in this worker."""
+    for cache in CACHES:
+        cache.clear()
+
+
 def release() -> None:
     """Hand freed memory back to the system: a worker lives on, and its next task may need another shape."""
     pa.default_memory_pool().release_unused()
@@ -59,11 +69,14 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with this package on the executors, and memory released after each task."""
+def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, keeps: bool = False) -> DataFrame:
+    """mapInArrow with this package on the executors, and memory released after each task. With `keeps`,
+    the task goes on with what earlier ones have left in the worker."""
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            forget()
         try:
             yield from f(batches)
         finally:

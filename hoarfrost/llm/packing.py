@@ -88,7 +88,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end: int, size: int, key: str
             row += len(doc)
             yield pa.RecordBatch.from_arrays(arrays, ["row", "doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return map_arrow(docs.select(F.col(key).cast("long").alias(key), text), cut, PIECE_SCHEMA)
+    return map_arrow(docs.select(F.col(key).cast("long").alias(key), text), cut, PIECE_SCHEMA, keeps=True)
 
 
 def pack(items: DataFrame, size: int) -> DataFrame:

@@ -42,7 +42,7 @@ def write_flat(docs: DataFrame, tokenizer: str, end: int, folder: str, key: str
             file.close()
 
     schema = f"file string, ordinal long, width int, {key} long"
-    return stored(map_arrow(docs.select(F.col(key).cast("long").alias(key), text), write, schema), "flat-order")
+    return stored(map_arrow(docs.select(F.col(key).cast("long").alias(key), text), write, schema, keeps=True), "flat-order")
 
 
 def scan_flat(files: DataFrame, folder: str, end: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -15,7 +15,7 @@ import zlib
 import numpy as np
 import pandas as pd
 
-from hoarfrost.llm.common import ragged
+from hoarfrost.llm.common import CACHES, ragged
 
 #: Pieces that a worker remembers, at about 50 bytes each. Later ones are encoded again when met.
 REMEMBERED = 1 << 20
@@ -263,6 +263,7 @@ class Encoder:
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
+CACHES.append(_encoders)
 
 
 def encoder(path: str, lower: bool) -> Encoder:

@@ -180,7 +180,7 @@ def write_shards(
 
     rows = docs.select(F.col(key).cast("long").alias(key), text, F.xxhash64(text).alias("_text"), F.monotonically_increasing_id().alias("_row"))
     ordered = rows.repartitionByRange(key, "_text", "_row").sortWithinPartitions(key, "_text", "_row").select(key, text)
-    return stored(map_arrow(ordered, write, "part long, seq long, file string, docs long, ids long"), "wavelet-files")
+    return stored(map_arrow(ordered, write, "part long, seq long, file string, docs long, ids long", keeps=True), "wavelet-files")
 
 
 def read_shards(files: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
