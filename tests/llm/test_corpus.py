@@ -260,7 +260,8 @@ def test_leaks_are_found_and_nothing_else(spark, hard, empty):
     for key, text in docs:
         some = words(text)
         want |= {(key, k) for k, w in items.items() if any(some[i : i + len(w)] == w for i in range(len(some)))}
-    assert want <= got and len(want) >= len(bench) - 2 and len(got - want) <= 2
+    # The planted ones count even where upper case has changed a letter (\u00df to SS).
+    assert got == want | {(10_000 + i, i) for i in range(len(bench))}
     none = spark.createDataFrame([], "item_id long, text string")
     assert leaks.find_leaks(hard, none).count() == 0 and leaks.find_leaks(empty, spark.read.parquet(f"{FOLDER}/benchmark.parquet")).count() == 0
     assert leaks.without_leaks(hard, none).count() == len(HARD)
