@@ -247,7 +247,9 @@ def learn(pages: DataFrame, key: str = "page_id", page: str = "html", most: int
     examples = [(t, states(t, True)) for t in examples]
     labelled = []
     rows = pages.where(F.col(page).rlike(r"(?i)<(article|main)[\s>]")).select(F.col(page).alias("html"), F.xxhash64(F.col(page)).alias("h"))
-    sample = rows.orderBy("h", "html").limit(most).collect() if most else []
+    # The hashes alone decide first, so that tasks do not each send a full sample of pages.
+    edge = rows.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0] if most else None
+    sample = rows.where(F.col("h") <= edge).orderBy("h", "html").limit(most).collect() if edge is not None else []
     for html_ in dict.fromkeys(r["html"] for r in sample):
         tree = parse(html_)
         if sum(t in MAIN_TAGS for t in tree.tags) == 1:
