@@ -24,6 +24,12 @@ CONTROL_TABLES = {
     "status string, checked_at timestamp_ntz",
     "ScdChangeLog": "BatchId bigint, DimensionName string, BusinessKeyValue string, ChangeTypeCode string, "
     "PreviousRowHash binary, NewRowHash binary, ChangedAtUtc timestamp_ntz",
+    "RejectedRow": "BatchId bigint, TargetSchemaName string, TargetTableName string, SourceRowNumber bigint, "
+    "RejectReasonText string, RejectedPayload string",
+    "LandingFile": "BatchId bigint, TableName string, FilePathText string, FileName string, RowsReadCount bigint, "
+    "RowsLoadedCount bigint, IngestStatusCode string",
+    "LoadAudit": "BatchId bigint, SchemaName string, TableName string, SourceRowCount bigint, InsertedRowCount bigint, "
+    "UpdatedRowCount bigint, MatchedRowCount bigint, RejectedRowCount bigint",
     "QueryTiming": "BatchId bigint, name string, row_count bigint, milliseconds double, status string, "
     "MeasuredAtUtc timestamp_ntz",
 }

@@ -167,7 +167,7 @@ def orphans(fact: DataFrame, dim: DataFrame, fk: str, key: str, exempt_unknown:
     if exempt_unknown:
         keys = keys.filter(F.col(fk) != UNKNOWN_KEY)
     counted = keys.groupBy(fk).agg(F.count("*").alias("row_count"))
-    return sized_join(counted, dim.select(key), {fk: key}, "left_anti")
+    return sized_join(counted, dim.select(key), {fk: key}, "left_anti", heavy_rows=None)
 
 
 def lookup_miss(stage: DataFrame, dim: DataFrame, natural: str, business_key: str) -> DataFrame:

@@ -61,32 +61,26 @@ def assign_keys(df: DataFrame, order: list[str], key: str, highest: Column | int
     ).drop("__n")
 
 
+# What the unknown member holds, by declared type, and for text by the end of the column's name.
+UNKNOWN_BY_TYPE = {
+    **dict.fromkeys(("int", "bigint", "smallint", "tinyint", "decimal", "money", "float"), 0),
+    "bit": False,
+    **dict.fromkeys(("date", "datetime2"), "1900-01-01"),
+    "time": "00:00:00",
+    "uniqueidentifier": "00000000-0000-0000-0000-000000000000",
+}
+UNKNOWN_TEXT = {"Name": "Unknown", "Code": "UNKNOWN", "Number": "UNKNOWN"}
+
+
 def unknown_value(name: str, declared: str) -> Column:
-    """The value a column takes in the unknown member."""
-    base = re.match("[a-z0-9]+", declared).group(0)
-    if name.endswith("Key"):
-        return F.lit(UNKNOWN_KEY)
-    if base in ("int", "bigint", "smallint", "tinyint", "decimal", "money", "float"):
-        return F.lit(0)
-    if base == "bit":
-        return F.lit(False)
-    if base in ("date", "datetime2"):
-        return F.lit("1900-01-01")
-    if base == "time":
-        return F.lit("00:00:00")
-    if base in ("binary", "varbinary"):
-        width = re.search(r"\((\d+)\)", declared)
-        return F.unhex(F.lit("00" * (int(width.group(1)) if width else 32)))
-    if base == "uniqueidentifier":
-        return F.lit("00000000-0000-0000-0000-000000000000")
-    if name.endswith("Name"):
-        text = "Unknown"
-    elif name.endswith(("Code", "Number")):
-        text = "UNKNOWN"
-    else:
-        text = "N/A"
-    width = re.search(r"\((\d+)\)", declared)
-    return F.lit(text[: int(width.group(1))] if width else text)
+    """The value a column takes in the unknown member: -1 for keys, zero bytes for binary."""
+    base, width = re.match(r"([a-z0-9]+)(?:\((\d+))?", declared).groups()
+    text = next((value for end, value in UNKNOWN_TEXT.items() if name.endswith(end)), "N/A")
+    values = {
+        **UNKNOWN_BY_TYPE,
+        **dict.fromkeys(("binary", "varbinary"), bytes(int(width or 32))),
+    }
+    return F.lit(UNKNOWN_KEY if name.endswith("Key") else values.get(base, text[: int(width)] if width else text))
 
 
 def with_unknown(df: DataFrame, spec: TableSpec) -> DataFrame:

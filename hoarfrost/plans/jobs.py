@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from hoarfrost.model import VERSION_COLUMNS, WarehouseModel
 from hoarfrost.operators import quality as dq
-from hoarfrost.operators.control import AGE_COLUMN, RETENTION_DAYS, append_control, batch_run, purge, read_control, record_step
+from hoarfrost.operators.control import AGE_COLUMN, CONTROL_TABLES, RETENTION_DAYS, append_control, batch_run, purge, read_control, record_step
 from hoarfrost.operators.facts import load_bridge, load_fact, lookup_misses, lookup_plan
 from hoarfrost.operators.joins import sized_join
 from hoarfrost.operators.keys import highest_key
-from hoarfrost.operators.scd import change_log, merge_dimensions
+from hoarfrost.operators.scd import change_log, load_audit, merge_dimensions
 from hoarfrost.session import materialise
 from hoarfrost.sources import files, landing, tables
 
@@ -60,6 +60,7 @@ def load_batch(
                 staged = landing.read_landing(spark, landing_root, batch_id, name, model.staging_schema(name))
                 tables.stage(staged, f"{root}/stage/{name}")
                 stages[name] = spark.read.schema(staged.schema).parquet(f"{root}/stage/{name}")
+        record_received(spark, model, landing_root, control, batch_id, list(stages))
         record_step(spark, control, batch_id, "stage", "Succeeded", started, _now())
 
         started = _now()
@@ -68,12 +69,19 @@ def load_batch(
         for name in (n for n in stages if model[n].kind in ("ref", "dim") and n not in dims):
             dims[name] = spark.createDataFrame([], model[name].schema_type())
         staged_dims = {n: s for n, s in stages.items() if model[n].kind in ("ref", "dim")}
+        audits = []
         for name, merge in merge_dimensions(model, dims, staged_dims, batch_id, at).items():
+            business_key = model[name].business_key
+            if business_key is not None:  # a row without its key cannot be stored
+                keyless = stages[name].filter(F.col(business_key.name).isNull()).agg(F.count("*")).scalar()
+                audits.append(load_audit(merge.changes, model[name].schema, name, batch_id, keyless))
             tables.write_version(merge.table, f"{root}/{name}", batch_id)
             dims[name] = tables.read_version(spark, f"{root}/{name}", batch_id + 1, model[name].schema_type())
             if all(c in dims[name].columns for c in VERSION_COLUMNS):
                 log = change_log(merge.changes, name, batch_id).withColumn("ChangedAtUtc", at)
                 append_control(spark, control, "ScdChangeLog", log)
+        if audits:
+            tables.replace_batch(reduce(DataFrame.unionByName, audits), f"{control}/LoadAudit", batch_id)
         record_step(spark, control, batch_id, "merge", "Succeeded", started, _now())
 
         started = _now()
@@ -102,6 +110,24 @@ def load_batch(
     return counts
 
 
+def record_received(spark: SparkSession, model: WarehouseModel, landing_root: str, control: str, batch_id: int, names: list[str]) -> None:
+    """Note every file of a batch with its rows read and loaded, and every row that did not
+    fit its table. A rerun replaces the notes of its batch."""
+    if not names:
+        return
+    found = [
+        landing.file_ingest(spark, landing.landing_path(landing_root, batch_id, n), model.staging_schema(n)).withColumn("TableName", F.lit(n))
+        for n in names
+    ]
+    tables.replace_batch(reduce(DataFrame.unionByName, found), f"{control}/LandingFile", batch_id)
+    noted = read_control(spark, control, "LandingFile").filter((F.col("BatchId") == batch_id) & (F.col("IngestStatusCode") != "Loaded"))
+    partial = [r[0] for r in noted.select("TableName").distinct().collect()]  # at most the tables of the model
+    raw = {n: landing.read_raw(spark, landing.landing_path(landing_root, batch_id, n), model.staging_schema(n)) for n in partial}
+    lost = [landing.rejects(raw[n], model.staging_schema(n), batch_id, "stg", n) for n in sorted(raw)]
+    none = spark.createDataFrame([], CONTROL_TABLES["RejectedRow"])
+    tables.replace_batch(reduce(DataFrame.unionByName, lost, none), f"{control}/RejectedRow", batch_id)
+
+
 def write_bridge(
     spark: SparkSession, model: WarehouseModel, name: str, staged: DataFrame, dims: dict[str, DataFrame], path: str, batch_id: int, now: Column
 ) -> None:

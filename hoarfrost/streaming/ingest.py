@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -12,19 +12,27 @@ from pyspark.sql.streaming import StreamingQuery
 from hoarfrost.model import WarehouseModel
 from hoarfrost.operators.facts import load_fact
 from hoarfrost.operators.scd import merge_dimensions
-from hoarfrost.sources import tables
-from hoarfrost.sources.landing import raw_options, text_schema, typed_rows
+from hoarfrost.sources import files, tables
+from hoarfrost.sources.landing import bad_row, raw_options, text_schema, typed
+
+LANDING_FILE = "LandingFile"
+BATCH_FOLDER = r"/([0-9]+)/stg\.[^/]+\.csv(?:/[^/]+)?$"
 
 
 def landing_stream(spark: SparkSession, pattern: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
-    """Typed rows of the landing files that match a path pattern, as they arrive."""
+    """Typed rows of the landing files that match a path pattern, as they arrive, with the file each
+    came from. The batch id is that of the landing folder, else the staged one."""
     raw = (
         spark.readStream.schema(text_schema(schema))
         .options(**raw_options())
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(pattern)
-    )
-    return typed_rows(raw, schema)
+    ).select("*", F.col("_metadata.file_path").alias(LANDING_FILE))
+    if "BatchId" in schema.names:
+        folder = F.regexp_extract(LANDING_FILE, BATCH_FOLDER, 1)
+        raw = raw.withColumn("BatchId", F.when(folder != "", folder).otherwise(F.col("BatchId")))
+    columns = [typed(f.name, f.dataType).alias(f.name) for f in schema.fields]
+    return raw.filter(~bad_row(schema)).select(*columns, LANDING_FILE)
 
 
 def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -58,26 +66,41 @@ def apply_stream(
     dim_of: Callable[[DataFrame], dict[str, DataFrame]],
     stage_of: Callable[[DataFrame], DataFrame],
 ) -> None:
-    """Merge the dimensions a micro-batch brings, then load its facts.
+    """Merge the dimensions that landed batches bring, then load their facts.
 
-    The micro-batch number plus one is the batch id. A repeat starts from the versions
-    before that id and overwrites what it wrote, so the outcome is the same.
+    Rows are kept by landed batch and file below the warehouse, so a file that comes again
+    replaces itself and a batch may come in several micro-batches. Every landed batch is
+    loaded by itself, from the versions before its id. Later versions build on earlier
+    ones: when a batch comes late or again, those after it are loaded again, in order.
     """
+    landed = f"{warehouse}/landed/{fact}"
 
     def handle(df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
-        batch_id = epoch + 1
-        df = df.withColumn("BatchId", F.lit(batch_id).cast("bigint"))
-        stages = dim_of(df)
-        names = [t.name for t in model.of_kind("ref", "dim")]
+        seen = Observation("landed")
+        kept = df.withColumn(LANDING_FILE, F.sha2(LANDING_FILE, 256)).observe(
+            seen, F.min("BatchId").alias("first"), F.count_if(F.col("BatchId").isNull()).alias("lost")
+        )
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("BatchId", LANDING_FILE).parquet(landed)
+        if seen.get["lost"]:
+            raise ValueError(f"{seen.get['lost']} rows of {fact} have no batch id")
+        first = seen.get["first"]
+        stored = spark.read.schema(kept.schema).parquet(landed)
+        found = [name for name, is_folder, _, _ in files.children(spark, landed) if is_folder and name.startswith("BatchId=")]
+        known = sorted(int(name.split("=")[1]) for name in found)
+        for batch_id in (b for b in known if first is not None and b >= first):
+            _apply_batch(stored.filter(F.col("BatchId") == batch_id).drop(LANDING_FILE), batch_id)
+
+    def _apply_batch(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
         dims = {
-            n: tables.read_version(spark, f"{warehouse}/{n}", before=batch_id)
-            for n in names
-            if tables.versions(spark, f"{warehouse}/{n}")
+            t.name: tables.read_version(spark, f"{warehouse}/{t.name}", batch_id)
+            for t in model.of_kind("ref", "dim")
+            if any(v < batch_id for v in tables.versions(spark, f"{warehouse}/{t.name}"))
         }
-        for name, merge in merge_dimensions(model, dims, stages, batch_id, now).items():
+        for name, merge in merge_dimensions(model, dims, dim_of(df), batch_id, now).items():
             tables.write_version(merge.table, f"{warehouse}/{name}", batch_id)
-            dims[name] = tables.read_version(spark, f"{warehouse}/{name}", before=batch_id + 1)
+            dims[name] = tables.read_version(spark, f"{warehouse}/{name}", batch_id + 1)
         loaded = load_fact(model, fact, stage_of(df), dims, batch_id, now, highest=F.lit(batch_id) * 2**40)
         tables.replace_batch(loaded, f"{warehouse}/{fact}", batch_id)
 

@@ -106,3 +106,18 @@ def test_a_failed_load_is_recorded_and_changes_nothing(spark, roots, monkeypatch
     assert contents(spark, root) == before
     errors = read_control(spark, f"{root}/control", "LoadError").filter("BatchId = 7")
     assert [r.ErrorMessage for r in errors.collect()] == ["disk full"]
+
+
+def test_rows_that_do_not_fit_are_recorded_once(spark, tmp_path):
+    landing_root, root = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    land(landing_root, 1, "Operator", ("O1", "Ann"), (None, "Bob"))
+    with open(landing.landing_path(landing_root, 1, "Operator"), "a") as f:
+        f.write("O3,Cy,1,three\n")
+    control = f"{root}/control"
+    for _ in range(2):  # a rerun replaces what it noted
+        jobs.load_batch(spark, MODEL, landing_root, root, 1, at(10))
+        lost = read_control(spark, control, "RejectedRow")
+        assert rows(lost, "BatchId", "TargetTableName", "RejectReasonText") == [(1, "Operator", "RowNumber is not bigint")]
+        assert rows(read_control(spark, control, "LandingFile"), "TableName", "RowsReadCount", "RowsLoadedCount", "IngestStatusCode") == [("Operator", 3, 2, "Partial")]
+        audit = read_control(spark, control, "LoadAudit")
+        assert rows(audit, "TableName", "InsertedRowCount", "RejectedRowCount") == [("Operator", 1, 1)]

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -12,8 +13,6 @@ SCHEMA = "WorkOrderNumber,OrderQuantity,OrderDateKey,CloseDateKey,StartTimeOfDay
 
 
 def land(root, batch, *orders):
-    import os
-
     path = landing.landing_path(root, batch, "ProductionOrder")
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w") as f:
@@ -61,12 +60,37 @@ def test_batches_apply_once_and_repeat_safely(spark, tmp_path):
     assert len(after) == 5 and after[3:] == [(2, "O2", 8, 3), (2, "O3", 9, 3)]
     assert tables.read_version(spark, f"{warehouse}/Operator").select("OperatorKey").distinct().count() == 3
 
-    # A stream that lost its progress brings all files again as batch 1: same orders, same
-    # operators, each once.
+    # A stream that lost its progress brings all files again: each batch replaces itself.
     land(root, 1, ("O1", 5))
     run(spark, root, warehouse, str(tmp_path / "checkpoint-new"))
-    again = [r for r in state(spark, warehouse) if r[0] == 1]
-    assert sorted(r[1:3] for r in again) == [("O1", 5), ("O2", 8), ("O3", 9)]
+    assert state(spark, warehouse) == [(1, "O1", 5, 3), (2, "O2", 8, 3), (2, "O3", 9, 3)]
+
+
+def keys(spark, warehouse):
+    return rows(spark.read.schema(MODEL["ProductionOrder"].schema_type()).parquet(f"{warehouse}/ProductionOrder"), "BatchId", "ProductionOrderKey")
+
+
+def test_batches_that_share_a_trigger_keep_their_ids(spark, tmp_path):
+    root, warehouse, checkpoint = (str(tmp_path / p) for p in ("landing", "warehouse", "checkpoint"))
+    prepare(spark, warehouse)
+    land(root, 2, ("O1", 5), ("O2", 6))
+    land(root, 3, ("O1", 7), ("O3", 8))
+    run(spark, root, warehouse, checkpoint)
+    assert state(spark, warehouse) == [(2, "O1", 5, 3), (2, "O2", 6, 3), (3, "O1", 7, 3), (3, "O3", 8, 3)]
+    assert keys(spark, warehouse) == [(b, b * 2**40 + n) for b in (2, 3) for n in (1, 2)]
+    # A late batch comes before the others: they are loaded again on top of it.
+    land(root, 1, ("O4", 1))
+    run(spark, root, warehouse, checkpoint)
+    assert len(state(spark, warehouse)) == 5 and len(keys(spark, warehouse)) == 5
+    names = rows(tables.read_version(spark, f"{warehouse}/Operator"), "OperatorNumber")
+    assert names == [("O1",), ("O2",), ("O3",), ("O4",)]
+
+    # The files of old batches are gone and the progress too: what was loaded stays.
+    os.remove(landing.landing_path(root, 1, "ProductionOrder"))
+    os.remove(landing.landing_path(root, 2, "ProductionOrder"))
+    before = state(spark, warehouse)
+    run(spark, root, warehouse, str(tmp_path / "checkpoint-new"))
+    assert state(spark, warehouse) == before
 
 
 def test_ingest_takes_each_file_once(spark, tmp_path):
