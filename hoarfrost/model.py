@@ -74,6 +74,7 @@ class ForeignKey:
     role: str = ""
     nullable: bool = False
     member: bool = False  # bridge grain
+    type: str = "int"  # that of the parent's key, set when a model is made
 
     @property
     def column(self) -> str:
@@ -102,6 +103,11 @@ class TableSpec:
     def key(self) -> str:
         return self.business_key.name if self.explicit_key else f"{self.name}Key"
 
+    @property
+    def own_key_type(self) -> str:
+        """Facts and bridges grow with the data; a dimension that may pass 2^31 rows says so."""
+        return self.key_type or ("bigint" if self.kind in ("fact", "bridge") else "int")
+
     @property
     def schema(self) -> str:
         return self.kind
@@ -121,17 +127,16 @@ class TableSpec:
     @property
     def references(self) -> tuple[ForeignKey, ...]:
         """Declared foreign keys plus the date and time roles of a fact."""
-        dates = tuple(ForeignKey("Date", role) for role in self.date_roles)
+        dates = tuple(ForeignKey("Date", role) for role in self.date_roles)  # yyyymmdd and seconds fit an int
         times = tuple(ForeignKey("TimeOfDay", role) for role in self.time_roles)
         return dates + times + self.foreign_keys
 
     def all_columns(self) -> tuple[Column, ...]:
         """Every column in table order, injected ones included."""
-        key_type = self.key_type or ("bigint" if self.kind == "fact" else "int")
-        cols = [Column(self.key, key_type, False)]
+        cols = [Column(self.key, self.own_key_type, False)]
         if self.business_key and not self.explicit_key:
             cols.append(replace(self.business_key, nullable=False))
-        cols += [Column(fk.column, "int", fk.nullable) for fk in self.references]
+        cols += [Column(fk.column, fk.type, fk.nullable) for fk in self.references]
         cols += list(self.columns)
         if self.lag_column:
             cols.append(Column(self.lag_column, "int"))
@@ -170,7 +175,12 @@ class WarehouseModel:
 
     @classmethod
     def of(cls, *specs: TableSpec) -> "WarehouseModel":
-        return cls({s.name: s for s in specs})
+        """A model of these tables, with every foreign key as wide as its parent's key."""
+        keys = {s.name: s.own_key_type for s in specs}
+        typed = [
+            replace(s, foreign_keys=tuple(replace(fk, type=keys.get(fk.parent, fk.type)) for fk in s.foreign_keys)) for s in specs
+        ]
+        return cls({s.name: s for s in typed})
 
     def __getitem__(self, name: str) -> TableSpec:
         return self.tables[name]
@@ -208,7 +218,7 @@ class WarehouseModel:
             if parent is None:
                 continue
             if parent.explicit_key:
-                cols.append(Column(fk.column, "int", fk.nullable))
+                cols.append(Column(fk.column, fk.type, fk.nullable))
             else:
                 cols.append(Column(self.natural_column(fk), parent.business_key.type, fk.nullable))
         cols += [Column("BatchId", "bigint", False), Column("RowNumber", "bigint", False)]

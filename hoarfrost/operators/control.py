@@ -44,6 +44,10 @@ AGE_COLUMN = {
     "QueryTiming": "MeasuredAtUtc",
 }
 RETENTION_DAYS = 14
+RUN = "run"
+
+# Control tables kept by batch: a batch folder ages as a whole.
+BY_BATCH = ("LandingFile", "RejectedRow", "LoadAudit")
 MESSAGE_LIMIT = 4000
 
 
@@ -52,17 +56,43 @@ def fit_columns(rows: DataFrame, target: list[str]) -> DataFrame:
     return rows.select(*[c for c in rows.columns if c in target])
 
 
-def append_control(spark: SparkSession, root: str, table: str, rows: DataFrame) -> None:
-    """Append rows to a control table; its missing columns are NULL."""
+def _fitted(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:
+    """Rows with the columns and types of a control table; missing columns are NULL."""
     empty = spark.createDataFrame([], CONTROL_TABLES[table])
     fitted = fit_columns(rows, empty.columns)
     typed = fitted.select(*[F.col(c).cast(empty.schema[c].dataType).alias(c) for c in fitted.columns])
-    empty.unionByName(typed, allowMissingColumns=True).write.mode("append").parquet(f"{root}/{table}")
+    return empty.unionByName(typed, allowMissingColumns=True)
+
+
+def append_control(spark: SparkSession, root: str, table: str, rows: DataFrame) -> None:
+    """Append rows to a control table."""
+    _fitted(spark, table, rows).write.mode("append").parquet(f"{root}/{table}")
+
+
+def replace_control(spark: SparkSession, root: str, table: str, rows: DataFrame, run: str) -> None:
+    """Write what one run has to say to a control table. The rows lie in a folder of the run,
+    so the same run, made again, takes the place of the first."""
+    path = f"{root}/{table}/{RUN}={run}"
+    _fitted(spark, table, rows).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def read_control(spark: SparkSession, root: str, table: str) -> DataFrame:
     schema = spark.createDataFrame([], CONTROL_TABLES[table]).schema
-    return spark.read.schema(schema).parquet(f"{root}/{table}")
+    return spark.read.schema(schema).parquet(f"{root}/{table}").select(*schema.names)
+
+
+def expired_files(spark: SparkSession, root: str, table: str, now: Column, days: int = RETENTION_DAYS) -> list[str]:
+    """Files of a control table of which every row is past its retention, below the table's folder.
+
+    Rows are appended and never changed, so a file ages as a whole. Deleting such files takes
+    nothing else along, wherever it stops, and there are few: some per run of a job.
+    """
+    schema = spark.createDataFrame([], CONTROL_TABLES[table]).schema
+    at = F.col(AGE_COLUMN[table])
+    aged = spark.read.schema(schema).parquet(f"{root}/{table}").select("_metadata.file_path", at.alias("at"))
+    newest = aged.groupBy("file_path").agg(F.max("at").alias("at"), F.count_if(F.col("at").isNull()).alias("undated"))
+    old = newest.filter((F.col("undated") == 0) & (F.col("at") < now - F.make_dt_interval(F.lit(days))))
+    return [r[0] for r in old.select(F.regexp_extract("file_path", f"/{table}/(.+)$", 1)).collect()]
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:

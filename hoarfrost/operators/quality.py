@@ -118,6 +118,10 @@ def orphan_checks(
     return reduce(DataFrame.unionByName, parts)
 
 
+def spark_of(tables: dict[str, DataFrame]) -> SparkSession:
+    return next(iter(tables.values())).sparkSession
+
+
 def foreign_key_checks(model: WarehouseModel, tables: dict[str, DataFrame], kinds: tuple[str, ...], exempt_unknown: bool) -> DataFrame:
     """Orphan checks for every declared foreign key of the tables present."""
     parts = []
@@ -132,6 +136,8 @@ def foreign_key_checks(model: WarehouseModel, tables: dict[str, DataFrame], kind
         }
         if parents:
             parts.append(orphan_checks(df, f"{spec.schema}.{spec.name}", parents, exempt_unknown))
+    if not parts:  # no table of these kinds has data yet
+        return spark_of(tables).createDataFrame([], "rule string, `table` string, checked bigint, failed bigint")
     return reduce(DataFrame.unionByName, parts)
 
 

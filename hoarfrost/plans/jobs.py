@@ -14,7 +14,17 @@ from pyspark.sql import functions as F
 
 from hoarfrost.model import VERSION_COLUMNS, WarehouseModel
 from hoarfrost.operators import quality as dq
-from hoarfrost.operators.control import AGE_COLUMN, CONTROL_TABLES, RETENTION_DAYS, append_control, batch_run, purge, read_control, record_step
+from hoarfrost.operators.control import (
+    AGE_COLUMN,
+    BY_BATCH,
+    CONTROL_TABLES,
+    RETENTION_DAYS,
+    batch_run,
+    expired_files,
+    read_control,
+    record_step,
+    replace_control,
+)
 from hoarfrost.operators.facts import load_bridge, load_fact, lookup_misses, lookup_plan
 from hoarfrost.operators.joins import sized_join
 from hoarfrost.operators.keys import highest_key
@@ -69,7 +79,7 @@ def load_batch(
         for name in (n for n in stages if model[n].kind in ("ref", "dim") and n not in dims):
             dims[name] = spark.createDataFrame([], model[name].schema_type())
         staged_dims = {n: s for n, s in stages.items() if model[n].kind in ("ref", "dim")}
-        audits = []
+        audits, logs = [], []
         for name, merge in merge_dimensions(model, dims, staged_dims, batch_id, at).items():
             business_key = model[name].business_key
             if business_key is not None:  # a row without its key cannot be stored
@@ -78,13 +88,15 @@ def load_batch(
             tables.write_version(merge.table, f"{root}/{name}", batch_id)
             dims[name] = tables.read_version(spark, f"{root}/{name}", batch_id + 1, model[name].schema_type())
             if all(c in dims[name].columns for c in VERSION_COLUMNS):
-                log = change_log(merge.changes, name, batch_id).withColumn("ChangedAtUtc", at)
-                append_control(spark, control, "ScdChangeLog", log)
+                logs.append(change_log(merge.changes, name, batch_id).withColumn("ChangedAtUtc", at))
+        none = spark.createDataFrame([], CONTROL_TABLES["ScdChangeLog"])
+        replace_control(spark, control, "ScdChangeLog", reduce(DataFrame.unionByName, logs, none), f"load-{batch_id}")
         if audits:
             tables.replace_batch(reduce(DataFrame.unionByName, audits), f"{control}/LoadAudit", batch_id)
         record_step(spark, control, batch_id, "merge", "Succeeded", started, _now())
 
         started = _now()
+        missed = spark.createDataFrame([], CONTROL_TABLES["DqResult"])
         for name, staged in stages.items():
             spec, path = model[name], f"{root}/{name}"
             if spec.kind == "bridge":
@@ -105,7 +117,8 @@ def load_batch(
             plan = [p for p in lookup_plan(model, name, staged.columns) if p.mode == "natural"]
             if plan:
                 misses = dq.results(lookup_misses(flagged, plan, name), batch_id, at)
-                append_control(spark, control, "DqResult", misses.filter("status = 'Fail'"))
+                missed = missed.unionByName(misses.filter("status = 'Fail'"))
+        replace_control(spark, control, "DqResult", missed, f"load-{batch_id}")
         record_step(spark, control, batch_id, "load facts", "Succeeded", started, _now())
     return counts
 
@@ -151,7 +164,7 @@ def check_quality(spark: SparkSession, model: WarehouseModel, root: str, batch_i
     parts = [dq.profile(found[n], model[n], rules) for n in sorted(found)]
     parts.append(dq.foreign_key_checks(model, found, ("fact",), exempt_unknown=True))
     checked = materialise(dq.results(reduce(DataFrame.unionByName, parts), batch_id, now), "quality")
-    append_control(spark, f"{root}/control", "DqResult", checked)
+    replace_control(spark, f"{root}/control", "DqResult", checked, f"quality-{batch_id}")
     return checked
 
 
@@ -163,9 +176,10 @@ def keep_house(spark: SparkSession, landing_root: str, root: str, now: dt.dateti
     at = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
     for table in sorted(AGE_COLUMN):
         if files.exists(spark, f"{control}/{table}"):
-            # Written elsewhere first: a table cannot be replaced while it is being read.
-            kept = materialise(purge(read_control(spark, control, table), table, at, days), f"kept-{table}")
-            tables.stage(kept, f"{control}/{table}")
+            for name in expired_files(spark, control, table, at, days):
+                files.delete(spark, f"{control}/{table}/{name}")
+    for table in BY_BATCH:
+        landing.purge_landing(spark, f"{control}/{table}", int(cutoff.replace(tzinfo=dt.timezone.utc).timestamp() * 1000))
     for name, is_folder, _, _ in files.children(spark, root):
         if is_folder and tables.versions(spark, f"{root}/{name}"):
             done[name] = len(tables.drop_old_versions(spark, f"{root}/{name}"))

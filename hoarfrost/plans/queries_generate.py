@@ -1,35 +1,16 @@
-"""Calendar, clock and synthetic tables, each over rows or keys of the trade tables."""
+"""Calendar and clock with the trade rows of each day and minute, and unique business keys."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from hoarfrost.functions.scalars import seconds_of_day
-from hoarfrost.model import Column as C
-from hoarfrost.model import ForeignKey as FK
-from hoarfrost.model import TableSpec
-from hoarfrost.operators.aggregates import row_counts
-from hoarfrost.operators.generate import (
-    HOLIDAYS,
-    WORDS,
-    apportion,
-    date_dimension,
-    reconcile_quantities,
-    spread_fk,
-    synthesize,
-    synthesize_batch,
-    time_dimension,
-)
-from hoarfrost.operators.joins import sized_join
+from hoarfrost.operators.generate import HOLIDAYS, date_dimension, time_dimension
 from hoarfrost.operators.keys import dedupe_business_key
-from hoarfrost.plans.check_sql import bucket, hash_number, key_of, small
+from hoarfrost.plans.check_sql import bucket, key_of, small
 from hoarfrost.plans.registry import query
-from hoarfrost.plans.states import numbered_sql
-from hoarfrost.session import scratch
-from hoarfrost.sources import landing, tables, trade
-from hoarfrost.sources.trade import MODEL, TABLES, read, trade_warehouse
+from hoarfrost.sources import trade
+from hoarfrost.sources.trade import read, trade_warehouse
 
 AS_OF = trade.AS_OF
 DAY = f"DATE '{AS_OF}'"
@@ -55,8 +36,9 @@ GN_DATE = f"""SELECT {key_of('d')} AS DateKey, CAST(isoyear(d) * 100 + week(d) A
     CAST((year(d) - {AS_OF.year}) * 12 + month(d) - {AS_OF.month} AS INTEGER) AS MonthsFromToday,
     last_day(d) = d AS IsMonthEnd, last_day(d) = d AND month(d) IN (3, 6, 9, 12) AS IsQuarterEnd,
     month(d) = 12 AND day(d) = 31 AS IsYearEnd, OrderCount
-  FROM (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS OrderCount, (month(CAST(o_orderdate AS DATE)) + 5) % 12 + 1 AS fp,
-    year(CAST(o_orderdate AS DATE)) + CASE WHEN month(CAST(o_orderdate AS DATE)) >= 7 THEN 1 ELSE 0 END AS fy FROM orders GROUP BY ALL) x"""
+  FROM (SELECT d, coalesce(n, 0) AS OrderCount, (month(d) + 5) % 12 + 1 AS fp, year(d) + CASE WHEN month(d) >= 7 THEN 1 ELSE 0 END AS fy
+    FROM (SELECT CAST(day AS DATE) AS d FROM generate_series(DATE '{trade.CALENDAR_START}', DATE '{trade.CALENDAR_END}', INTERVAL 1 DAY) t(day)) c
+    LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS ordered, count(*) AS n FROM orders GROUP BY 1) o ON ordered = d) x"""
 
 
 @query("gn_date", GN_DATE)
@@ -64,7 +46,7 @@ def gn_date(spark, folder):
     wh = trade_warehouse(spark, folder)
     days = date_dimension(spark, trade.CALENDAR_START, trade.CALENDAR_END, AS_OF)
     ordered = wh["OrderCycle"].groupBy(F.col("OrderDateKey").alias("DateKey")).agg(F.count("*").alias("OrderCount"))
-    return days.join(ordered, "DateKey")
+    return days.join(ordered, "DateKey", "left").fillna(0, ["OrderCount"])
 
 
 GN_TIME = """SELECT CAST(s AS INTEGER) AS TimeOfDayKey, CAST(h // 8 + 1 AS INTEGER) AS ShiftCodeKey,
@@ -74,14 +56,16 @@ GN_TIME = """SELECT CAST(s AS INTEGER) AS TimeOfDayKey, CAST(h // 8 + 1 AS INTEG
     lpad(CAST(h AS VARCHAR), 2, '0') || ':00-' || lpad(CAST(h AS VARCHAR), 2, '0') || ':59' AS HourBucketName,
     CASE WHEN h < 6 OR h >= 22 THEN 'Night' WHEN h < 14 THEN 'Day' ELSE 'Evening' END AS ShiftBucketName,
     h >= 8 AND h < 17 AS IsBusinessHour, strftime(TIMESTAMP '2000-01-01' + to_seconds(s), '%I:%M %p') AS DisplayTime, EventCount
-  FROM (SELECT hour(ts) AS h, hour(ts) * 3600 + minute(ts) * 60 AS s, count(*) AS EventCount FROM events GROUP BY ALL) x"""
+  FROM (SELECT s, s // 3600 AS h, coalesce(n, 0) AS EventCount FROM range(0, 86400, 60) t(s)
+    LEFT JOIN (SELECT hour(ts) * 3600 + minute(ts) * 60 AS minute_start, count(*) AS n FROM events GROUP BY 1) e ON minute_start = s) x"""
 
 
 @query("gn_time", GN_TIME)
 def gn_time(spark, folder):
     seconds = seconds_of_day("ts")
     minutes = read(spark, folder, "events").groupBy((seconds - seconds % 60).cast("int").alias("TimeOfDayKey"))
-    return time_dimension(spark).join(minutes.agg(F.count("*").alias("EventCount")), "TimeOfDayKey")
+    counted = minutes.agg(F.count("*").alias("EventCount"))
+    return time_dimension(spark).join(counted, "TimeOfDayKey", "left").fillna(0, ["EventCount"])
 
 
 @query("gn_unique_bk", f"""SELECT p_partkey, CASE WHEN n = 1 THEN p_name ELSE left(p_name, 24 - length('-' || n)) || '-' || n END AS PartCode
@@ -89,101 +73,3 @@ def gn_time(spark, folder):
 def gn_unique_bk(spark, folder):
     parts = read(spark, folder, "part").select("p_partkey", F.col("p_name").alias("PartCode"))
     return dedupe_business_key(parts, "PartCode", ["p_partkey"], limit=24)
-
-
-TARGET = 500_000
-WEIGHTS = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS w FROM {t}" for t in TABLES)
-
-
-@query("gn_apportion", f"""WITH w AS ({WEIGHTS}), r AS (
-    SELECT table_name, greatest(1, CAST(round_even({TARGET} * (w / CAST((SELECT sum(w) FROM w) AS DOUBLE)), 0) AS BIGINT)) AS n FROM w),
-  x AS (SELECT table_name, n, (SELECT CAST(sum(n) AS BIGINT) FROM r) - {TARGET} AS excess FROM r)
-  SELECT table_name, CAST(CASE WHEN excess > 0 THEN n - CASE WHEN n > 1 AND sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) OVER (ORDER BY table_name) <= excess THEN 1 ELSE 0 END
-    ELSE n + CASE WHEN row_number() OVER (ORDER BY table_name) <= -excess THEN 1 ELSE 0 END END AS BIGINT) AS row_target FROM x""")
-def gn_apportion(spark, folder):
-    weights = row_counts({t: read(spark, folder, t) for t in TABLES})
-    return apportion(weights, "table_name", "row_count", TARGET)
-
-
-SPREAD = f"""SELECT event_id, CAST(CASE WHEN event_id % 17 = 0 THEN -1 ELSE p.s_suppkey END AS BIGINT) AS SupplierKey
-  FROM (SELECT event_id, {hash_number("'42|SupplierKey|' || event_id")} % (SELECT count(*) FROM supplier) + 1 AS pick FROM events) e
-  JOIN (SELECT s_suppkey, {numbered_sql('s_suppkey')} AS n FROM supplier) p ON p.n = e.pick"""
-
-
-@query("gn_fk_spread", SPREAD)
-def gn_fk_spread(spark, folder):
-    events = read(spark, folder, "events").select("event_id")
-    suppliers = trade_warehouse(spark, folder)["Supplier"]
-    return spread_fk(events, "event_id", suppliers, "SupplierKey", "SupplierKey", nullable=True)
-
-
-ITEM = TableSpec(
-    "ServicePart", "dim",
-    (
-        C("ServicePartName", "nvarchar(60)"), C("StandardCostAmount", "money"), C("ShelfLifeDays", "int"), C("ReorderQuantity", "decimal(9,2)"),
-        C("IsSpare", "bit"), C("IntroducedDate", "date"), C("OriginCountryCode", "char(2)"),
-    ),
-    C("ServicePartNumber", "nvarchar(40)"), (FK("Brand"), FK("Supplier", "Preferred", True)), key_type="bigint",
-)
-WORD_LIST = "[" + ", ".join(f"'{w}'" for w in WORDS) + "]"
-
-
-def _pick(table: str, role: str) -> str:
-    return f"{hash_number(f"'42|{role}|' || q")} % (SELECT count(*) FROM {table}) + 1 AS pick_{role}"
-
-
-def _parent(table: str, key: str, role: str) -> str:
-    return f"JOIN (SELECT {key}, {numbered_sql(key)} AS n FROM {table}) {role} ON {role}.n = pick_{role}"
-
-
-BRANDS = "(SELECT DISTINCT CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS b FROM part)"
-
-
-@query("gn_table", f"""SELECT q AS ServicePartKey, 'SP' || CASE WHEN length(CAST(q AS VARCHAR)) >= 6 THEN CAST(q AS VARCHAR) ELSE lpad(CAST(q AS VARCHAR), 6, '0') END AS ServicePartNumber,
-    BrandKey.b AS BrandKey, CAST(CASE WHEN q % 17 = 0 THEN -1 ELSE PreferredSupplierKey.s_suppkey END AS INTEGER) AS PreferredSupplierKey,
-    {WORD_LIST}[{hash_number("'42|ServicePart|ServicePartName|' || q")} % {len(WORDS)} + 1] || ' ServicePart ' || q AS ServicePartName,
-    CAST((1000 + (q * 137) % 900000) * 0.01 AS DECIMAL(19,4)) AS StandardCostAmount, CAST(1 + q % 28 AS INTEGER) AS ShelfLifeDays,
-    CAST((1 + (q * 7) % 10000) * 0.1 AS DECIMAL(9,2)) AS ReorderQuantity, q % 5 <> 0 AS IsSpare,
-    DATE '2020-01-01' + CAST(q % 1460 AS INTEGER) AS IntroducedDate,
-    ['US', 'CA', 'MX', 'DE', 'GB', 'JP', 'CN', 'IN'][q % 8 + 1] AS OriginCountryCode, CAST(1 AS BIGINT) AS BatchId
-  FROM (SELECT q, {_pick(BRANDS + ' bb', 'BrandKey')}, {_pick('supplier', 'PreferredSupplierKey')} FROM (SELECT p_partkey + 1 AS q FROM part) t) s
-  {_parent(BRANDS + ' bb', 'b', 'BrandKey')} {_parent('supplier', 's_suppkey', 'PreferredSupplierKey')}""")
-def gn_table(spark, folder):
-    wh = trade_warehouse(spark, folder)
-    rows = read(spark, folder, "part").select((F.col("p_partkey") + 1).alias("seq"))
-    parents = {"Brand": (wh["Brand"].select("BrandKey").distinct(), "BrandKey"), "Supplier": (wh["Supplier"], "SupplierKey")}
-    made = synthesize(rows, "seq", ITEM, parents, AS_OF, F.lit(AS_OF.isoformat()))
-    return made.drop("SourceSystemKey", "LoadedAtUtc")
-
-
-@query("gn_consistent", """SELECT OrderNumber, CAST(100 + OrderNumber % 900 AS DECIMAL(18,4)) AS TotalQuantity, CAST((100 + OrderNumber % 900) // 25 AS DECIMAL(18,4)) AS ScrapQuantity,
-    CAST(100 + OrderNumber % 900 - (100 + OrderNumber % 900) // 25 AS DECIMAL(18,4)) AS GoodQuantity, abs(hours) AS TransitHours
-  FROM (SELECT l_orderkey AS OrderNumber, CAST(date_diff('day', o_orderdate, l_shipdate) * 24 AS INTEGER) AS hours FROM lineitem JOIN orders ON o_orderkey = l_orderkey) x""")
-def gn_consistent(spark, folder):
-    zero = F.lit(0).cast("decimal(18,4)")
-    orders = read(spark, folder, "orders").select("o_orderkey", "o_orderdate")
-    lines = sized_join(read(spark, folder, "lineitem"), orders, {"l_orderkey": "o_orderkey"})
-    rows = lines.select(
-        F.col("l_orderkey").alias("OrderNumber"), zero.alias("TotalQuantity"), zero.alias("ScrapQuantity"), zero.alias("GoodQuantity"),
-        (F.datediff("l_shipdate", "o_orderdate") * 24).alias("TransitHours"),
-    )
-    return reconcile_quantities(rows, "OrderNumber")
-
-
-BATCH = 77
-
-
-@query("gn_batch", f"""SELECT 'CE' || CASE WHEN length(CAST(q AS VARCHAR)) >= 6 THEN CAST(q AS VARCHAR) ELSE lpad(CAST(q AS VARCHAR), 6, '0') END AS EventTypeCode,
-    CAST((1000 + (q * 137) % 900000) * 0.01 AS DECIMAL(18,4)) AS EventAmount,
-    {key_of(f"DATE '2024-01-31' - CAST({hash_number(f"'{BATCH}|EventDateKey|' || q")} % 366 AS INTEGER)")} AS EventDateKey,
-    CAST({hash_number(f"'{BATCH}|EventTimeOfDayKey|' || q")} % 86400 AS INTEGER) AS EventTimeOfDayKey,
-    c.c_name AS CustomerCustomerNumber, CAST({BATCH} AS BIGINT) AS BatchId, q AS RowNumber
-  FROM (SELECT q, {hash_number(f"'{BATCH}|CustomerCustomerNumber|' || q")} % (SELECT count(*) FROM customer) + 1 AS pick
-    FROM (SELECT event_id + 1 AS q FROM events) t) s JOIN (SELECT c_name, {numbered_sql('c_name')} AS n FROM customer) c ON c.n = s.pick""")
-def gn_batch(spark, folder):
-    rows = read(spark, folder, "events").select((F.col("event_id") + 1).alias("seq"))
-    pools = {"Customer": (trade_warehouse(spark, folder)["Customer"], "CustomerNumber")}
-    made = synthesize_batch(MODEL, "CustomerEvent", rows, "seq", pools, BATCH, dt.date(2024, 1, 31))
-    root = scratch(spark, "landing")
-    tables.write_extract(made, landing.landing_path(root, BATCH, "CustomerEvent"))
-    return landing.read_landing(spark, root, BATCH, "CustomerEvent", MODEL.staging_schema("CustomerEvent"))

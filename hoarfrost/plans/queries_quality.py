@@ -380,13 +380,14 @@ def ct_retention(spark, folder):
     return remaining.groupBy("DimensionName").agg(F.count("*").alias("kept"), F.min("ChangedAtUtc").alias("oldest"))
 
 
-@query("ct_maintain", f"""SELECT l_returnflag, l_linestatus, count(*) AS n, {total(dec('l_extendedprice'))} AS amount, 1 AS files
-  FROM lineitem GROUP BY 1, 2""")
+@query("ct_maintain", f"""SELECT l_returnflag, l_linestatus, count(*) AS n, {total(dec('l_extendedprice'))} AS amount,
+    'l_returnflag=' || l_returnflag || '/l_linestatus=' || l_linestatus AS folder FROM lineitem GROUP BY 1, 2""")
 def ct_maintain(spark, folder):
     source, target = scratch(spark, "small"), scratch(spark, "compact")
-    read(spark, folder, "lineitem").repartition(16, "l_orderkey").write.parquet(source)
+    small = read(spark, folder, "lineitem").repartition(16, "l_orderkey")
+    small.write.partitionBy("l_returnflag", "l_linestatus").parquet(source)
     tables.compact(spark, source, target)
-    compacted = spark.read.parquet(target).withColumn("__file", F.input_file_name())
-    return compacted.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count("*").alias("n"), F.sum(money("l_extendedprice")).alias("amount"), F.countDistinct("__file").cast("int").alias("files")
+    compacted = spark.read.parquet(target).withColumn("folder", F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+)/[^/]+$", 1))
+    return compacted.groupBy("l_returnflag", "l_linestatus", "folder").agg(
+        F.count("*").alias("n"), F.sum(money("l_extendedprice")).alias("amount")
     )

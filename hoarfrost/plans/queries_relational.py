@@ -35,7 +35,7 @@ from hoarfrost.operators.quality import climb_closure
 from hoarfrost.plans.check_sql import average, big, code_key, dec, key_of, month_of, quotient, share, total, units
 from hoarfrost.plans.check_sql import hash_number as sql_hash
 from hoarfrost.plans.registry import query
-from hoarfrost.plans.states import CUSTOMERS_AT, FIRST, SECOND, customer_dim
+from hoarfrost.plans.states import CUSTOMERS_AT, FIRST, customer_dim
 from hoarfrost.sources import trade
 from hoarfrost.sources.trade import AS_OF, MODEL, TABLES, money, read, trade_warehouse
 
@@ -62,10 +62,10 @@ CYCLES = f"""(
 
 @query(
     "prj_shared",
-    f"SELECT MarketSegmentName, AccountBalanceAmount FROM ({CUSTOMERS_AT(SECOND)}) s",
+    f"SELECT MarketSegmentName, AccountBalanceAmount FROM ({CUSTOMERS_AT()}) s",
 )
 def prj_shared(spark, folder):
-    stage = trade.customer_stage(spark, folder, SECOND, 2)
+    stage = trade.customer_stage(spark, folder, None, 2)
     target = [c.name for c in MODEL["Customer"].all_columns()]
     return stage.select(*flt.project_shared(stage, target, {"CustomerNumber", "RowHash"}))
 
@@ -122,7 +122,7 @@ def flt_known(spark, folder):
 CHANGES = f"""
   SELECT b.CustomerNumber, a.AccountBalanceAmount AS before, b.AccountBalanceAmount AS after,
     CASE WHEN a.CustomerNumber IS NULL THEN 'insert' WHEN a.RowHash <> b.RowHash THEN 'update' ELSE 'unchanged' END AS action
-  FROM ({CUSTOMERS_AT(SECOND)}) b LEFT JOIN ({CUSTOMERS_AT(FIRST)}) a ON a.CustomerNumber = b.CustomerNumber"""
+  FROM ({CUSTOMERS_AT()}) b LEFT JOIN ({CUSTOMERS_AT(FIRST)}) a ON a.CustomerNumber = b.CustomerNumber"""
 
 
 def _hashed(spark, folder, day, batch):
@@ -135,7 +135,7 @@ def _compared(spark, folder):
     before = _hashed(spark, folder, FIRST, 1).select(
         "CustomerNumber", F.col("RowHash").alias("old"), F.col("AccountBalanceAmount").alias("before")
     )
-    after = _hashed(spark, folder, SECOND, 2)
+    after = _hashed(spark, folder, None, 2)
     # Both sides hold a customer once, so a plain join on the number has no skew.
     return jn.sized_join(after, before, {"CustomerNumber": "CustomerNumber"}, "left", heavy_rows=None)
 

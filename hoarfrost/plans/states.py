@@ -1,7 +1,9 @@
 """States of the customer and supplier dimensions on two days, shared by load queries.
 
-The orders and shipments themselves give the changes: between the days some customers order
-for the first time, some order again, and the rest stay as they were.
+The orders and shipments themselves give the changes. The first state is what was known on
+a day; the second holds every customer and supplier and takes in all orders and shipments.
+Between them some customers order for the first time, some order more than ever before, and
+the rest stay as they were.
 """
 
 from __future__ import annotations
@@ -18,24 +20,27 @@ from hoarfrost.plans.check_sql import bucket, dec
 from hoarfrost.sources import trade
 from hoarfrost.sources.trade import MODEL, trade_warehouse
 
-FIRST, SECOND = dt.date(1996, 1, 1), dt.date(1996, 7, 1)
-SHIP_FIRST, SHIP_SECOND = dt.date(1995, 1, 5), dt.date(1995, 2, 1)
+# The days that date the two states; the second day is after all orders and shipments.
+FIRST, SECOND = dt.date(1996, 1, 1), dt.date(2002, 1, 1)
+SHIP_FIRST = dt.date(1995, 1, 5)
 
 
-def CUSTOMERS_AT(day: dt.date) -> str:  # noqa: N802 - a piece of SQL
+def CUSTOMERS_AT(day: dt.date | None = None) -> str:  # noqa: N802 - a piece of SQL
+    before, how = (f"WHERE o_orderdate < DATE '{day}'", "") if day else ("", "LEFT")
     return f"""SELECT c_custkey + 1 AS CustomerKey, c_name AS CustomerNumber, c_mktsegment AS MarketSegmentName,
-      CAST(spent AS DECIMAL(18,4)) AS AccountBalanceAmount, n_nationkey AS NationKey, n_name AS NationNationCode,
-      sha256(concat_ws('|', c_name, coalesce(c_mktsegment, ''), CAST(CAST(spent AS DECIMAL(18,4)) AS VARCHAR), n_name)) AS RowHash
-    FROM customer JOIN (SELECT o_custkey, sum({dec('o_totalprice')}) AS spent FROM orders
-        WHERE o_orderdate < DATE '{day}' GROUP BY o_custkey) s ON o_custkey = c_custkey
+      CAST(coalesce(largest, 0) AS DECIMAL(18,4)) AS AccountBalanceAmount, n_nationkey AS NationKey, n_name AS NationNationCode,
+      sha256(concat_ws('|', c_name, coalesce(c_mktsegment, ''), CAST(CAST(coalesce(largest, 0) AS DECIMAL(18,4)) AS VARCHAR), n_name)) AS RowHash
+    FROM customer {how} JOIN (SELECT o_custkey, max({dec('o_totalprice')}) AS largest FROM orders
+        {before} GROUP BY o_custkey) s ON o_custkey = c_custkey
       JOIN nation ON n_nationkey = c_nationkey"""
 
 
-def SUPPLIERS_AT(day: dt.date) -> str:  # noqa: N802 - a piece of SQL
+def SUPPLIERS_AT(day: dt.date | None = None) -> str:  # noqa: N802 - a piece of SQL
+    before, how = (f"WHERE l_shipdate < DATE '{day}'", "") if day else ("", "LEFT")
     return f"""SELECT s_suppkey + 1 AS SupplierKey, s_name AS SupplierNumber,
-      CAST(shipped AS DECIMAL(18,4)) AS AccountBalanceAmount, n_nationkey AS NationKey
-    FROM supplier JOIN (SELECT l_suppkey, sum({dec('l_extendedprice')}) AS shipped FROM lineitem
-        WHERE l_shipdate < DATE '{day}' GROUP BY l_suppkey) s ON l_suppkey = s_suppkey
+      CAST(coalesce(shipped, 0) AS DECIMAL(18,4)) AS AccountBalanceAmount, n_nationkey AS NationKey
+    FROM supplier {how} JOIN (SELECT l_suppkey, sum({dec('l_extendedprice')}) AS shipped FROM lineitem
+        {before} GROUP BY l_suppkey) s ON l_suppkey = s_suppkey
       JOIN nation ON n_nationkey = s_nationkey"""
 
 

@@ -25,8 +25,11 @@ def text_schema(schema: T.StructType) -> T.StructType:
 
 
 def raw_options() -> dict[str, str]:
+    """A quoted field may hold line breaks, so a file is read by one task: sources land large
+    tables as folders of files, as `write_extract` does."""
     return {
         "header": "true",
+        "multiLine": "true",
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
         "escape": '"',
@@ -75,7 +78,7 @@ def rejects(raw: DataFrame, schema: T.StructType, batch_id: int, target_schema:
         if not isinstance(f.dataType, T.StringType)
     ]
     names = [f.name for f in schema.fields]
-    payload = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*names)))
+    payload = F.coalesce(F.rtrim(F.col(CORRUPT), F.lit("\r\n")), F.to_csv(F.struct(*names)))
     number = F.col("RowNumber").try_cast("bigint") if "RowNumber" in names else F.lit(None).cast("bigint")
     return raw.filter(bad_row(schema)).select(
         F.lit(batch_id).cast("bigint").alias("BatchId"),

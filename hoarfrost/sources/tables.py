@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hoarfrost.session import materialise
 from hoarfrost.sources import files
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
@@ -103,17 +104,61 @@ def write_extract(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     csv_ready(df).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns by which a stored table is cut into folders, outermost first."""
+    found, at = [], path
+    while True:
+        below = [name for name, is_folder, _, _ in files.children(spark, at) if is_folder and "=" in name]
+        if not below:
+            return found
+        found.append(below[0].partition("=")[0])
+        at = f"{at}/{below[0]}"
+
+
 def compact(spark: SparkSession, source: str, target: str, target_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Rewrite a table of many small files into files of about the target size.
+    """Rewrite a table of many small files into files of about the target size, in the same
+    partition folders; returns the number of files that size asks for.
 
-    Whole files are merged by reading them in larger splits; no row is shuffled.
+    Without folders, whole files are merged by reading them in larger splits and no row is
+    shuffled. With folders, rows are brought together by folder, and Spark cuts a large
+    folder at its advisory partition size.
     """
     wanted = max(1, ceil(files.total_bytes(spark, source) / target_bytes))
-    df = spark.read.parquet(source)
-    df.coalesce(wanted).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+    df, folders = spark.read.parquet(source), partition_columns(spark, source)
+    if not folders:
+        df.coalesce(wanted).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+        return wanted
+    # As text, a folder's value keeps its spelling, leading zeros included.
+    kept = T.StructType([T.StructField(f.name, T.StringType() if f.name in folders else f.dataType) for f in df.schema.fields])
+    together = spark.read.schema(kept).parquet(source).hint("rebalance", *folders)
+    together.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*folders).parquet(target)
     return wanted
 
 
+def compact_batches(
+    spark: SparkSession, path: str, schema: T.StructType, sort_by: str | None = None, target_bytes: int = TARGET_FILE_BYTES
+) -> list[int]:
+    """Merge the small files of a fact stored by batch, in place; returns the batches rewritten.
+
+    Only batches with more than twice the files that their size asks for are touched, each by
+    a replacement of its own partition from a copy written first, so a failure leaves the
+    other batches alone and the copy whole.
+    """
+    done = []
+    for name, is_folder, _, _ in files.children(spark, path):
+        if not is_folder or not name.startswith("BatchId="):
+            continue
+        parts = [size for part, _, _, size in files.children(spark, f"{path}/{name}") if part.endswith(".parquet")]
+        wanted, batch_id = max(1, ceil(sum(parts) / target_bytes)), int(name.partition("=")[2])
+        if len(parts) <= 2 * wanted:
+            continue
+        batch = spark.read.schema(schema).parquet(path).filter(F.col("BatchId") == batch_id)
+        copy = materialise(batch, f"compact-{batch_id}")
+        replace_batch(copy.coalesce(wanted), path, batch_id, sort_by)
+        done.append(batch_id)
+    return done
+
+
 def analyze(spark: SparkSession, table: str) -> None:
     """Column statistics of a catalog table, for the planner's join order and sizes."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")

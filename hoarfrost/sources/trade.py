@@ -434,40 +434,45 @@ def manufacturing_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     )
 
 
-def customer_stage(spark: SparkSession, folder: str, until: dt.date, batch_id: int) -> DataFrame:
-    """Customers as a source system knows them on a day: those who have ordered before it,
-    with what they have spent so far as their balance."""
-    spent = (
-        read(spark, folder, "orders")
-        .filter(F.col("o_orderdate") < F.lit(until.isoformat()).cast("timestamp_ntz"))
+def _before(df: DataFrame, column: str, day: dt.date | None) -> DataFrame:
+    return df if day is None else df.filter(F.col(column) < F.lit(day.isoformat()).cast("timestamp_ntz"))
+
+
+def customer_stage(spark: SparkSession, folder: str, until: dt.date | None, batch_id: int) -> DataFrame:
+    """Customers as a source system knows them, with their largest order so far as their
+    balance: on a day, those who have ordered before it; without a day, all of them."""
+    largest = (
+        _before(read(spark, folder, "orders"), "o_orderdate", until)
         .groupBy("o_custkey")
-        .agg(F.sum(money("o_totalprice")).cast("decimal(18,4)").alias("spent"))
+        .agg(F.max(money("o_totalprice")).alias("largest"))
     )
     nations = read(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("NationNationCode"))
-    customers = read(spark, folder, "customer").join(spent, F.col("c_custkey") == F.col("o_custkey"))
+    known = F.col("c_custkey") == F.col("o_custkey")
+    customers = read(spark, folder, "customer").join(largest, known, "left" if until is None else "inner")
     return sized_join(customers, nations, {"c_nationkey": "n_nationkey"}).select(
         F.col("c_name").alias("CustomerNumber"),
         F.col("c_mktsegment").alias("MarketSegmentName"),
-        F.col("spent").alias("AccountBalanceAmount"),
+        F.coalesce("largest", F.lit(0)).cast("decimal(18,4)").alias("AccountBalanceAmount"),
         "NationNationCode",
         F.lit(batch_id).cast("bigint").alias("BatchId"),
         (F.col("c_custkey") + 1).alias("RowNumber"),
     )
 
 
-def supplier_stage(spark: SparkSession, folder: str, until: dt.date, batch_id: int) -> DataFrame:
-    """Suppliers who have shipped before a day, with the value shipped as their balance."""
+def supplier_stage(spark: SparkSession, folder: str, until: dt.date | None, batch_id: int) -> DataFrame:
+    """Suppliers with the value shipped as their balance: on a day, those who have shipped
+    before it; without a day, all of them."""
     shipped = (
-        read(spark, folder, "lineitem")
-        .filter(F.col("l_shipdate") < F.lit(until.isoformat()).cast("timestamp_ntz"))
+        _before(read(spark, folder, "lineitem"), "l_shipdate", until)
         .groupBy("l_suppkey")
-        .agg(F.sum(money("l_extendedprice")).cast("decimal(18,4)").alias("shipped"))
+        .agg(F.sum(money("l_extendedprice")).alias("shipped"))
     )
     nations = read(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("NationNationCode"))
-    suppliers = read(spark, folder, "supplier").join(shipped, F.col("s_suppkey") == F.col("l_suppkey"))
+    known = F.col("s_suppkey") == F.col("l_suppkey")
+    suppliers = read(spark, folder, "supplier").join(shipped, known, "left" if until is None else "inner")
     return sized_join(suppliers, nations, {"s_nationkey": "n_nationkey"}).select(
         F.col("s_name").alias("SupplierNumber"),
-        F.col("shipped").alias("AccountBalanceAmount"),
+        F.coalesce("shipped", F.lit(0)).cast("decimal(18,4)").alias("AccountBalanceAmount"),
         "NationNationCode",
         F.lit(batch_id).cast("bigint").alias("BatchId"),
         (F.col("s_suppkey") + 1).alias("RowNumber"),

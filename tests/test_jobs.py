@@ -121,3 +121,31 @@ def test_rows_that_do_not_fit_are_recorded_once(spark, tmp_path):
         assert rows(read_control(spark, control, "LandingFile"), "TableName", "RowsReadCount", "RowsLoadedCount", "IngestStatusCode") == [("Operator", 3, 2, "Partial")]
         audit = read_control(spark, control, "LoadAudit")
         assert rows(audit, "TableName", "InsertedRowCount", "RejectedRowCount") == [("Operator", 1, 1)]
+
+
+def test_a_rerun_does_not_repeat_its_control_rows(spark, tmp_path):
+    landing_root, root = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    land(landing_root, 1, "Product", ("P1", "one", "F1", "EA", "ON", None))
+    control = f"{root}/control"
+    for _ in range(2):
+        jobs.load_batch(spark, MODEL, landing_root, root, 1, at(10))
+        checked = jobs.check_quality(spark, MODEL, root, 1, at(11))
+        assert read_control(spark, control, "ScdChangeLog").count() == 1
+        assert read_control(spark, control, "DqResult").count() == checked.count()
+    os.utime(f"{control}/LoadAudit/BatchId=1", (0, 0))
+    jobs.keep_house(spark, landing_root, root, dt.datetime(2024, 2, 20))
+    assert read_control(spark, control, "LoadAudit").isEmpty() and read_control(spark, control, "ScdChangeLog").isEmpty()
+
+
+def test_keys_past_two_billion(spark):
+    from hoarfrost.model import Column, ForeignKey, TableSpec, WarehouseModel
+    from hoarfrost.operators.facts import load_fact
+
+    model = WarehouseModel.of(
+        TableSpec("Customer", "dim", (), Column("Number", "nvarchar(9)"), key_type="bigint"),
+        TableSpec("Order", "fact", (Column("Amount", "int"),), foreign_keys=(ForeignKey("Customer"),)),
+    )
+    dim = spark.createDataFrame([(3_000_000_000, "C1")], "CustomerKey bigint, Number string")
+    stage = spark.createDataFrame([(5, "C1", 1, 1)], "Amount int, CustomerNumber string, BatchId bigint, RowNumber bigint")
+    loaded = load_fact(model, "Order", stage, {"Customer": dim}, 1, at(10))
+    assert loaded.first().CustomerKey == 3_000_000_000

@@ -13,7 +13,7 @@ def con():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query(spark, con, name):
     assert differences(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) == []
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hoarfrost.functions.scalars import months_before
-from hoarfrost.operators.generate import date_dimension, synthesize, time_dimension
+from hoarfrost.operators.generate import date_dimension, time_dimension
 from hoarfrost.operators.keys import with_unknown
 from hoarfrost.plans import reports
 from hoarfrost.plans.check_sql import average, quotient, share, units
@@ -15,6 +15,7 @@ from hoarfrost.plans.manufacturing import MODEL, SEVERITIES
 from hoarfrost.plans.warehouse import Warehouse
 from hoarfrost.sources import tables
 from tests.compare import plain
+from tests.warehouse_fixture import filled
 
 AS_OF = dt.date(2026, 8, 24)
 DIMS = (
@@ -35,17 +36,12 @@ def warehouse(spark, tmp_path_factory):
             "SeverityKey int, SeverityCode string, SeverityName string, SeverityRank smallint, RequiresEscalation boolean",
         ),
     }
-    loaded = F.lit(AS_OF.isoformat())
+    sizes = {"Severity": len(SEVERITIES)}
     for n, name in enumerate((*DIMS, *FACTS)):
         spec = MODEL[name]
         size = 300 if spec.kind == "fact" else 3 + n
-        parents = {
-            fk.parent: (made[fk.parent], MODEL[fk.parent].key)
-            for fk in spec.foreign_keys
-            if fk.parent in made and fk.parent != name
-        }
-        rows = spark.range(1, size + 1).withColumnRenamed("id", "seq")
-        df = synthesize(rows, "seq", spec, parents, AS_OF, loaded, days=600)
+        df = filled(spark, spec, size, sizes, AS_OF, 600)
+        sizes[name] = size
         if spec.kind == "fact":
             tables.replace_batch(df, f"{root}/{name}", 1, f"{spec.date_roles[0]}DateKey")
             made[name] = spark.read.schema(spec.schema_type()).parquet(f"{root}/{name}")

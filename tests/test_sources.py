@@ -85,6 +85,46 @@ def test_compact(spark, tmp_path):
     assert len(files) == 1 and spark.read.parquet(target).agg(F.sum("id")).first()[0] == 499500
 
 
+def test_compact_keeps_partition_folders(spark, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    df = spark.range(1000).select("id", F.format_string("%03d", F.col("id") % 3).alias("code"))
+    df.repartition(20).write.partitionBy("code").parquet(source)
+    tables.compact(spark, source, target)
+    folders = sorted(f for f in os.listdir(target) if "=" in f)
+    assert folders == ["code=000", "code=001", "code=002"]
+    assert all(len([f for f in os.listdir(f"{target}/{d}") if f.endswith(".parquet")]) == 1 for d in folders)
+    assert spark.read.parquet(target).agg(F.sum("id")).first()[0] == 499500
+
+
+def test_compacted_batches_can_be_replaced(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    df = spark.range(100).select(F.col("id").alias("K"), F.lit(1).cast("bigint").alias("BatchId"))
+    schema = df.schema
+    for batch in (1, 2):
+        tables.replace_batch(df.repartition(10), path, batch)
+    whole = sorted(os.listdir(f"{path}/BatchId=2"))
+    tables.replace_batch(df.coalesce(1), path, 3)
+    before = rows(spark.read.schema(schema).parquet(path))
+    assert tables.compact_batches(spark, path, schema, "K") == [1, 2]
+    assert sorted(os.listdir(f"{path}/BatchId=2")) != whole
+    assert len([f for f in os.listdir(f"{path}/BatchId=1") if f.endswith(".parquet")]) == 1
+    assert rows(spark.read.schema(schema).parquet(path)) == before
+    tables.replace_batch(df.limit(5), path, 1)
+    assert spark.read.schema(schema).parquet(path).filter("BatchId = 1").count() == 5
+    assert tables.compact_batches(spark, path, schema, "K") == []
+
+
+def test_line_breaks_in_quotes_come_back(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\nb"), (2, 'say "x",\r\ny'), (3, "plain"), (4, None)], "k int, t string")
+    path = str(tmp_path / "x")
+    tables.write_extract(df, path)
+    raw = landing.read_raw(spark, path, df.schema)
+    assert landing.rejects(raw, df.schema, 1, "s", "t").isEmpty()
+    got = {r.k: r.t for r in landing.typed_rows(raw, df.schema).collect()}
+    assert got[1] == "a\nb" and got[3] == "plain" and got[4] is None
+    assert got[2].replace("\r\n", "\n") == 'say "x",\ny'
+
+
 def test_statistics(spark):
     spark.sql("CREATE TABLE analyzed USING parquet AS SELECT id FROM range(10)")
     try:
