@@ -267,6 +267,25 @@ def test_leaks_are_found_and_nothing_else(spark, hard, empty):
     assert leaks.without_leaks(hard, none).count() == len(HARD)
 
 
+def test_leaks_of_thousands_of_items_are_found(spark):
+    """Copies, and paraphrases with every second word changed outside the answer, of many items."""
+    random.seed(6)
+    vocabulary = ["".join(random.choices("abcdefghijklmnop", k=random.randint(3, 9))) for _ in range(9000)]
+    words = lambda n: random.choices(vocabulary, k=n)
+    items = [words(random.randint(15, 59)) for _ in range(2000)]
+    docs, want = [" ".join(words(120)) for _ in range(300)], set()
+    for i in range(0, 2000, 8):
+        item, answer = items[i], len(items[i]) - max(1, len(items[i]) // 3)
+        half = [w if k >= answer or k % 2 else random.choice(vocabulary) for k, w in enumerate(item)]
+        for text in (item, half):
+            want.add((len(docs), i))
+            docs.append(" ".join([*words(random.randint(20, 50)), *text, *words(30)]))
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    found = [(r.doc_id, r.item_id) for r in leaks.find_leaks(df, bench).select("doc_id", "item_id").collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+
+
 def test_longest_common_subsequence():
     random.seed(4)
     for _ in range(200):
