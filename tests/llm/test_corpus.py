@@ -268,13 +268,13 @@ def test_leaks_are_found_and_nothing_else(spark, hard, empty):
 
 
 def test_leaks_of_thousands_of_items_are_found(spark):
-    """Copies, and paraphrases with every second word changed outside the answer, of many items."""
+    """Copies, and paraphrases with every second word changed outside the answer, of many and of long items."""
     random.seed(6)
     vocabulary = ["".join(random.choices("abcdefghijklmnop", k=random.randint(3, 9))) for _ in range(9000)]
     words = lambda n: random.choices(vocabulary, k=n)
-    items = [words(random.randint(15, 59)) for _ in range(2000)]
+    items = [words(random.randint(15, 59)) for _ in range(2000)] + [words(n) for n in range(100, 501, 20)]
     docs, want = [" ".join(words(120)) for _ in range(300)], set()
-    for i in range(0, 2000, 8):
+    for i in [*range(0, 2000, 8), *range(2000, len(items))]:
         item, answer = items[i], len(items[i]) - max(1, len(items[i]) // 3)
         half = [w if k >= answer or k % 2 else random.choice(vocabulary) for k, w in enumerate(item)]
         for text in (item, half):
