@@ -31,6 +31,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# What ends an element whose content is no markup: its own closing tag, whatever stands before it.
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I) for tag in RAW}
 NAMES = re.compile(r"""\b(class|id|role|data-main|data-rest|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 WORD = re.compile(r"[a-z]+")
 # Tags that say by themselves that a region is, or isn't, the main text; used to label pages of a table.
@@ -55,14 +57,11 @@ class Tree:
 
 def parse(page: str) -> Tree:
     """Elements and texts of a page as it is written: unclosed and wrongly nested tags are put up with."""
-    tree, open_, at, raw = Tree(), [0], 0, None
-    for m in TOKEN.finditer(page):
-        if raw and not (m[1] and m[2].lower() == raw):
-            continue
+    tree, open_, at = Tree(), [0], 0
+    while m := TOKEN.search(page, at):
         if m.start() > at:
-            if not raw:
-                tree.texts.append((open_[-1], html.unescape(page[at : m.start()])))
-        at, raw = m.end(), None
+            tree.texts.append((open_[-1], html.unescape(page[at : m.start()])))
+        at = m.end()
         if not m[2]:
             continue
         tag = m[2].lower()
@@ -97,10 +96,12 @@ def parse(page: str) -> Tree:
         tree.names.append(tuple(dict.fromkeys(found)))
         tree.marks.append(mark)
         if tag in RAW and not (m[3] or "").endswith("/"):
-            raw = tag
+            end = RAW_END[tag].search(page, at)
+            at = end.end() if end else len(page)
+            tree.texts.append((open_[-1], None))
         elif tag not in VOID and not (m[3] or "").endswith("/"):
             open_.append(len(tree.tags) - 1)
-    if at < len(page) and not raw:
+    if at < len(page):
         tree.texts.append((open_[-1], html.unescape(page[at:])))
     return tree
 

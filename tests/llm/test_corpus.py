@@ -324,6 +324,15 @@ def test_pages(spark):
     assert dom.extract(odd, dom.learn(odd)).count() == 5 and dom.extract(odd.limit(0), dom.learn(odd.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("raw", ["<script>for(i=0;i<n;i++){f(i);}</script>", "<SCRIPT>if (a<b) s = '</scripts>' + \"<!-- \";</Script >", "<style>/* a<b */</style>", "<textarea><p 'x</textarea>"])
+def test_raw_elements_end_at_their_closing_tag(raw):
+    page = "<body>{}<article><p>Some text here.</p></article><p>After</p></body>"
+    with_raw, without = (dom.parse(page.format(x)) for x in (raw, ""))
+    assert [t for _, t in with_raw.texts if t] == [t for _, t in without.texts if t] == ["Some text here.", "After"]
+    assert [x for x in with_raw.tags if x != raw[1:].split(">")[0].lower()] == without.tags
+    assert [t for _, t in dom.parse("<p>a</p><script>i<n</script").texts if t] == ["a"]
+
+
 def test_pipeline_takes_every_decision(spark):
     docs, kept = spark.read.parquet(f"{FOLDER}/documents.parquet"), []
     for _, stage in corpus_pipeline.STAGES[:-1]:
