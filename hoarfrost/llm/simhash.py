@@ -250,14 +250,20 @@ def near_duplicates(docs: DataFrame, width: int, budget: int, key: str = "doc_id
     empty texts, and texts of white space, have fingerprint zero and link like any other. A null
     doc_id never names a component unless it has no other. An empty table gives no rows.
     """
+    return _with_roots(docs, width, budget, key, text).select("doc_id", "mark", "fp", "component_id")
+
+
+def _with_roots(docs: DataFrame, width: int, budget: int, key: str, text: str) -> DataFrame:
+    """As near_duplicates, with root: the fingerprint that stands for the component, unlike its
+    component_id no other component's."""
     prints = stored(fingerprints(docs, width, key, text), "fingerprints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-prints")
     roots = components(near_links(distinct.select("fp"), budget))
     named = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = stored(named, "print-roots")
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = named.select("fp", "root").join(smallest, "root").select(F.col("fp").alias("of"), "component_id")
-    return prints.join(classes, F.col("fp") == F.col("of")).select("doc_id", "mark", "fp", "component_id")
+    classes = named.select("fp", "root").join(smallest, "root").select(F.col("fp").alias("of"), "root", "component_id")
+    return prints.join(classes, F.col("fp") == F.col("of")).drop("of")
 
 
 def one_of_each(docs: DataFrame, width: int, budget: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -265,9 +271,10 @@ def one_of_each(docs: DataFrame, width: int, budget: int, key: str = "doc_id", t
     key (a null key only where there is no other), all columns as they are. Of rows equal in key and text
     one stays.
     """
-    found = near_duplicates(docs, width, budget, key, text).select("doc_id", "mark", "component_id")
-    # Within a component the smallest doc_id is the component_id; several texts may carry it.
-    best = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("mark").alias("mark"))
+    found = _with_roots(docs, width, budget, key, text)
+    # Components may share a component_id: null, or a doc_id that several unlike texts carry.
+    first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")
+    best = found.groupBy("root").agg(F.min(first).alias("first")).select("first.doc_id", "first.mark")
     keyed = docs.withColumn("_id", F.col(key).cast("long")).withColumn("_mark", F.xxhash64(text))
     best = best.select(F.col("doc_id").alias("_best"), F.col("mark").alias("_best_mark"))
     kept = keyed.join(best, F.col("_id").eqNullSafe(F.col("_best")) & (F.col("_mark") == F.col("_best_mark")), "left_semi")

@@ -203,6 +203,14 @@ def test_fingerprints_and_components(spark, hard, empty):
     assert simhash.one_of_each(hard, 3, 2).where("doc_id = 6").count() == 0 and simhash.near_duplicates(empty, 3, 2).count() == 0
 
 
+def test_each_component_keeps_one_document(spark):
+    unlike = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcdef"]
+    some = [(None, unlike[0]), (None, unlike[1]), (None, unlike[1]), (7, unlike[2]), (7, unlike[3]), (None, unlike[4]), (9, unlike[4]), (8, unlike[4]), (9, unlike[5])]
+    kept = simhash.one_of_each(spark.createDataFrame(some, "doc_id long, text string"), 3, 2).collect()
+    want = [(None, unlike[0]), (None, unlike[1]), (7, unlike[2]), (7, unlike[3]), (8, unlike[4]), (9, unlike[5])]
+    assert collections.Counter(map(tuple, kept)) == collections.Counter(want)
+
+
 @pytest.mark.parametrize(("budget", "limit"), [(2, None), (2, 3), (3, 20)])
 def test_trie_links_connect_what_is_near(spark, budget, limit):
     random.seed(budget)
