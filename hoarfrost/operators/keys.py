@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from hoarfrost.functions.scalars import hash_bucket
 from hoarfrost.model import UNKNOWN_KEY, TableSpec
+from hoarfrost.session import materialise
 
 BUCKET_DIGITS = 3  # 4,096 buckets, over the table or inside each group
 
@@ -117,15 +118,17 @@ def _declared_for(data_type: T.DataType) -> str:
     return "nvarchar"
 
 
-def dedupe_business_key(df: DataFrame, business_key: str, order: list[str], limit: int | None = None, rounds: int = 8) -> DataFrame:
+def dedupe_business_key(df: DataFrame, business_key: str, order: list[str], limit: int | None = None) -> DataFrame:
     """Make a business key unique: the second and later rows of a key get -2, -3, ...
 
     The suffix replaces the end of a key that would outgrow `limit`. A made key may meet
     one that was there before, so the result is checked, and what is double is numbered
-    again with numbers not used so far.
+    again with numbers not used so far, until no key is double. Each such round is stored, and
+    leaves out twice as many numbers as the one before while there are plenty. It fails only if
+    the limit leaves no number.
     """
-    used = 1
-    for _ in range(rounds):
+    used, step = 1, 1
+    while limit is None or used < 10**limit:
         ranked = numbered(df, order, "__n", within=[business_key])
         suffix = F.concat(F.lit("-"), (F.col("__n") + (used - 1)).cast("string"))
         text = F.col(business_key)
@@ -138,5 +141,10 @@ def dedupe_business_key(df: DataFrame, business_key: str, order: list[str], limi
         twice = df.filter(F.col(business_key).isNotNull()).groupBy(business_key).count().filter("count > 1")
         if twice.isEmpty():
             return df
-        used += ranked.filter(F.col(business_key).isNotNull()).agg(F.max("__n")).first()[0] - 1
+        used += step * (ranked.filter(F.col(business_key).isNotNull()).agg(F.max("__n")).first()[0] - 1)
+        if limit is None or 2 * used < 10 ** (limit - 4):
+            step *= 2
+        else:
+            step = 1
+        df = materialise(df, "unique-keys")
     raise ValueError(f"{business_key} cannot be made unique within {limit} characters")

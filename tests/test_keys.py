@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from hoarfrost.operators import keys
@@ -53,3 +54,13 @@ def test_dedupe_business_key(spark):
     assert got[5] == "B" and got[6] is None and got[7] is None
     # The key that was there before a made one met it is still in use.
     assert {"AAAA", "AA-2"} <= set(present)
+
+
+def test_made_keys_may_meet_many_that_were_there(spark):
+    there = [f"A-{n}" for n in range(2, 40)]
+    df = spark.createDataFrame(list(enumerate(["A", "A", *there])), "id int, bk string")
+    for limit in (4, 24):
+        got = [r["bk"] for r in keys.dedupe_business_key(df, "bk", ["id"], limit=limit).collect()]
+        assert len(set(got)) == len(got) == 40 and {"A", *there} <= set(got) and max(map(len, got)) <= limit
+    with pytest.raises(ValueError, match="cannot be made unique"):
+        keys.dedupe_business_key(spark.createDataFrame([(i, "A") for i in range(12)], "id int, bk string"), "bk", ["id"], limit=1)
