@@ -171,14 +171,17 @@ class Table:
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizers file, special strings being ordinary text."""
+    """Ids of whole texts by a tokenizers file. Its special strings are ordinary text, or with `special`
+    what the library's plain call makes of them."""
 
-    def __init__(self, path: str, lower: bool):
+    def __init__(self, path: str, lower: bool, special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not special
+        added = self.library.get_added_tokens_decoder().values() if special else ()
+        self.literals = [x.content.encode() for x in added]
         self.lower = lower
         self.known = Table(REMEMBERED)
         self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
@@ -239,6 +242,13 @@ class Encoder:
         bad = np.zeros(len(data) + 1, np.int64)
         np.cumsum(hard, out=bad[1:])
         odd_rows = bad[offsets[1:]] > bad[offsets[:-1]]
+        raw = data.tobytes() if self.literals else b""
+        for literal in self.literals:
+            at = raw.find(literal)
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, "right")) - 1
+                odd_rows[row] = True
+                at = raw.find(literal, int(offsets[row + 1]))
         plain = np.flatnonzero((lengths > 0) & ~odd_rows)
         if odd_rows.any():
             easy = data[ragged(offsets[:-1][plain], lengths[plain])]
@@ -262,15 +272,15 @@ class Encoder:
         return flat, np.concatenate([[0], np.cumsum(counts)])
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[tuple[str, bool, bool], Encoder] = {}
 CACHES.append(_encoders)
 
 
-def encoder(path: str, lower: bool) -> Encoder:
+def encoder(path: str, lower: bool, special: bool = False) -> Encoder:
     """This worker's encoder for a file."""
-    if (path, lower) not in _encoders:
-        _encoders[path, lower] = Encoder(path, lower)
-    return _encoders[path, lower]
+    if (path, lower, special) not in _encoders:
+        _encoders[path, lower, special] = Encoder(path, lower, special)
+    return _encoders[path, lower, special]
 
 
 def with_end(ids: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

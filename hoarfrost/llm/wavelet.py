@@ -153,7 +153,7 @@ def write_shards(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        encode = encoder(tokenizer, lower).encode
+        encode = encoder(tokenizer, lower, special=True).encode
         keys, counts, ids = [], [], []
 
         def flush() -> pa.RecordBatch:

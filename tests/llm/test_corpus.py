@@ -48,6 +48,17 @@ def test_ids_are_the_library_s(name, lower):
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == want
 
 
+def test_special_strings_are_the_plain_call_s(spark):
+    some = ["a<|endoftext|>b", "<|startoftext|>", "plain", "", "<|endoftext|><|endoftext|> x", "<|end", "oftext|>", "É <|endoftext|>"]
+    df = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")
+    for name, end, found in (("byte_bpe_50k.json", 2, lambda p: wavelet.index_documents(df, p, 2)), ("word_bpe_49k.json", 1, lambda p: packing.pack_documents(df, p, 1, 100))):
+        path = public_tokenizers.path(name)
+        plain = Tokenizer.from_file(path)
+        want = {k: crc(plain.encode(t, add_special_tokens=False).ids + [end]) for k, t in enumerate(some)}
+        got = found(path)
+        assert {r[0]: r[1] for r in got.select("doc_id", [c for c in got.columns if "crc" in c][0]).collect()} == want
+
+
 def test_rendezvous_moves_rows_only_to_the_new_shard(spark, hard, empty):
     rows = sharding.shard_records(spark.range(3000).selectExpr("id AS doc_id", "string(id) AS text"), [1.0] * 7).collect()
     assert all(r.grown_shard in (r.shard, 7) for r in rows) and any(r.grown_shard == 7 for r in rows)
