@@ -168,11 +168,11 @@ WITH RECURSIVE p AS (
 ), links AS (
   SELECT url AS a, unnest(regexp_extract_all(html, '(?i)<link rel="canonical" href="([^"]+://[^"]*)"', 1)) AS b FROM p
   UNION SELECT url, unnest(regexp_extract_all(html, '(?i)<meta http-equiv="refresh" content="[0-9.]+; *url=([^"]+://[^"]*)"', 1)) FROM p
-), both AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
-reach(a, b) AS (SELECT a, b FROM both UNION SELECT r.a, e.b FROM reach r JOIN both e ON r.b = e.a),
+), edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
 ends AS (
   SELECT b, translate(regexp_extract(b, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         regexp_extract(b, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM (SELECT DISTINCT b FROM both)
+         regexp_extract(b, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM (SELECT DISTINCT b FROM edges)
 ), judged AS (
   SELECT b, arg_max(verdict, length(h || q)) AS verdict
   FROM ends JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q) GROUP BY b
