@@ -32,6 +32,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialise(df, label)
 
 
+def unlike(df: DataFrame, name: str) -> str:
+    """A column name like the given one that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 _sent: set[str] = set()
 
 
@@ -53,7 +61,7 @@ def ship(spark: SparkSession) -> None:
 
 
 #: What a worker remembers between tasks of the same kind.
-CACHES: list[dict] = []
+CACHES: list[dict | list] = []
 
 
 def forget() -> None:

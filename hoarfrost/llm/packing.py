@@ -73,7 +73,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end: int, size: int, key: str
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         tool = encoder(tokenizer, lower, special=True)
-        for batch in pieces(batches, text):
+        for batch in pieces(batches, text, 1 << 20):
             ids, offsets = with_end(*tool.encode(*text_buffers(batch.column(text))), end)
             counts = np.diff(offsets)
             parts = -(-counts // size)

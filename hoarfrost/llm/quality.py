@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hoarfrost.llm.common import map_arrow, pieces, text_buffers
+from hoarfrost.llm.common import map_arrow, pieces, text_buffers, unlike
 from hoarfrost.llm.simhash import words_of
 from hoarfrost.llm.tokens import span_hashes
 
@@ -218,6 +218,12 @@ def with_scores(docs: DataFrame, model: Gam, text: str = "text", name: str = "sc
     return map_arrow(docs, run, schema)
 
 
+def good_ones(docs: DataFrame, model: Gam, limit: float, text: str = "text") -> DataFrame:
+    """The rows that the model scores at `limit` or more, all columns as they are."""
+    name = unlike(docs, "score")
+    return with_scores(docs, model, text, name).where(F.col(name) >= limit).drop(name)
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, limit: float = 0.3, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every document's score: the key, held_out, score and predicted (1 if the score is at least `limit`).
 

@@ -49,10 +49,10 @@ def op2_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of 400-byte strings that start more than once."""
-    found = remove_repeats(read(spark, sf_dir, "documents"), 400)
+    found = remove_repeats(read(spark, sf_dir, "documents"), 400, as_text=True)
     return found.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"),
+        F.sha2("kept", 256).alias("kept_sha256"), F.col("kept_text").alias("text"),
     )
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hoarfrost.llm.common import map_arrow, pieces, stored, text_buffers
+from hoarfrost.llm.common import map_arrow, pieces, stored, text_buffers, unlike
 from hoarfrost.llm.components import components
 
 SEED = 42
@@ -275,7 +275,9 @@ def one_of_each(docs: DataFrame, width: int, budget: int, key: str = "doc_id", t
     # Components may share a component_id: null, or a doc_id that several unlike texts carry.
     first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")
     best = found.groupBy("root").agg(F.min(first).alias("first")).select("first.doc_id", "first.mark")
-    keyed = docs.withColumn("_id", F.col(key).cast("long")).withColumn("_mark", F.xxhash64(text))
-    best = best.select(F.col("doc_id").alias("_best"), F.col("mark").alias("_best_mark"))
-    kept = keyed.join(best, F.col("_id").eqNullSafe(F.col("_best")) & (F.col("_mark") == F.col("_best_mark")), "left_semi")
-    return kept.dropDuplicates(["_id", "_mark"]).drop("_id", "_mark")
+    of, at = unlike(docs, "of"), unlike(docs, "at")
+    best = best.select(F.col("doc_id").alias(of), F.col("mark").alias(at))
+    kept = docs.join(best, docs[key].cast("long").eqNullSafe(best[of]) & (F.xxhash64(docs[text]) == best[at]), "left_semi")
+    number, mark = unlike(docs, "number"), unlike(docs, "mark")
+    kept = kept.withColumns({number: F.col(key).cast("long"), mark: F.xxhash64(text)})
+    return kept.dropDuplicates([number, mark]).drop(number, mark)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -12,12 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hoarfrost.llm.common import map_arrow, pieces, ragged, release, ship, stored, text_buffers
-from hoarfrost.llm.tokens import FACTOR, VALUES
+from hoarfrost.llm.runs import word_spans
+from hoarfrost.llm.tokens import FACTOR, VALUES, span_hashes
 
 #: Bytes of an anchor; bytes of windows in a shard; different windows of one anchor in a shard.
 ANCHOR_BYTES, SHARD_BYTES, SHARD_KINDS = 32, 2 << 20, 2000
 #: Bytes of whole anchors that a shard sorts together: suffixes that cannot be equal need no common order.
 SORTED_BYTES = 256 << 10
+#: Bytes of one text whose strings choose their anchors together.
+SEGMENT_BYTES = 1 << 20
+#: Bytes that stand for a word where words are compared.
+CODE_BYTES = 4
 #: A string of a sorted run: its hash, its window, its start there, and whether its shard holds it twice.
 STRING = np.dtype([("s1", "<u8"), ("s2", "<u8"), ("w1", "<i8"), ("w2", "<i8"), ("first", "<i4"), ("known", "?")])
 
@@ -178,32 +183,81 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     return doc[at], starts[at], np.diff(np.append(at, len(starts))), hashes[anchor[at]]
 
 
-def _windows(docs: DataFrame, length: int) -> DataFrame:
-    """A row per run of starts: doc, hash of the text, first start, starts, anchor and content hash."""
+Coder = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+def word_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts as CODE_BYTES bytes of hash for each word, with new offsets."""
+    starts, ends, counts = word_spans(data, offsets)
+    hashes = span_hashes(data, starts, ends)
+    hashes ^= hashes >> np.uint64(31)
+    hashes *= np.uint64(0x94D049BB133111EB)
+    codes = (hashes >> np.uint64(64 - 8 * CODE_BYTES)).astype("<u4").view(np.uint8)
+    return codes, CODE_BYTES * np.concatenate([[0], np.cumsum(counts)])
+
+
+def segments(offsets: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
+    """First text and offsets of parts of a buffer: whole texts together, or overlapping parts of one long text.
+
+    Every string of `length` bytes starts in one part only, and is whole there.
+    """
+    at, n = 0, len(offsets) - 1
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SEGMENT_BYTES, "right")) - 1)
+        low, high = int(offsets[at]), int(offsets[to])
+        if to > at + 1 or high - low <= SEGMENT_BYTES:
+            yield at, offsets[at : to + 1]
+        else:
+            for first in range(low, high, SEGMENT_BYTES):
+                yield at, np.array([first, min(first + SEGMENT_BYTES + length - 1, high)])
+        at = to
+
+
+def _windows(docs: DataFrame, length: int, coder: Coder | None) -> DataFrame:
+    """A row per run of starts: doc, hash of the text, first start, starts, times, anchor and content hash.
+
+    Where a text goes on with the same run again and again, as periodic text does, that is one row: the
+    run comes `times` times, each `starts` places after the one before.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
         for batch in pieces(batches, "_text"):
             data, offsets = text_buffers(batch.column("_text"))
-            doc, first, n, anchor = anchors(data, offsets, length)
-            raw = data.tobytes()
-            content = np.frombuffer(b"".join([xxh3_128_digest(raw[a : a + k + length - 1]) for a, k in zip(first.tolist(), n.tolist(), strict=True)]), np.int64).reshape(-1, 2)
-            rows = pa.array(doc)
-            arrays = [batch.column("_id").take(rows), batch.column("_mark").take(rows), pa.array((first - offsets[doc]).astype(np.int32)), pa.array(n.astype(np.int32))]
-            arrays += [pa.array(anchor.view(np.int64)), pa.array(np.ascontiguousarray(content[:, 0])), pa.array(np.ascontiguousarray(content[:, 1]))]
-            yield pa.RecordBatch.from_arrays(arrays, ["_id", "_mark", "first", "starts", "anchor", "w1", "w2"])
-
-    return map_arrow(docs, run, "_id long, _mark long, first int, starts int, anchor long, w1 long, w2 long")
-
-
-def _packed(docs: DataFrame) -> DataFrame:
+            if coder:
+                data, offsets = coder(data, offsets)
+            for text, part in segments(offsets, length):
+                low = int(part[0])
+                doc, first, n, anchor = anchors(data[low : part[-1]], part - low, length)
+                raw = data[low : part[-1]].tobytes()
+                digests = np.empty((len(first), 2), np.int64)
+                for at in range(0, len(first), 1 << 15):
+                    spans = zip(first[at : at + (1 << 15)].tolist(), n[at : at + (1 << 15)].tolist(), strict=True)
+                    some = b"".join([xxh3_128_digest(raw[a : a + k + length - 1]) for a, k in spans])
+                    digests[at : at + (1 << 15)] = np.frombuffer(some, np.int64).reshape(-1, 2)
+                new = np.ones(len(first), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1]) | (n[1:] != n[:-1]) | (digests[1:] != digests[:-1]).any(1)
+                lead = np.flatnonzero(new)
+                times = np.diff(np.append(lead, len(first)))
+                doc, first, n, anchor, digests = (x[lead] for x in (doc, first, n, anchor, digests))
+                rows = pa.array(doc + text)
+                arrays = [batch.column("_id").take(rows), batch.column("_mark").take(rows), pa.array(first + low - offsets[doc + text]), pa.array(n.astype(np.int32))]
+                arrays += [pa.array(times), pa.array(anchor.view(np.int64)), pa.array(np.ascontiguousarray(digests[:, 0])), pa.array(np.ascontiguousarray(digests[:, 1]))]
+                yield pa.RecordBatch.from_arrays(arrays, ["_id", "_mark", "first", "starts", "times", "anchor", "w1", "w2"])
+
+    return map_arrow(docs, run, "_id long, _mark long, first long, starts int, times long, anchor long, w1 long, w2 long")
+
+
+def _packed(docs: DataFrame, coder: Coder | None = None) -> DataFrame:
     """The texts compressed, for shuffles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=1)
         for batch in pieces(batches, "_text"):
             data, offsets = text_buffers(batch.column("_text"))
+            if coder:
+                data, offsets = coder(data, offsets)
             packed = pa.array([zip_.compress(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.binary())
             names = [x for x in batch.schema.names if x != "_text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), packed], [*names, "_zip"])
@@ -270,8 +324,9 @@ def late_repeats(runs: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(late) if late else np.zeros(0, STRING)
 
 
-def repeated_spans(docs: DataFrame, length: int, shard_bytes: int = SHARD_BYTES, shard_kinds: int = SHARD_KINDS) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int, shard_bytes: int = SHARD_BYTES, shard_kinds: int = SHARD_KINDS, coder: Coder | None = None) -> DataFrame:
     """Starts of repeated strings, for rows with _id, _mark and _text: _id, _mark and spans (begin, end).
+    With a coder, strings and spans are those of the coded texts.
 
     Runs of starts whose anchor occurs once in the corpus are done with. Of the others, equal windows
     are counted and kept once. The windows that are left are dealt to shards by anchor, so that equal
@@ -280,10 +335,10 @@ def repeated_spans(docs: DataFrame, length: int, shard_bytes: int = SHARD_BYTES,
     merged by binary search.
     """
     spark = docs.sparkSession
-    rows = stored(_windows(docs, length), "windows")
-    again = stored(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "anchors")
+    rows = stored(_windows(docs, length, coder), "windows")
+    again = stored(rows.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor"), "anchors")
     members = stored(rows.join(again, "anchor", "left_semi"), "members")
-    kinds = members.groupBy("anchor", "w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_id", "_mark", "first", "starts")).alias("r"))
+    kinds = members.groupBy("anchor", "w1", "w2").agg(F.sum("times").alias("n"), F.min(F.struct("_id", "_mark", "first", "starts")).alias("r"))
     kinds = stored(kinds.select("anchor", "w1", "w2", "n", "r.*"), "kinds")
     total = kinds.agg(F.sum(F.col("starts") + length)).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -298,7 +353,7 @@ def repeated_spans(docs: DataFrame, length: int, shard_bytes: int = SHARD_BYTES,
     dealt = dealt.select("_id", "_mark", F.struct("first", "starts", shard.alias("shard"), "anchor", F.coalesce("parts", F.lit(1)).alias("parts"), "w1", "w2", "n").alias("w"))
     wanted = dealt.groupBy(F.col("_id").alias("_of"), F.col("_mark").alias("_at")).agg(F.collect_list("w").alias("ws"))
     same = F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_at"))
-    held = _packed(docs).join(stored(wanted, "wanted"), same).select("_zip", "ws")
+    held = _packed(docs, coder).join(stored(wanted, "wanted"), same).select("_zip", "ws")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
@@ -344,23 +399,54 @@ def repeated_spans(docs: DataFrame, length: int, shard_bytes: int = SHARD_BYTES,
     # A window that very many documents hold is joined once for each bucket of them, not once for each.
     # A bucket's documents are then put together in one task: a row each, however many windows they have.
     bucket = F.pmod(F.xxhash64("_id", "_mark"), F.lit(max(partitions, members.count() // 5000)))
-    holders = members.groupBy("w1", "w2", bucket.alias("p")).agg(F.collect_list(F.struct("_id", "_mark", F.col("first").alias("at"))).alias("held"))
+    holders = members.groupBy("w1", "w2", bucket.alias("p")).agg(
+        F.collect_list(F.struct("_id", "_mark", F.col("first").alias("at"), (F.col("starts") * (F.col("times") - 1)).alias("on"))).alias("held")
+    )
     holders = stored(holders, "holders").join(found, (F.col("w1") == F.col("f1")) & (F.col("w2") == F.col("f2")))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spans: dict[tuple[int | None, int], list[dict[str, int]]] = {}
+        parts = []
         for batch in batches:
-            for held, runs in zip(batch.column("held").to_pylist(), batch.column("runs").to_pylist(), strict=True):
-                for x in held:
-                    spans.setdefault((x["_id"], x["_mark"]), []).extend({"begin": x["at"] + r["first"], "end": x["at"] + r["first"] + r["starts"] + length - 1} for r in runs)
-        kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-        columns = [pa.array([k[i] for k in spans], pa.int64()) for i in (0, 1)] + [pa.array(list(map(union_of, spans.values())), kind)]
-        yield pa.RecordBatch.from_arrays(columns, ["_id", "_mark", "spans"])
+            held, runs = batch.column("held"), batch.column("runs")
+            one, other = (np.diff(x.offsets.to_numpy()).astype(np.int64) for x in (held, runs))
+            held, runs = held.flatten(), runs.flatten()
+            # Every holder of a window with every run of the window.
+            left = np.repeat(np.arange(len(held)), np.repeat(other, one))
+            right = ragged(np.repeat(np.cumsum(other) - other, one), np.repeat(other, one))
+            ids = held.field("_id").take(pa.array(left))
+            at, on, first, starts = (x.to_numpy() for x in (held.field("at"), held.field("on"), runs.field("first"), runs.field("starts")))
+            # A run that comes again after fewer places than its strings are long is one span.
+            begin = at[left] + first[right]
+            end = begin + on[left] + starts[right] + length - 1
+            columns = [ids.is_valid().to_numpy(zero_copy_only=False).astype(np.int64), ids.fill_null(0).to_numpy(), held.field("_mark").to_numpy()[left], begin, end]
+            parts.append(unions(np.stack(columns, 1)))
+        rows = unions(np.concatenate([np.zeros((0, 5), np.int64), *parts]))
+        lead = np.flatnonzero(np.append(True, (rows[1:, :3] != rows[:-1, :3]).any(1))) if len(rows) else np.zeros(0, np.int64)
+        spans = pa.StructArray.from_arrays([pa.array(rows[:, i]) for i in (3, 4)], ["begin", "end"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(lead, len(rows)), pa.int32()), spans)
+        yield pa.RecordBatch.from_arrays([pa.array(rows[lead, 1], mask=rows[lead, 0] == 0), pa.array(rows[lead, 2]), lists], ["_id", "_mark", "spans"])
 
     placed = map_arrow(holders.select("p", "held", "runs").repartition("p"), gather, "_id long, _mark long, spans array<struct<begin:bigint,end:bigint>>")
     return stored(placed.groupBy("_id", "_mark").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
 
 
+def unions(rows: np.ndarray) -> np.ndarray:
+    """Rows (three names, begin, end) by name and begin, those of one name that overlap or touch as one."""
+    if len(rows) < 2:
+        return rows
+    rows = rows[np.lexsort(rows[:, ::-1].T)]
+    named = np.append(True, (rows[1:, :3] != rows[:-1, :3]).any(1))
+    # The furthest end so far in each name: ends are made to grow from name to name.
+    lift = (np.cumsum(named) - 1) * (int(rows[:, 4].max()) + 1)
+    furthest = np.maximum.accumulate(rows[:, 4] + lift) - lift
+    new = named.copy()
+    new[1:] |= rows[1:, 3] > furthest[:-1]
+    lead = np.flatnonzero(new)
+    out = rows[lead].copy()
+    out[:, 4] = furthest[np.append(lead[1:], len(rows)) - 1]
+    return out
+
+
 def union_of(spans: list[dict[str, int]]) -> list[dict[str, int]]:
     """Overlapping and touching spans as one, in order."""
     out: list[dict[str, int]] = []
@@ -372,22 +458,21 @@ def union_of(spans: list[dict[str, int]]) -> list[dict[str, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int, key: str = "doc_id", text: str = "text", carry: Sequence[str] = (), as_text: bool = False, **sizes: int) -> DataFrame:
-    """Every document without the bytes of any `length`-byte string that also starts elsewhere.
+SPANS = "array<struct<begin:bigint,end:bigint>>"
 
-    Returns the key, the columns in `carry`, kept (the remaining bytes, which may cut a character; with
-    `as_text` a string without such parts of characters), n_bytes (of the whole text) and spans (maximal removed runs, begin and end in bytes). All places of
-    a repeated string are removed, in the same document or in others; strings are judged on the input.
 
-    Null texts are empty, shorter texts are kept whole. Rows that are equal in key and text are
-    separate documents, so all their long strings repeat. Null keys are allowed.
-    """
+def _with_spans(docs: DataFrame, length: int, key: str, text: str, carry: Sequence[str], coder: Coder | None, **sizes: int) -> DataFrame:
+    """_id, the carried columns as _c0 and so on, _zip (the text) and its spans."""
     mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     kept_columns = [F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)]
     rows = docs.select(F.col(key).cast("long").alias("_id"), mark.alias("_mark"), F.coalesce(F.col(text), F.lit("")).alias("_text"), *kept_columns)
-    spans = repeated_spans(rows.select("_id", "_mark", "_text"), length, **sizes)
+    spans = repeated_spans(rows.select("_id", "_mark", "_text"), length, coder=coder, **sizes)
     spans = spans.select(F.col("_id").alias("_of"), F.col("_mark").alias("_at"), "spans")
-    joined = _packed(rows).join(spans, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_at")), "left").drop("_of", "_at", "_mark")
+    return _packed(rows).join(spans, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_at")), "left").drop("_of", "_at", "_mark")
+
+
+def _cut(joined: DataFrame, text: bool, ranges: Callable[[np.ndarray, list[dict[str, int]]], list[dict[str, int]]] | None = None) -> DataFrame:
+    """The texts without their spans: kept, n_bytes, spans, and with `text` kept_text."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
@@ -396,17 +481,52 @@ def remove_repeats(docs: DataFrame, length: int, key: str = "doc_id", text: str
             for i, packed in enumerate(batch.column("_zip")):
                 data = unzip.decompress(packed.as_py())
                 runs, at, parts = union_of(batch.column("spans")[i].as_py() or []), 0, []
+                if ranges and runs:
+                    runs = ranges(np.frombuffer(data, np.uint8), runs)
                 for s in runs:
                     parts.append(data[at : s["begin"]])
                     at = s["end"]
                 kept.append(b"".join([*parts, data[at:]]))
                 sizes.append(len(data))
                 removed.append(runs)
-            kept = pa.array([x.decode(errors="ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
             names = [x for x in batch.schema.names if x not in ("_zip", "spans")]
-            kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), kept, pa.array(sizes, pa.int64()), pa.array(removed, kind)], [*names, "kept", "n_bytes", "spans"])
+            columns = [*(batch.column(x) for x in names), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(removed, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))]
+            if text:
+                columns.append(pa.array([x.decode(errors="ignore") for x in kept], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, [*names, "kept", "n_bytes", "spans", *["kept_text"][: int(text)]])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name not in ("_zip", "spans"))
-    out = map_arrow(joined, take, f"{fields}, kept {'string' if as_text else 'binary'}, n_bytes long, spans array<struct<begin:bigint,end:bigint>>")
-    return out.select(F.col("_id").alias(key), *(F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)), "kept", "n_bytes", "spans")
+    return map_arrow(joined, take, f"{fields}, kept binary, n_bytes long, spans {SPANS}{', kept_text string' if text else ''}")
+
+
+def remove_repeats(docs: DataFrame, length: int, key: str = "doc_id", text: str = "text", carry: Sequence[str] = (), as_text: bool = False, **sizes: int) -> DataFrame:
+    """Every document without the bytes of any `length`-byte string that also starts elsewhere.
+
+    Returns the key, the columns in `carry`, kept (the remaining bytes, which may cut a character), n_bytes
+    (of the whole text) and spans (maximal removed runs, begin and end in bytes); with `as_text` also
+    kept_text, the remaining text without such parts of characters. All places of a repeated string are
+    removed, in the same document or in others; strings are judged on the input.
+
+    Null texts are empty, shorter texts are kept whole. Rows that are equal in key and text are
+    separate documents, so all their long strings repeat. Null keys are allowed.
+    """
+    out = _cut(_with_spans(docs, length, key, text, carry, None, **sizes), as_text)
+    return out.select(F.col("_id").alias(key), *(F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)), "kept", "n_bytes", "spans", *["kept_text"][: int(as_text)])
+
+
+def remove_repeated_words(docs: DataFrame, words: int, key: str = "doc_id", text: str = "text", carry: Sequence[str] = (), **sizes: int) -> DataFrame:
+    """Every document without any `words` consecutive words that also stand elsewhere.
+
+    As remove_repeats, but strings are compared word by word (bytes other than white space), so what
+    lies between the words does not count. Words are compared by hashes of CODE_BYTES bytes, all of a
+    string's together. A removed run ends where the next word that stays begins, or with the text.
+    Returns the key, the columns in `carry`, kept_text, n_bytes and spans (in bytes of the text).
+    """
+
+    def ranges(data: np.ndarray, runs: list[dict[str, int]]) -> list[dict[str, int]]:
+        starts = np.append(word_spans(data, np.array([0, len(data)]))[0], len(data))
+        whole = [(-(-s["begin"] // CODE_BYTES), s["end"] // CODE_BYTES) for s in runs]
+        return [{"begin": int(starts[a]), "end": int(starts[b])} for a, b in whole if b - a >= words]
+
+    out = _cut(_with_spans(docs, CODE_BYTES * words, key, text, carry, word_codes, **sizes), True, ranges)
+    return out.select(F.col("_id").alias(key), *(F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)), "kept_text", "n_bytes", "spans")

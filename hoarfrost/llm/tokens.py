@@ -13,7 +13,7 @@ import unicodedata
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 
 from hoarfrost.llm.common import CACHES, ragged
 
@@ -41,13 +41,16 @@ KIND, LOWER, ODD = _classes()
 #: Random odd factor and byte values of the piece hash.
 FACTOR = 0x9E3779B97F4A7C15
 VALUES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Bytes of text that are hashed together, so that the powers for them stay small.
+HASHED_BYTES = 1 << 18
 _powers: list[np.ndarray] = []
+CACHES.append(_powers)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """FACTOR ** i and its inverse modulo 2 ** 64, for i below n."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, HASHED_BYTES + 1)
         both = []
         for base in (FACTOR, pow(FACTOR, -1, 1 << 64)):
             out = np.empty(size, np.uint64)
@@ -62,11 +65,19 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span, independent of where it stands."""
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(VALUES[data] * up[: len(data)], out=sums[1:])
-    return (sums[ends] - sums[starts]) * down[starts]
+    """A 64-bit hash of the bytes of each span, independent of where it stands. Spans are in order and
+    do not overlap; some at a time are hashed together, whatever the length of the text."""
+    out, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        low = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(ends, low + HASHED_BYTES, "right")))
+        high = int(ends[to - 1])
+        up, down = powers(high - low + 1)
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(VALUES[data[low:high]] * up[: high - low], out=sums[1:])
+        out[at:to] = (sums[ends[at:to] - low] - sums[starts[at:to] - low]) * down[starts[at:to] - low]
+        at = to
+    return out
 
 
 def _contractions(data: np.ndarray, kind: np.ndarray, first: np.ndarray, after_space: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -207,7 +218,8 @@ class Encoder:
         """Ids of all texts, and for each text the number of ids before it."""
         data, starts, ends = split(data, begins, self.lower)
         hashes = span_hashes(data, starts, ends) | np.uint64(1)
-        codes, distinct = pd.factorize(hashes)
+        coded = pa.array(hashes).dictionary_encode()
+        codes, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy()
         found = self.known.find(distinct)
         new = np.flatnonzero(found < 0)
         mark, used = self.known.size, self.used

@@ -2,6 +2,7 @@
 
 import collections
 import random
+import re
 import zlib
 
 import duckdb
@@ -96,6 +97,47 @@ def test_repeats_are_removed_exactly(spark, kinds):
     assert [got[i] for i in range(len(some))] == repeats([t.encode() for t in some], 400)
 
 
+def without_repeated_words(values, n):
+    split = [re.findall(r"[^\x20\x09-\x0D]+", t) for t in values]
+    count = collections.Counter(tuple(w[i : i + n]) for w in split for i in range(len(w) - n + 1))
+    out = []
+    for t, w in zip(values, split, strict=True):
+        gone = {j for i in range(len(w) - n + 1) if count[tuple(w[i : i + n])] > 1 for j in range(i, i + n)}
+        at = [m.start() for m in re.finditer(r"[^\x20\x09-\x0D]+", t)] + [len(t)]
+        cut = t[: at[0]] + "".join(t[at[i] : at[i + 1]] for i in range(len(w)) if i not in gone)
+        out.append(cut)
+    return out
+
+
+def test_repeated_words_are_removed_exactly(spark, hard, empty):
+    random.seed(6)
+    words = lambda n: [random.choice("abcd") * random.randint(1, 9) for _ in range(n)]
+    shared, gaps = words(70), (" ", "\n", " \t ")
+    some = []
+    for _ in range(200):
+        part = shared[: random.randint(49, 70)] if random.random() < 0.5 else shared[random.randint(0, 20) :]
+        some.append("".join(w + random.choice(gaps) for w in [*words(30), *part, *words(random.randint(0, 40))]))
+    some += [t for _, t in texts(spark)] + ["", " \n", "é " * 300, "one two", "x y " * 400]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(some)], "doc_id long, text string")
+    found = suffixes.remove_repeated_words(df, 51).collect()
+    got = {r.doc_id: r.kept_text for r in found}
+    assert [got[i] for i in range(len(some))] == without_repeated_words(some, 51)
+    kept = sorted((str(r.doc_id), r.kept_text) for r in suffixes.remove_repeated_words(hard, 51).collect())
+    assert kept == sorted(zip((str(k) for k, _ in HARD), without_repeated_words([t or "" for _, t in HARD], 51), strict=True))
+    assert suffixes.remove_repeated_words(empty, 51).collect() == []
+
+
+@pytest.mark.parametrize("text", ["a" * 60_000, "abcdefghij" * 5000, "ab" * 900 + "x" + "ab" * 900, "a" * 3000 + LONG + "a" * 3000])
+def test_periodic_texts_are_few_windows(spark, monkeypatch, text):
+    monkeypatch.setattr(suffixes, "SEGMENT_BYTES", 7000)
+    some = [text, "before " + text[:1500], LONG[:9000]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(some)], "doc_id long, text string")
+    got = {r.doc_id: bytes(r.kept) for r in suffixes.remove_repeats(df, 400).collect()}
+    assert [got[i] for i in range(len(some))] == repeats([t.encode() for t in some], 400)
+    rows = df.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_mark"), F.col("text").alias("_text"))
+    assert suffixes._windows(rows, 400, None).count() < 1000
+
+
 def test_suffix_arrays_and_common_prefixes():
     random.seed(2)
     for _ in range(100):
@@ -362,8 +404,30 @@ def test_pipeline_takes_every_decision(spark):
     scores = {r.doc_id: r.predicted for r in queries.QUERIES["op6_gam_quality"](spark, FOLDER).collect()}
     assert set(good) == {k for k, p in scores.items() if p}
     order = sorted(one)
-    assert [left[k] for k in order] == [x.decode(errors="ignore") for x in repeats([one[k].encode() for k in order], 400)]
+    assert [left[k] for k in order] == without_repeated_words([one[k] for k in order], 51)
+    assert not {n: c for n, c in collections.Counter(tuple(w[i : i + 51]) for w in map(str.split, left.values()) for i in range(len(w) - 50)).items() if c > 1}
     assert set(clean) <= set(left) and set(left) == set(one) <= set(good)
     packed = corpus_pipeline.run(spark, FOLDER)
     assert {r.doc_id for r in packed.collect()} == set(clean)
     assert packed.where(F.col("length") > 4096).count() == 0
+
+
+CLASHES = ("_id", "_mark", "_bad", "_best", "_score", "score", "of", "at", "number", "mark", "item_id", "spans", "row")
+
+
+def test_columns_of_any_name_are_kept(spark, hard):
+    """Every operator and stage leaves other columns alone, whatever they are called."""
+    wide = hard.drop("score", "_row").withColumns({c: F.lit(7) for c in CLASHES})
+    benchmark = spark.createDataFrame([(1, "an item of no document at all, with an answer. It is nowhere.")], "item_id long, text string")
+    labels = spark.createDataFrame([(k, int(k) % 2) for k in (1, 3, 4, 5)], "doc_id long, quality int")
+    for kept in (simhash.one_of_each(wide, 3, 2), leaks.without_leaks(wide, benchmark), quality.good_ones(wide, quality.learn(wide, labels), 0.0)):
+        rows = kept.collect()
+        assert kept.columns == wide.columns and rows and all(r[c] == 7 for r in rows for c in CLASHES)
+    n = len(HARD)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert sharding.shard_records(wide, [1.0] * 3).count() == suffixes.remove_repeats(wide, 400).count() == n
+    assert simhash.near_duplicates(wide, 3, 2).count() == quality.score_documents(wide, labels).count() == n
+    assert packing.pack_documents(wide, path, 1, 5000).count() >= n and wavelet.index_documents(wide, path, 1).count() == n
+    assert separators.count_tokens(wide, public_tokenizers.path("byte_bpe_50k.json"), 50256).count() == n
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, wide, FOLDER).count() >= 0
