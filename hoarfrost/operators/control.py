@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from hoarfrost.operators.filters import older_than
+from hoarfrost.sources import files
 
 # Control tables and their columns.
 CONTROL_TABLES = {
@@ -30,6 +32,8 @@ CONTROL_TABLES = {
     "RowsLoadedCount bigint, IngestStatusCode string",
     "LoadAudit": "BatchId bigint, SchemaName string, TableName string, SourceRowCount bigint, InsertedRowCount bigint, "
     "UpdatedRowCount bigint, MatchedRowCount bigint, RejectedRowCount bigint",
+    "KeyRange": "BatchId bigint, TableName string, BaseKey bigint, KeyCount bigint",
+    "BatchLoad": "BatchId bigint, LoadToken string, BuiltOnToken string, LoadedAtUtc timestamp_ntz",
     "QueryTiming": "BatchId bigint, name string, row_count bigint, milliseconds double, status string, "
     "MeasuredAtUtc timestamp_ntz",
 }
@@ -169,3 +173,54 @@ def expired(df: DataFrame, timestamp: str, now: Column, days: int = RETENTION_DA
     return older_than(df, timestamp, days, now)
 
 
+
+
+def key_ranges(spark: SparkSession, root: str, table: str, batch_id: int, rows: int, first_base: Callable[[], int]) -> list[tuple[int, int]]:
+    """The keys that belong to a batch of a table, as (base, count): keys base + 1 to base + count.
+
+    A batch gets its range once, before its rows are written, and has it whenever it is loaded again, in
+    whatever order. A batch that comes again with more rows gets one range more for the rest.
+    `first_base` is asked only where nothing was ever given out for the table.
+    """
+    given = []
+    if files.exists(spark, f"{root}/KeyRange"):
+        told = read_control(spark, root, "KeyRange").filter(F.col("TableName") == table)
+        own = told.filter(F.col("BatchId") == batch_id).orderBy("BaseKey").collect()  # one, as a rule
+        given = [(r.BaseKey, r.KeyCount) for r in own]
+        top = told.agg(F.max(F.col("BaseKey") + F.col("KeyCount"))).first()[0]
+    else:
+        top = None
+    missing = rows - sum(n for _, n in given)
+    if missing > 0:
+        base = first_base() if top is None else top
+        row = [(batch_id, table, base, missing)]
+        append_control(spark, root, "KeyRange", spark.createDataFrame(row, CONTROL_TABLES["KeyRange"]))
+        given.append((base, missing))
+    return given
+
+
+def base_of(ranges: list[tuple[int, int]], row_number: str = "RowNumber") -> Column:
+    """What a row's number is added to, so that numbers from 1 fill the ranges one after the other."""
+    out, before = None, sum(n for _, n in ranges)
+    for base, n in reversed(ranges):
+        before -= n
+        own = F.lit(base - before).cast("bigint")
+        out = own if out is None else F.when(F.col(row_number) <= before + n, own).otherwise(out)
+    return F.lit(0).cast("bigint") if out is None else out
+
+
+def batch_loads(spark: SparkSession, root: str) -> dict[int, Row]:
+    """The last completed load of every batch: its token, the token it was built on, and its time.
+
+    A row a batch; batches are counted in thousands, whatever the size of their tables.
+    """
+    if not files.exists(spark, f"{root}/BatchLoad"):
+        return {}
+    return {r.BatchId: r for r in read_control(spark, root, "BatchLoad").collect()}
+
+
+def stale_batches(loads: dict[int, Row]) -> list[int]:
+    """Batches that were built on a load of the batch before them which has been made again since."""
+    order = sorted(loads)
+    before = [None, *(loads[b].LoadToken for b in order)]
+    return [b for b, token in zip(order, before, strict=False) if loads[b].BuiltOnToken != token]

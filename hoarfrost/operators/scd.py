@@ -6,7 +6,9 @@ fits a broadcast, the dimension itself is read once and never shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +26,7 @@ class Merge:
     """A merged dimension, and what became of every staged business key."""
 
     table: DataFrame
-    changes: DataFrame  # business key, action (insert, update, unchanged), old and new hash
+    changes: DataFrame  # business key, action (insert, update, unchanged), old and new hash, whether a row changed
 
 
 def latest_per_key(stage: DataFrame, business_key: str) -> DataFrame:
@@ -84,11 +86,13 @@ def scd2_merge(
     now: Column,
     model: WarehouseModel | None = None,
     dims: dict[str, DataFrame] | None = None,
+    highest: Column | int | None = None,
 ) -> Merge:
     """Close the current version of each changed row and open a new one.
 
     Unchanged rows stay as they are, rows missing from the batch stay current, and a batch
-    applied twice changes nothing the second time, because every hash then agrees.
+    applied twice changes nothing the second time, because every hash then agrees. `dim` may be
+    a part of the dimension that holds all staged keys; then `highest` is the whole one's highest key.
     """
     bk = spec.business_key.name
     staged = latest_per_key(batch(stage, batch_id), bk)
@@ -108,7 +112,7 @@ def scd2_merge(
     compared = materialise(compared.withColumn("__action", action), f"scd2-{spec.name}")
 
     closing = compared.filter(F.col("__action") == "update").select(bk, F.lit(True).alias("__close"))
-    marked = sized_join(dim, closing, {bk: bk}, "left")
+    marked = sized_join(dim, closing, {bk: bk}, "left", heavy_rows=None)  # a key has a row per version
     closes = F.col("IsCurrent") & F.coalesce(F.col("__close"), F.lit(False))
     end_type = dim.schema["EffectiveToUtc"].dataType
     kept = marked.withColumns(
@@ -121,13 +125,14 @@ def scd2_merge(
     opened = compared.filter(F.col("__action") != "unchanged")
     if dims:
         opened = resolve_parents(model, spec, opened, dims)
-    opened = assign_keys(opened, [bk], spec.key, highest_key(dim, spec.key))
+    opened = assign_keys(opened, [bk], spec.key, highest_key(dim, spec.key) if highest is None else highest)
     fresh = _shaped(opened.drop("BatchId", *VERSION_COLUMNS[:3]), dim, spec, batch_id, now)
     changes = compared.select(
         F.col(bk).cast("string").alias("BusinessKeyValue"),
         F.col("__action").alias("action"),
         F.col("__old").alias("old_hash"),
         F.col("RowHash").alias("new_hash"),
+        (F.col("__action") != "unchanged").alias("changed"),
     )
     return Merge(kept.unionByName(fresh), changes)
 
@@ -140,20 +145,27 @@ def scd1_merge(
     now: Column,
     model: WarehouseModel | None = None,
     dims: dict[str, DataFrame] | None = None,
+    highest: Column | int | None = None,
 ) -> Merge:
     """Overwrite the shared attributes of known rows and insert unknown ones.
 
-    Matched rows keep their key and audit columns; an inserted row carries the batch id.
+    Matched rows keep their key and audit columns; an inserted row carries the batch id. A
+    matched row counts as an update, and as changed if an attribute is another. `dim` may be
+    a part of the dimension that holds all staged keys; then `highest` is the whole one's highest key.
     """
     bk = spec.business_key.name
     staged = latest_per_key(batch(stage, batch_id), bk)
     if dims:
         staged = resolve_parents(model, spec, staged, dims)
     shared = project_shared(staged, dim.columns, {bk, spec.key, "SourceSystemKey", "LoadedAtUtc"})
-    existing = _existing(dim.select(bk), staged, bk).withColumn("__known", F.lit(True))
-    compared = materialise(sized_join(staged, existing, {bk: bk}, "left", heavy_rows=None), f"scd1-{spec.name}")
-
-    incoming = compared.filter(F.col("__known")).select(
+    known = dim.select(bk, F.struct(*[F.col(c) for c in shared], F.lit(True).alias("__is")).alias("__known"))
+    existing = _existing(known, staged, bk)
+    compared = sized_join(staged, existing, {bk: bk}, "left", heavy_rows=None)
+    same = [F.col(c).cast(dim.schema[c].dataType).eqNullSafe(F.col("__known")[c]) for c in shared]
+    compared = compared.withColumn("__same", reduce(lambda a, b: a & b, same, F.col("__known").isNotNull()))
+    compared = materialise(compared, f"scd1-{spec.name}")
+
+    incoming = compared.filter(F.col("__known").isNotNull() & ~F.col("__same")).select(
         bk, F.lit(True).alias("__hit"), *[F.col(c).alias(f"__new_{c}") for c in shared]
     )
     joined = sized_join(dim, incoming, {bk: bk}, "left", heavy_rows=None)
@@ -162,13 +174,14 @@ def scd1_merge(
     ).select(*dim.columns)
 
     added = compared.filter(F.col("__known").isNull())
-    added = assign_keys(added, [bk], spec.key, highest_key(dim, spec.key))
+    added = assign_keys(added, [bk], spec.key, highest_key(dim, spec.key) if highest is None else highest)
     fresh = _shaped(added.drop("BatchId", "SourceSystemKey"), dim, spec, batch_id, now)
     changes = compared.select(
         F.col(bk).cast("string").alias("BusinessKeyValue"),
-        F.when(F.col("__known"), "update").otherwise("insert").alias("action"),
+        F.when(F.col("__known").isNotNull(), "update").otherwise("insert").alias("action"),
         F.lit(None).cast("binary").alias("old_hash"),
         F.lit(None).cast("binary").alias("new_hash"),
+        (~F.col("__same")).alias("changed"),
     )
     return Merge(updated.unionByName(fresh), changes)
 
@@ -185,11 +198,14 @@ def merge_dimensions(
     batch_id: int,
     now: Column,
     enabled: set[str] | None = None,
+    keep: Callable[[str, Callable[[DataFrame, Column | int | None], Merge]], tuple[Merge, DataFrame]] | None = None,
 ) -> dict[str, Merge]:
     """Merge every staged dimension, parents before children and otherwise by name.
 
     A dimension is versioned exactly when it has all version columns. Tables without a
-    business key, or switched off in the load settings, are left out.
+    business key, or switched off in the load settings, are left out. With `keep`, each merge is
+    handed over as a function of the dimension's rows (all, or all that staged keys may meet) and its
+    highest key; `keep` stores it and returns it with the whole table, which children are resolved by.
     """
     done: dict[str, Merge] = {}
     latest = dict(dims)
@@ -200,9 +216,15 @@ def merge_dimensions(
         if enabled is not None and name not in enabled:
             continue
         versioned = all(c in dims[name].columns for c in VERSION_COLUMNS)
-        merge = scd2_merge if versioned else scd1_merge
-        done[name] = merge(latest[name], stages[name], spec, batch_id, now, model, latest)
-        latest[name] = done[name].table
+
+        def merge(part: DataFrame, highest: Column | int | None = None, name=name, spec=spec, how=scd2_merge if versioned else scd1_merge) -> Merge:  # noqa: ANN001
+            return how(part, stages[name], spec, batch_id, now, model, latest, highest)
+
+        if keep is None:
+            done[name] = merge(latest[name])
+            latest[name] = done[name].table
+        else:
+            done[name], latest[name] = keep(name, merge)
     return done
 
 

@@ -7,28 +7,32 @@ running one again with the same batch id leaves the warehouse as one run does.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoarfrost.model import VERSION_COLUMNS, WarehouseModel
+from hoarfrost.model import VERSION_COLUMNS, TableSpec, WarehouseModel
 from hoarfrost.operators import quality as dq
 from hoarfrost.operators.control import (
     AGE_COLUMN,
     BY_BATCH,
     CONTROL_TABLES,
     RETENTION_DAYS,
+    base_of,
+    batch_loads,
     batch_run,
     expired_files,
+    key_ranges,
     read_control,
     record_step,
     replace_control,
+    stale_batches,
 )
 from hoarfrost.operators.facts import load_bridge, load_fact, lookup_misses, lookup_plan
 from hoarfrost.operators.joins import sized_join
-from hoarfrost.operators.keys import highest_key
-from hoarfrost.operators.scd import change_log, load_audit, merge_dimensions
+from hoarfrost.operators.scd import Merge, change_log, load_audit, merge_dimensions
 from hoarfrost.session import materialise
 from hoarfrost.sources import files, landing, tables
 
@@ -55,15 +59,53 @@ def load_batch(
     batch_id: int,
     now: Column | None = None,
     enabled: set[str] | None = None,
+    later: str = "rebuild",
 ) -> dict[str, int]:
     """Stage what has landed, merge dimensions, load facts and bridges, and record it all.
 
     Returns the rows loaded per fact. Control tables live below `<root>/control`.
+
+    A load stands on the load of the batch before it, and says so. When a batch is loaded again, or comes
+    late, the batches after it stand on something that is no more: they are loaded again too, in order,
+    each as of its own first time, or with `later="refuse"` nothing is loaded at all. The same goes for
+    batches that an interrupted load has left behind. If the files of one of them are gone, it is refused.
     """
-    control, at = f"{root}/control", now if now is not None else F.current_timestamp().cast("timestamp_ntz")
+    if later not in ("rebuild", "refuse"):
+        raise ValueError(f"later is rebuild or refuse, not {later}")
+    control = f"{root}/control"
+    loads = batch_loads(spark, control)
+    others = {b for b in loads if b > batch_id} | {b for b in stale_batches(loads) if b < batch_id}
+    gone = [b for b in sorted(others) if not landing.landed_tables(spark, landing_root, b, model)]
+    if others and (later == "refuse" or gone):
+        why = f"the files of {gone} are gone" if gone else "that was not asked for"
+        raise ValueError(f"batch {batch_id} needs batches {sorted(others)} to be loaded again, and {why}")
+    counts = {}
+    for b in sorted({*others, batch_id}):
+        told = F.lit(loads[b].LoadedAtUtc) if b in loads else F.current_timestamp()
+        at = now if b == batch_id and now is not None else told
+        counts[b] = _load_one(spark, model, landing_root, root, b, at, enabled)
+    return counts[batch_id]
+
+
+def _note_load(spark: SparkSession, control: str, batch_id: int, token: str, at: dt.datetime) -> None:
+    loads = batch_loads(spark, control)
+    below = [b for b in sorted(loads) if b < batch_id]
+    row = [(batch_id, token, loads[below[-1]].LoadToken if below else None, at)]
+    tables.replace_batch(spark.createDataFrame(row, CONTROL_TABLES["BatchLoad"]), f"{control}/BatchLoad", batch_id)
+
+
+def _load_one(
+    spark: SparkSession, model: WarehouseModel, landing_root: str, root: str, batch_id: int, now: Column, enabled: set[str] | None
+) -> dict[str, int]:
+    control = f"{root}/control"
     counts: dict[str, int] = {}
     with batch_run(spark, control, batch_id, "load"):
         started = _now()
+        moment = spark.range(1).select(now.cast("timestamp_ntz")).first()[0]
+        at, token = F.lit(moment), uuid.uuid4().hex
+        if batch_id in batch_loads(spark, control):
+            # From here on the batches after this one count as built on something else.
+            _note_load(spark, control, batch_id, token, moment)
         stages = {}
         for name in landing.landed_tables(spark, landing_root, batch_id, model):
             if enabled is None or name in enabled:
@@ -80,15 +122,18 @@ def load_batch(
             dims[name] = spark.createDataFrame([], model[name].schema_type())
         staged_dims = {n: s for n, s in stages.items() if model[n].kind in ("ref", "dim")}
         audits, logs = [], []
-        for name, merge in merge_dimensions(model, dims, staged_dims, batch_id, at).items():
-            business_key = model[name].business_key
-            if business_key is not None:  # a row without its key cannot be stored
-                keyless = stages[name].filter(F.col(business_key.name).isNull()).agg(F.count("*")).scalar()
-                audits.append(load_audit(merge.changes, model[name].schema, name, batch_id, keyless))
-            tables.write_version(merge.table, f"{root}/{name}", batch_id)
-            dims[name] = tables.read_version(spark, f"{root}/{name}", batch_id + 1, model[name].schema_type())
+
+        def keep(name: str, merge) -> tuple[Merge, DataFrame]:
+            spec, path = model[name], f"{root}/{name}"
+            done = tables.merge_version(spark, path, batch_id, spec, stages[name], merge)
+            keyless = stages[name].filter(F.col(spec.business_key.name).isNull()).agg(F.count("*")).scalar()
+            audits.append(load_audit(done.changes, spec.schema, name, batch_id, keyless))  # a row without its key cannot be stored
+            dims[name] = tables.read_version(spark, path, batch_id + 1, spec.schema_type())
             if all(c in dims[name].columns for c in VERSION_COLUMNS):
-                logs.append(change_log(merge.changes, name, batch_id).withColumn("ChangedAtUtc", at))
+                logs.append(change_log(done.changes, name, batch_id).withColumn("ChangedAtUtc", at))
+            return done, dims[name]
+
+        merge_dimensions(model, dims, staged_dims, batch_id, at, keep=keep)
         none = spark.createDataFrame([], CONTROL_TABLES["ScdChangeLog"])
         replace_control(spark, control, "ScdChangeLog", reduce(DataFrame.unionByName, logs, none), f"load-{batch_id}")
         if audits:
@@ -99,18 +144,13 @@ def load_batch(
         missed = spark.createDataFrame([], CONTROL_TABLES["DqResult"])
         for name, staged in stages.items():
             spec, path = model[name], f"{root}/{name}"
+            if spec.kind not in ("fact", "bridge"):
+                continue
+            base = fact_keys(spark, control, spec, staged, path, batch_id)
             if spec.kind == "bridge":
-                write_bridge(spark, model, name, staged, dims, path, batch_id, at)
-            if spec.kind != "fact":
+                write_bridge(spark, model, name, staged, dims, path, batch_id, at, base)
                 continue
-            # The highest key is taken over other batches, so a rerun gives the same keys.
-            others = 0
-            if files.exists(spark, path):
-                kept = spark.read.schema(spec.schema_type()).parquet(path).filter(F.col("BatchId") != batch_id)
-                others = kept.agg(F.coalesce(F.max(spec.key), F.lit(0))).first()[0]
-            flagged = materialise(
-                load_fact(model, name, staged, dims, batch_id, at, highest=others, keep_misses=True), f"fact-{name}"
-            )
+            flagged = materialise(load_fact(model, name, staged, dims, batch_id, at, highest=base, keep_misses=True), f"fact-{name}")
             main_date = f"{spec.date_roles[0]}DateKey" if spec.date_roles else None
             fact = flagged.select(*[c.name for c in spec.all_columns()])
             counts[name] = tables.replace_batch(fact, path, batch_id, main_date)
@@ -119,10 +159,28 @@ def load_batch(
                 misses = dq.results(lookup_misses(flagged, plan, name), batch_id, at)
                 missed = missed.unionByName(misses.filter("status = 'Fail'"))
         replace_control(spark, control, "DqResult", missed, f"load-{batch_id}")
+        if stages:
+            _note_load(spark, control, batch_id, token, moment)
         record_step(spark, control, batch_id, "load facts", "Succeeded", started, _now())
     return counts
 
 
+def fact_keys(spark: SparkSession, control: str, spec: TableSpec, staged: DataFrame, path: str, batch_id: int) -> Column:
+    """What is added to a staged row's number to make its key: from the batch's own range of keys.
+
+    The table itself is not read, but for the first range given out for one that was there before.
+    """
+    rows = staged.agg(F.max("RowNumber")).first()[0] or 0
+
+    def first_base() -> int:
+        if not files.exists(spark, path):
+            return 0
+        kept = spark.read.schema(spec.schema_type()).parquet(path).filter(F.col("BatchId") != batch_id)
+        return kept.agg(F.coalesce(F.max(spec.key), F.lit(0))).first()[0]
+
+    return base_of(key_ranges(spark, control, spec.name, batch_id, rows, first_base))
+
+
 def record_received(spark: SparkSession, model: WarehouseModel, landing_root: str, control: str, batch_id: int, names: list[str]) -> None:
     """Note every file of a batch with its rows read and loaded, and every row that did not
     fit its table. A rerun replaces the notes of its batch."""
@@ -142,27 +200,29 @@ def record_received(spark: SparkSession, model: WarehouseModel, landing_root: st
 
 
 def write_bridge(
-    spark: SparkSession, model: WarehouseModel, name: str, staged: DataFrame, dims: dict[str, DataFrame], path: str, batch_id: int, now: Column
+    spark: SparkSession, model: WarehouseModel, name: str, staged: DataFrame, dims: dict[str, DataFrame], path: str, batch_id: int, now: Column, base: Column
 ) -> None:
-    """Add a batch's new member combinations to a stored bridge; known ones stay as they are."""
+    """Write a batch's new member combinations to its own folder of a bridge; known ones stay where they are.
+
+    Known are the combinations of earlier batches, of which the member keys alone are read.
+    """
     spec = model[name]
-    kept = [v for v in tables.versions(spark, path) if v < batch_id]
-    known = tables.read_version(spark, path, batch_id, spec.schema_type()) if kept else spark.createDataFrame([], spec.schema_type())
-    loaded = load_bridge(model, name, staged, dims, batch_id, now, highest_key(known, spec.key))
-    if spec.unique_members:
+    loaded = load_bridge(model, name, staged, dims, batch_id, now, base)
+    if spec.unique_members and files.exists(spark, path):
         members = {fk.column: fk.column for fk in spec.foreign_keys if fk.member}
+        known = spark.read.schema(spec.schema_type()).parquet(path).filter(F.col("BatchId") < batch_id)
         loaded = sized_join(loaded, known.select(*members), members, "left_anti", heavy_rows=None)
-    tables.write_version(known.unionByName(loaded), path, batch_id)
+    tables.replace_batch(materialise(loaded, f"bridge-{name}"), path, batch_id)
 
 
 def check_quality(spark: SparkSession, model: WarehouseModel, root: str, batch_id: int, now: Column, rules: list[dq.Rule] | None = None) -> DataFrame:
     """Profile every stored table and check every foreign key; the results are kept."""
     found = stored_dims(spark, model, root)
-    for spec in model.of_kind("fact"):
+    for spec in model.of_kind("fact", "bridge"):
         if files.exists(spark, f"{root}/{spec.name}"):
             found[spec.name] = spark.read.schema(spec.schema_type()).parquet(f"{root}/{spec.name}")
     parts = [dq.profile(found[n], model[n], rules) for n in sorted(found)]
-    parts.append(dq.foreign_key_checks(model, found, ("fact",), exempt_unknown=True))
+    parts.append(dq.foreign_key_checks(model, found, ("fact", "bridge"), exempt_unknown=True))
     checked = materialise(dq.results(reduce(DataFrame.unionByName, parts), batch_id, now), "quality")
     replace_control(spark, f"{root}/control", "DqResult", checked, f"quality-{batch_id}")
     return checked

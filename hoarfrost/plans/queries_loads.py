@@ -448,7 +448,7 @@ FIRST_SEEN = f"""SELECT c_name, epoch, row_number() OVER (ORDER BY epoch, substr
 
 @query("st_apply", f"""SELECT CAST({EPOCH} AS BIGINT) AS BatchId, {EPOCH} * 1099511627776 + event_id + 1 AS CustomerEventKey,
     event_type AS EventTypeCode, {dec('value')} AS EventAmount, {key_of('ts')} AS EventDateKey,
-    CAST(hour(ts) * 3600 + minute(ts) * 60 AS INTEGER) AS EventTimeOfDayKey, CAST(f.k AS INTEGER) AS CustomerKey
+    CAST(hour(ts) * 3600 + minute(ts) * 60 AS INTEGER) AS EventTimeOfDayKey, CAST(f.k AS BIGINT) AS CustomerKey
   FROM events JOIN customer ON c_custkey = user_id JOIN ({FIRST_SEEN}) f ON f.c_name = customer.c_name""")
 def st_apply(spark, folder):
     root, warehouse, checkpoint = (scratch(spark, part) for part in ("landing", "warehouse", "checkpoint"))

@@ -33,11 +33,11 @@ class Warehouse(Mapping):
 
     @classmethod
     def stored(cls, spark: SparkSession, model: WarehouseModel, root: str) -> "Warehouse":
-        """A warehouse kept below one folder: facts by batch, other tables by version."""
+        """A warehouse kept below one folder: facts and bridges by batch, other tables by version."""
 
         def reader(name: str) -> Callable[[], DataFrame]:
             spec = model[name]
-            if spec.kind == "fact":
+            if spec.kind in ("fact", "bridge"):
                 return lambda: spark.read.schema(spec.schema_type()).parquet(f"{root}/{name}")
             return lambda: tables.read_version(spark, f"{root}/{name}", schema=spec.schema_type())
 

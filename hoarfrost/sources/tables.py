@@ -1,24 +1,35 @@
 """Stored tables: whole-table versions, batch replacement, extracts and compaction.
 
-A dimension is rewritten as a whole into a new version folder. Spark's writer leaves a
-success marker only when the write is committed, so the current version is the latest one
-that has the marker: a failed rewrite changes nothing, and a rerun writes its version again.
+A table kept by version has a folder for each. Spark's writer leaves a success marker only when
+the write is committed, so the current version is the latest one that has the marker: a failed
+write changes nothing, and a rerun writes its version again. Dimensions that batches are merged
+into keep their rows in buckets, and a version is then a manifest of them (see `buckets`).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import ceil
+from typing import Protocol
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hoarfrost.model import TableSpec
 from hoarfrost.session import materialise
-from hoarfrost.sources import files
+from hoarfrost.sources import buckets, files
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
+class Merged(Protocol):
+    """A merged table, and what became of every business key: BusinessKeyValue, action and changed."""
+
+    table: DataFrame
+    changes: DataFrame
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Committed versions, oldest first."""
     found = []
@@ -38,15 +49,54 @@ def read_version(spark: SparkSession, path: str, before: int | None = None, sche
     found = [v for v in versions(spark, path) if before is None or v < before]
     if not found:
         raise FileNotFoundError(f"no committed version of {path}")
+    if buckets.is_bucketed(spark, path):
+        return buckets.read(spark, path, buckets.load_version(spark, path, found[-1]), schema=schema)
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(f"{path}/v={found[-1]}")
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 3) -> list[int]:
-    old = versions(spark, path)[:-keep]
-    for v in old:
+    found = versions(spark, path)
+    for v in found[:-keep]:
         files.delete(spark, f"{path}/v={v}")
-    return old
+    if buckets.is_bucketed(spark, path):
+        buckets.drop_unused(spark, path, found[-keep:])
+    return found[:-keep]
+
+
+def bucketed(spark: SparkSession, path: str, before: int | None = None) -> buckets.Version | None:
+    """The manifest of the current version of a bucketed table, or of the last one older than `before`."""
+    found = [v for v in versions(spark, path) if before is None or v < before]
+    return buckets.load_version(spark, path, found[-1]) if found and buckets.is_bucketed(spark, path) else None
+
+
+def merge_version(
+    spark: SparkSession, path: str, number: int, spec: TableSpec, stage: DataFrame, merge: Callable[[DataFrame, int | None], Merged],
+    bucket_rows: int = buckets.BUCKET_ROWS,
+) -> Merged:
+    """Merge a batch into a stored dimension and commit the result as a version; returns the merge.
+
+    `merge` gets the rows of the buckets that staged keys fall into, and the highest key in use, from the
+    manifest. Of those buckets only the ones with a changed row are written; the new version points at
+    the older ones' folders for the rest. The first version, and a table that has outgrown its number of
+    buckets, is written whole.
+    """
+    key, base = spec.business_key.name, bucketed(spark, path, number)
+    if base is None:
+        older = any(v < number for v in versions(spark, path))
+        whole = read_version(spark, path, number, spec.schema_type()) if older else spark.createDataFrame([], spec.schema_type())
+        done = merge(whole, None)
+        buckets.write(done.table, path, number, key, spec.key, None, None, bucket_rows)
+        return done
+    near = buckets.touched(stage, key, base.buckets)
+    done = merge(buckets.read(spark, path, base, near, spec.schema_type()), base.highest)
+    moved = done.changes.filter("changed")
+    if buckets.outgrown(base, moved.count(), bucket_rows):
+        rest = buckets.read(spark, path, base, set(base.places) - near, spec.schema_type())
+        buckets.write(done.table.unionByName(rest), path, number, key, spec.key, base, None, bucket_rows)
+    else:
+        buckets.write(done.table, path, number, key, spec.key, base, buckets.touched(moved, "BusinessKeyValue", base.buckets), bucket_rows)
+    return done
 
 
 def replace_batch(df: DataFrame, path: str, batch_id: int, date_column: str | None = None) -> int:

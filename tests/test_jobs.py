@@ -4,10 +4,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from hoarfrost.operators.control import latest_runs, read_control
+from hoarfrost.operators.control import base_of, batch_loads, key_ranges, latest_runs, read_control, stale_batches
 from hoarfrost.operators.generate import date_dimension, time_dimension
+from hoarfrost.operators.scd import scd1_merge, scd2_merge
 from hoarfrost.plans import jobs
-from hoarfrost.sources import landing, tables
+from hoarfrost.sources import buckets, landing, tables
 from tests.conftest import rows
 from tests.warehouse_fixture import MODEL
 
@@ -46,11 +47,11 @@ def roots(spark, tmp_path_factory):
 
 def contents(spark, root):
     out = {}
-    for spec in MODEL.of_kind("ref", "dim", "bridge"):
+    for spec in MODEL.of_kind("ref", "dim"):
         if spec.name not in ("Date", "TimeOfDay") and tables.versions(spark, f"{root}/{spec.name}"):
             out[spec.name] = rows(tables.read_version(spark, f"{root}/{spec.name}", schema=spec.schema_type()))
-    fact = spark.read.schema(MODEL["ProductionOrder"].schema_type()).parquet(f"{root}/ProductionOrder")
-    out["ProductionOrder"] = rows(fact)
+    for name in ("ProductionOrder", "ProductSubstitute"):
+        out[name] = rows(spark.read.schema(MODEL[name].schema_type()).parquet(f"{root}/{name}"))
     return out
 
 
@@ -149,3 +150,145 @@ def test_keys_past_two_billion(spark):
     stage = spark.createDataFrame([(5, "C1", 1, 1)], "Amount int, CustomerNumber string, BatchId bigint, RowNumber bigint")
     loaded = load_fact(model, "Order", stage, {"Customer": dim}, 1, at(10))
     assert loaded.first().CustomerKey == 3_000_000_000
+
+
+def data_files(root):
+    return {os.path.join(at, f): os.stat(os.path.join(at, f)).st_mtime_ns for at, _, names in os.walk(f"{root}/data") for f in names if f.endswith(".parquet")}
+
+
+@pytest.mark.parametrize("table", ["Product", "Operator"])
+def test_a_batch_rewrites_the_buckets_it_changes(spark, tmp_path, table):
+    """Type 2 (Product) and type 1 (Operator): files of other buckets keep name and time."""
+    spec, path = MODEL[table], str(tmp_path / table)
+    key, other = spec.business_key.name, spec.columns[0].name
+    empty = {n: spark.createDataFrame([], MODEL[n].schema_type()) for n in ("ProductFamily", "UnitOfMeasure", "ProductStatus", "Product")}
+
+    def load(batch, *data):
+        stage = spark.createDataFrame([(k, v, batch, n) for n, (k, v) in enumerate(data, 1)], f"{key} string, {other} string, BatchId bigint, RowNumber bigint")
+        how = scd2_merge if spec.is_scd2 else scd1_merge
+        merge = lambda part, highest=None: how(part, stage, spec, batch, at(batch), MODEL, empty, highest)
+        tables.merge_version(spark, path, batch, spec, stage, merge, bucket_rows=20)
+        return tables.read_version(spark, path, schema=spec.schema_type())
+
+    first = load(1, *((f"K{i}", "a") for i in range(200)))
+    made = tables.bucketed(spark, path)
+    assert first.count() == 200 and made.buckets == 16 and made.built_from is None and made.highest == 200
+    before = data_files(path)
+    second = load(2, ("K3", "b"), ("K4", "a"), ("new", "c"), (None, "x"))
+    after = data_files(path)
+    assert before.items() <= after.items()  # nothing was written in place
+    made = tables.bucketed(spark, path)
+    wrote = {b for b, place in made.places.items() if place.startswith("data/2-")}
+    assert made.built_from == 1 and made.highest == (202 if spec.is_scd2 else 201)
+    assert wrote == {r[0] for r in spark.createDataFrame([("K3",), ("new",)], "k string").select(buckets.bucket_of(F.col("k"), 16)).collect()}
+    assert second.count() == (202 if spec.is_scd2 else 201) and second.filter(f"{key} = 'K3' AND {other} = 'b'").count() == 1
+    assert second.select(spec.key).distinct().count() == second.count()
+    # The same rows again change nothing, and no bucket is written; the older version is still there.
+    third = load(3, ("K3", "b"), ("new", "c"))
+    assert data_files(path) == after and rows(third) == rows(second)
+    assert rows(tables.read_version(spark, path, 2, spec.schema_type())) == rows(first)
+    # A rerun of a batch starts from the version before it.
+    assert rows(load(2, ("K3", "b"), ("K4", "a"), ("new", "c"))) == rows(second)
+    # Buckets that are outgrown are dealt anew, with the same rows and keys.
+    fourth = load(4, *((f"N{i}", "d") for i in range(600)))
+    assert tables.bucketed(spark, path).buckets == 64 and fourth.count() == second.count() + 600
+    assert rows(fourth.filter("BatchId < 4")) == rows(second)
+    assert tables.drop_old_versions(spark, path, keep=1) == [1, 2, 3]
+    assert all("/data/4-" in f for f in data_files(path)) and rows(tables.read_version(spark, path)) == rows(fourth)
+
+
+def test_keys_of_a_batch_are_its_own(spark, tmp_path):
+    root = str(tmp_path)
+    asked = []
+    ask = lambda: asked.append(1) or 50
+    assert key_ranges(spark, root, "F", 2, 10, ask) == [(50, 10)]
+    assert key_ranges(spark, root, "F", 1, 5, ask) == [(60, 5)]
+    assert key_ranges(spark, root, "F", 2, 8, ask) == [(50, 10)]
+    assert key_ranges(spark, root, "F", 2, 13, ask) == [(50, 10), (65, 3)] == key_ranges(spark, root, "F", 2, 13, ask)
+    assert key_ranges(spark, root, "G", 2, 1, ask) == [(50, 1)] and len(asked) == 2
+    keys = spark.range(1, 14).select((base_of([(50, 10), (65, 3)], "id") + F.col("id")).alias("k"))
+    assert [r.k for r in keys.collect()] == [*range(51, 61), 66, 67, 68]
+
+
+def calendars(spark, *roots):
+    for root in roots:
+        tables.write_version(date_dimension(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 31)), f"{root}/Date", 0)
+        tables.write_version(time_dimension(spark), f"{root}/TimeOfDay", 0)
+        tables.write_version(spark.createDataFrame([], MODEL["ProductStatus"].schema_type()), f"{root}/ProductStatus", 0)
+
+
+def land_three(landing_root):
+    land(landing_root, 1, "Operator", ("O1", "Ann"))
+    land(landing_root, 1, "Product", ("P1", "one", None, None, None, None))
+    land(landing_root, 1, "ProductionOrder", ("W1", 5, 20240102, 20240104, 60, "P1", "O1", None), ("W2", 6, 20240102, 20240104, 60, "P1", None, None))
+    land(landing_root, 2, "Product", ("P1", "two", None, None, None, None), ("P2", "two", None, None, None, None))
+    land(landing_root, 2, "ProductSubstitute", (9, "P1", "P2"))
+    land(landing_root, 2, "ProductionOrder", ("W3", 7, 20240105, 20240106, 0, "P2", "O1", None))
+    land(landing_root, 3, "Product", ("P2", "three", None, None, None, None))
+    land(landing_root, 3, "ProductSubstitute", (9, "P1", "P2"))
+    land(landing_root, 3, "ProductionOrder", ("W4", 8, 20240105, 20240106, 0, "P2", "O2", None))
+
+
+def named_contents(spark, root):
+    """What the tables say, with surrogate keys of dimensions and facts."""
+    product = tables.read_version(spark, f"{root}/Product", schema=MODEL["Product"].schema_type())
+    fact = spark.read.schema(MODEL["ProductionOrder"].schema_type()).parquet(f"{root}/ProductionOrder")
+    bridge = spark.read.schema(MODEL["ProductSubstitute"].schema_type()).parquet(f"{root}/ProductSubstitute")
+    return (
+        rows(product, "ProductKey", "ProductNumber", "ProductName", "BatchId", "EffectiveFromUtc", "EffectiveToUtc", "IsCurrent"),
+        rows(fact, "ProductionOrderKey", "WorkOrderNumber", "ProductKey", "LeadOperatorKey", "BatchId"), rows(bridge),
+    )
+
+
+def test_late_repeated_and_interrupted_batches_end_like_one_ordered_run(spark, tmp_path, monkeypatch):
+    landing_root, root, ordered = (str(tmp_path / n) for n in ("landing", "late", "ordered"))
+    land_three(landing_root)
+    calendars(spark, root, ordered)
+    control = f"{root}/control"
+    load = lambda where, batch, **how: jobs.load_batch(spark, MODEL, landing_root, where, batch, at(batch), **how)
+    for batch in (1, 2, 3):
+        load(ordered, batch)
+    for batch in (1, 3, 2):  # the second comes last, and the third is made again on top of it
+        load(root, batch)
+    want, got = named_contents(spark, ordered), named_contents(spark, root)
+    assert got[0] == want[0] and sorted(r[1:] for r in got[1]) == sorted(r[1:] for r in want[1])
+    # Facts have the keys that their batch got first, whatever came after.
+    assert sorted((r[4], r[0]) for r in got[1]) == [(1, 1), (1, 2), (2, 4), (3, 3)]
+    loads = batch_loads(spark, control)
+    assert [loads[b].BuiltOnToken for b in (1, 2, 3)] == [None, loads[1].LoadToken, loads[2].LoadToken] and stale_batches(loads) == []
+    assert tables.bucketed(spark, f"{root}/Product").built_from == 2
+    with pytest.raises(ValueError, match="not asked for"):
+        load(root, 2, later="refuse")
+
+    # A changed first batch, whose load is lost before the later ones are made again.
+    land(landing_root, 1, "Product", ("P1", "two", None, None, None, None))
+    real = jobs._load_one
+    monkeypatch.setattr(jobs, "_load_one", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")) if a[4] == 2 else real(*a))
+    with pytest.raises(RuntimeError):
+        load(root, 1)
+    assert stale_batches(batch_loads(spark, control)) == [2]
+    monkeypatch.undo()
+    load(root, 3)  # brings the second up first
+    assert stale_batches(batch_loads(spark, control)) == []
+    product = tables.read_version(spark, f"{root}/Product", schema=MODEL["Product"].schema_type())
+    assert rows(product, "ProductNumber", "ProductName", "BatchId", "IsCurrent") == [("P1", "two", 1, True), ("P2", "three", 3, True), ("P2", "two", 2, False)]
+    assert [r[0] for r in named_contents(spark, root)[1]] == [1, 2, 3, 4]
+
+    for name in os.listdir(f"{landing_root}/2"):
+        os.remove(f"{landing_root}/2/{name}")
+    before = named_contents(spark, root)
+    with pytest.raises(ValueError, match=r"files of \[2\] are gone"):
+        load(root, 1)
+    assert named_contents(spark, root) == before
+
+
+def test_a_fact_load_does_not_read_the_fact(spark, tmp_path):
+    root = str(tmp_path)
+    staged = spark.createDataFrame([(1,), (4,)], "RowNumber bigint")
+    spec, path, control = MODEL["ProductionOrder"], f"{root}/fact", f"{root}/control"
+    with open(path, "w") as f:
+        f.write("no Parquet")
+    assert [key_ranges(spark, control, spec.name, b, 2, lambda: 0) for b in (1, 2)] == [[(0, 2)], [(2, 2)]]
+    for batch, first in ((9, 4), (9, 4), (8, 8)):
+        base = jobs.fact_keys(spark, control, spec, staged, path, batch)
+        assert [r[0] for r in staged.select(base + F.col("RowNumber")).collect()] == [first + 1, first + 4]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from hoarfrost.operators import aggregates, filters
 from hoarfrost.operators import joins as jn
-from hoarfrost.plans import reports
+from hoarfrost.plans import catalog, reports
 from hoarfrost.sources.trade import AS_OF, MODEL, manufacturing_warehouse, trade_warehouse
 
 FOLDER = "/root/testdata/sf0.001"
@@ -108,7 +108,7 @@ def test_window_months(spark):
 
 
 def test_every_query_has_sql_and_the_model_is_sound():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
     for spec in MODEL.tables.values():
         for fk in spec.references:
             assert fk.parent in MODEL
