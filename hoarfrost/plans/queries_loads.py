@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from hoarfrost.functions.scalars import row_hash
 from hoarfrost.model import Column, TableSpec
-from hoarfrost.operators.control import append_control, read_control
+from hoarfrost.operators.control import append_control, base_of, key_ranges, read_control
 from hoarfrost.operators.facts import lag_days, load_bridge, load_fact, lookup_misses, lookup_plan, unique_members
 from hoarfrost.operators.filters import current_only
 from hoarfrost.operators.generate import date_dimension
@@ -33,7 +33,7 @@ from hoarfrost.plans.states import (
     supplier_dim,
 )
 from hoarfrost.session import scratch
-from hoarfrost.sources import landing, tables, trade
+from hoarfrost.sources import buckets, landing, tables, trade
 from hoarfrost.sources.trade import MODEL, money, read, trade_warehouse
 from hoarfrost.streaming import ingest
 
@@ -140,10 +140,22 @@ MERGED = f"""SELECT CAST(CustomerKey AS BIGINT) AS CustomerKey, CustomerNumber,
   FROM ({ACTIONS}) n WHERE action <> 'unchanged'"""
 
 
-def _customer_merge(spark, folder):
+#: Rows of a bucket in the queries, so that the given tables already fill several.
+QUERY_BUCKET_ROWS = 2000
+
+
+def _stored_merge(spark, name: str, first: DataFrame, stage: DataFrame, merge) -> DataFrame:
+    """A dimension kept in buckets, its first version as given and a second one with a batch merged in."""
+    path, spec = scratch(spark, name), MODEL[name]
+    buckets.write(first, path, 1, spec.business_key.name, spec.key, bucket_rows=QUERY_BUCKET_ROWS)
+    tables.merge_version(spark, path, 2, spec, stage, merge, QUERY_BUCKET_ROWS)
+    return tables.read_version(spark, path, schema=first.schema)
+
+
+def _customer_merge(spark, folder, dim: DataFrame | None = None, highest=None):
     dims = {"Nation": trade_warehouse(spark, folder)["Nation"]}
     stage = trade.customer_stage(spark, folder, None, 2)
-    return scd2_merge(customer_dim(spark, folder), stage, MODEL["Customer"], 2, _at(SECOND), MODEL, dims)
+    return scd2_merge(customer_dim(spark, folder) if dim is None else dim, stage, MODEL["Customer"], 2, _at(SECOND), MODEL, dims, highest)
 
 
 def _customer_rows(dim: DataFrame) -> DataFrame:
@@ -155,7 +167,9 @@ def _customer_rows(dim: DataFrame) -> DataFrame:
 
 @query("ld_scd2", MERGED)
 def ld_scd2(spark, folder):
-    return _customer_rows(_customer_merge(spark, folder).table)
+    stage = trade.customer_stage(spark, folder, None, 2)
+    merge = lambda part, highest=None: _customer_merge(spark, folder, part, highest)
+    return _customer_rows(_stored_merge(spark, "Customer", customer_dim(spark, folder), stage, merge))
 
 
 @query("flt_current", f"SELECT * FROM ({MERGED}) WHERE IsCurrent")
@@ -180,15 +194,12 @@ MERGED_SUPPLIERS = f"""SELECT CAST(a.SupplierKey AS BIGINT) AS SupplierKey, a.Su
     SupplierNumber, NationKey, AccountBalanceAmount, CAST(2 AS BIGINT) FROM ({SUPPLIER_ACTIONS}) n WHERE is_new"""
 
 
-def _supplier_merge(spark, folder):
-    dims = {"Nation": trade_warehouse(spark, folder)["Nation"]}
-    stage = trade.supplier_stage(spark, folder, None, 2)
-    return scd1_merge(supplier_dim(spark, folder), stage, MODEL["Supplier"], 2, _at(SECOND), MODEL, dims)
-
-
 @query("ld_scd1", MERGED_SUPPLIERS)
 def ld_scd1(spark, folder):
-    return _supplier_merge(spark, folder).table.select(
+    dims = {"Nation": trade_warehouse(spark, folder)["Nation"]}
+    stage = trade.supplier_stage(spark, folder, None, 2)
+    merge = lambda part, highest=None: scd1_merge(part, stage, MODEL["Supplier"], 2, _at(SECOND), MODEL, dims, highest)
+    return _stored_merge(spark, "Supplier", supplier_dim(spark, folder), stage, merge).select(
         "SupplierKey", "SupplierNumber", "NationKey", "AccountBalanceAmount", "BatchId"
     )
 
@@ -276,7 +287,9 @@ def _order_load(spark, folder, customers, keep_misses=False):
         "Date": date_dimension(spark, trade.CALENDAR_START, CALENDAR_END, trade.AS_OF),
     }
     stage = trade.order_stage(spark, folder, 3)
-    return load_fact(MODEL, "OrderCycle", stage, dims, 3, _at(SECOND), keep_misses=keep_misses)
+    staged = stage.agg(F.max("RowNumber")).first()[0] or 0
+    own = key_ranges(spark, scratch(spark, "control"), "OrderCycle", 3, staged, lambda: 0)
+    return load_fact(MODEL, "OrderCycle", stage, dims, 3, _at(SECOND), highest=base_of(own), keep_misses=keep_misses)
 
 
 def _stored(dim: DataFrame) -> DataFrame:
@@ -437,11 +450,24 @@ def st_ingest(spark, folder):
     checkpoint, target = scratch(spark, "checkpoint"), scratch(spark, "staged")
     for _ in range(2):  # the second run finds nothing new
         ingest.ingest(stream, checkpoint, target)
-    return spark.read.parquet(target).select(
+    return ingest.accepted(ingest.staged(spark, target, MODEL.staging_schema("CustomerEvent"))).select(
         "EventTypeCode", "EventAmount", "EventDateKey", "EventTimeOfDayKey", "CustomerCustomerNumber", "RowNumber"
     )
 
 
+@query("st_dead_letters", """SELECT CAST(5 AS BIGINT) AS BatchId, o_orderkey + 1 AS RowNumber,
+    CASE WHEN o_orderstatus = 'P' THEN 'TotalAmount is not decimal(18,4)' END AS RejectReasonText,
+    CASE WHEN o_orderstatus = 'P' THEN o_orderkey || ',pending,P,5,' || (o_orderkey + 1) END AS RejectedPayload FROM orders""")
+def st_dead_letters(spark, folder):
+    """Every landed order once: those that fit, and those that do not with the reason and their line."""
+    path, schema = _dirty_orders(spark, folder), _landing_schema()
+    checkpoint, target = scratch(spark, "checkpoint"), scratch(spark, "staged")
+    ingest.ingest(ingest.landing_stream(spark, f"{path}/*", schema), checkpoint, target)
+    landed = ingest.staged(spark, target, schema)
+    good = ingest.accepted(landed).select("BatchId", "RowNumber")
+    return good.unionByName(ingest.dead_letters(landed).drop(ingest.LANDING_FILE), allowMissingColumns=True)
+
+
 FIRST_SEEN = f"""SELECT c_name, epoch, row_number() OVER (ORDER BY epoch, substr(sha256(c_name), 1, 3), c_name) AS k
   FROM (SELECT c_name, min({EPOCH}) AS epoch FROM events JOIN customer ON c_custkey = user_id GROUP BY c_name) f"""
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from hoarfrost.sources import files
 
 DATA = "data"
-BUCKET = "__bucket"
+BUCKET, MARK = "__bucket", "manifest"
 #: Rows of a bucket that a new layout aims at. A table that has outgrown its layout twice over gets a new one.
 BUCKET_ROWS = 1_000_000
 #: A manifest's rows: one for each bucket that has rows, and one (bucket -1) for the version itself, whose
@@ -47,13 +47,14 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
 
 
-def is_bucketed(spark: SparkSession, path: str) -> bool:
-    return files.exists(spark, f"{path}/{DATA}")
+def is_bucketed(spark: SparkSession, path: str, number: int) -> bool:
+    """Whether a version is a manifest; a table's first versions may have been written whole."""
+    return files.exists(spark, f"{path}/v={number}/{MARK}=1")
 
 
 def load_version(spark: SparkSession, path: str, number: int) -> Version:
     """A manifest. It has a row for each bucket, and the number of buckets grows with the table's rows only."""
-    found = spark.read.schema(MANIFEST).parquet(f"{path}/v={number}").collect()
+    found = spark.read.schema(MANIFEST).parquet(f"{path}/v={number}/{MARK}=1").collect()
     own = next(r for r in found if r.bucket == VERSION_ROW)
     kept = [r for r in found if r.bucket != VERSION_ROW]
     return Version(
@@ -108,8 +109,8 @@ def write(
     built_from = base.number if base else None
     lines = [(b, buckets, places[b], counts[b], highest[b], built_from) for b in sorted(places)]
     lines.append((VERSION_ROW, buckets, schema.json(), sum(counts.values()), most, built_from))
-    made = spark.createDataFrame(lines, MANIFEST).coalesce(1)
-    made.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/v={number}")
+    made = spark.createDataFrame(lines, MANIFEST).coalesce(1).withColumn(MARK, F.lit(1))
+    made.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(MARK).parquet(f"{path}/v={number}")
     return Version(number, buckets, places, counts, most, built_from, schema, highest)
 
 
@@ -123,7 +124,7 @@ def drop_unused(spark: SparkSession, path: str, numbers: list[int]) -> int:
 
     Folders written for a version after the last one are left alone: a load may be writing them.
     """
-    used = {place for n in numbers for place in load_version(spark, path, n).places.values()}
+    used = {place for n in numbers if is_bucketed(spark, path, n) for place in load_version(spark, path, n).places.values()}
     gone = 0
     for folder, is_folder, _, _ in files.children(spark, f"{path}/{DATA}"):
         if not is_folder or not numbers or int(folder.partition("-")[0]) > max(numbers):

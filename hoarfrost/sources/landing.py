@@ -70,23 +70,31 @@ def bad_row(schema: T.StructType) -> Column:
     return reduce(lambda a, b: a | b, checks)
 
 
-def rejects(raw: DataFrame, schema: T.StructType, batch_id: int, target_schema: str, table: str) -> DataFrame:
-    """Rows that do not fit the schema, with the reason and what the row held."""
+def reject_reason(schema: T.StructType) -> Column:
+    """Why a raw row does not fit the schema; NULL for one that does."""
     reasons = [F.when(F.col(CORRUPT).isNotNull(), "wrong number of fields")] + [
         F.when(_misfit(f), f"{f.name} is not {f.dataType.simpleString()}")
         for f in schema.fields
         if not isinstance(f.dataType, T.StringType)
     ]
-    names = [f.name for f in schema.fields]
-    payload = F.coalesce(F.rtrim(F.col(CORRUPT), F.lit("\r\n")), F.to_csv(F.struct(*names)))
-    number = F.col("RowNumber").try_cast("bigint") if "RowNumber" in names else F.lit(None).cast("bigint")
+    return F.when(bad_row(schema), F.concat_ws("; ", *reasons))
+
+
+def payload(schema: T.StructType) -> Column:
+    """What a raw row held, as a line."""
+    return F.coalesce(F.rtrim(F.col(CORRUPT), F.lit("\r\n")), F.to_csv(F.struct(*[f.name for f in schema.fields])))
+
+
+def rejects(raw: DataFrame, schema: T.StructType, batch_id: int, target_schema: str, table: str) -> DataFrame:
+    """Rows that do not fit the schema, with the reason and what the row held."""
+    number = F.col("RowNumber").try_cast("bigint") if "RowNumber" in schema.names else F.lit(None).cast("bigint")
     return raw.filter(bad_row(schema)).select(
         F.lit(batch_id).cast("bigint").alias("BatchId"),
         F.lit(target_schema).alias("TargetSchemaName"),
         F.lit(table).alias("TargetTableName"),
         number.alias("SourceRowNumber"),
-        F.concat_ws("; ", *reasons).alias("RejectReasonText"),
-        payload.alias("RejectedPayload"),
+        reject_reason(schema).alias("RejectReasonText"),
+        payload(schema).alias("RejectedPayload"),
     )
 
 

@@ -49,7 +49,7 @@ def read_version(spark: SparkSession, path: str, before: int | None = None, sche
     found = [v for v in versions(spark, path) if before is None or v < before]
     if not found:
         raise FileNotFoundError(f"no committed version of {path}")
-    if buckets.is_bucketed(spark, path):
+    if buckets.is_bucketed(spark, path, found[-1]):
         return buckets.read(spark, path, buckets.load_version(spark, path, found[-1]), schema=schema)
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(f"{path}/v={found[-1]}")
@@ -59,7 +59,7 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 3) -> list[int
     found = versions(spark, path)
     for v in found[:-keep]:
         files.delete(spark, f"{path}/v={v}")
-    if buckets.is_bucketed(spark, path):
+    if files.exists(spark, f"{path}/{buckets.DATA}"):
         buckets.drop_unused(spark, path, found[-keep:])
     return found[:-keep]
 
@@ -67,7 +67,7 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 3) -> list[int
 def bucketed(spark: SparkSession, path: str, before: int | None = None) -> buckets.Version | None:
     """The manifest of the current version of a bucketed table, or of the last one older than `before`."""
     found = [v for v in versions(spark, path) if before is None or v < before]
-    return buckets.load_version(spark, path, found[-1]) if found and buckets.is_bucketed(spark, path) else None
+    return buckets.load_version(spark, path, found[-1]) if found and buckets.is_bucketed(spark, path, found[-1]) else None
 
 
 def merge_version(

@@ -11,28 +11,48 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hoarfrost.model import WarehouseModel
 from hoarfrost.operators.facts import load_fact
-from hoarfrost.operators.scd import merge_dimensions
+from hoarfrost.operators.scd import Merge, merge_dimensions
 from hoarfrost.sources import files, tables
-from hoarfrost.sources.landing import bad_row, raw_options, text_schema, typed
+from hoarfrost.sources.landing import payload, raw_options, reject_reason, text_schema, typed
 
-LANDING_FILE = "LandingFile"
+LANDING_FILE, REASON, PAYLOAD = "LandingFile", "RejectReasonText", "RejectedPayload"
+EPOCH, LANDED = "epoch", "Landed"
+#: Batch of rejected rows that name none.
+NO_BATCH = -1
 BATCH_FOLDER = r"/([0-9]+)/stg\.[^/]+\.csv(?:/[^/]+)?$"
 
 
 def landing_stream(spark: SparkSession, pattern: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
-    """Typed rows of the landing files that match a path pattern, as they arrive, with the file each
-    came from. The batch id is that of the landing folder, else the staged one."""
+    """All rows of the landing files that match a path pattern, as they arrive, with the file each
+    came from. The batch id is that of the landing folder, else the staged one.
+
+    A row that does not fit its table keeps what does, and carries the reason and its line; for the
+    others both are NULL. No row is dropped here: `accepted` and `dead_letters` tell them apart.
+    """
     raw = (
         spark.readStream.schema(text_schema(schema))
         .options(**raw_options())
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(pattern)
     ).select("*", F.col("_metadata.file_path").alias(LANDING_FILE))
+    # The line is kept as it came, before the folder's batch id takes its place.
+    raw = raw.withColumns({REASON: reject_reason(schema), PAYLOAD: payload(schema)})
     if "BatchId" in schema.names:
         folder = F.regexp_extract(LANDING_FILE, BATCH_FOLDER, 1)
         raw = raw.withColumn("BatchId", F.when(folder != "", folder).otherwise(F.col("BatchId")))
     columns = [typed(f.name, f.dataType).alias(f.name) for f in schema.fields]
-    return raw.filter(~bad_row(schema)).select(*columns, LANDING_FILE)
+    return raw.select(*columns, LANDING_FILE, REASON, F.when(F.col(REASON).isNotNull(), F.col(PAYLOAD)).alias(PAYLOAD))
+
+
+def accepted(landed: DataFrame) -> DataFrame:
+    """The landed rows that fit their table, without the notes on those that do not."""
+    return landed.filter(F.col(REASON).isNull()).drop(REASON, PAYLOAD, LANDED, EPOCH)
+
+
+def dead_letters(landed: DataFrame) -> DataFrame:
+    """The landed rows that do not fit: batch, file, row number as far as there is one, reason and line."""
+    known = [c for c in ("BatchId", LANDING_FILE, "RowNumber") if c in landed.columns]
+    return landed.filter(F.col(REASON).isNotNull()).select(*known, REASON, PAYLOAD)
 
 
 def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -48,12 +68,26 @@ def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFram
 
 
 def ingest(stream: DataFrame, checkpoint: str, target: str) -> None:
-    """Stage each micro-batch under its own number; a repeated one overwrites itself."""
+    """Stage each micro-batch under its own number, rows that do not fit beside the others.
+
+    Both are written by one job under one number, so a micro-batch that is repeated replaces
+    both, and good rows and dead letters always add up to what landed.
+    """
     run_available(stream, checkpoint, lambda df, epoch: _stage_epoch(df, target, epoch))
 
 
 def _stage_epoch(df: DataFrame, target: str, epoch: int) -> None:
-    tables.stage(df, f"{target}/epoch={epoch}")
+    kind = F.when(F.col(REASON).isNull(), "rows").otherwise("rejects")
+    out = df.withColumn(LANDED, kind).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    out.partitionBy(LANDED).parquet(f"{target}/{EPOCH}={epoch}")
+
+
+def staged(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """All that `ingest` has staged, to be told apart by `accepted` and `dead_letters`; a reader of one
+    of the two reads its folders only."""
+    notes = [T.StructField(c, T.StringType()) for c in (LANDING_FILE, REASON, PAYLOAD)]
+    kept = spark.read.schema(T.StructType([*schema.fields, *notes, T.StructField(EPOCH, T.LongType()), T.StructField(LANDED, T.StringType())])).parquet(target)
+    return kept.filter((F.col(LANDED) == "rows") == F.col(REASON).isNull())
 
 
 def apply_stream(
@@ -72,22 +106,27 @@ def apply_stream(
     replaces itself and a batch may come in several micro-batches. Every landed batch is
     loaded by itself, from the versions before its id. Later versions build on earlier
     ones: when a batch comes late or again, those after it are loaded again, in order.
+
+    Rows that do not fit are kept beside the others, by the same batch and file: `dead_letters` of the
+    landed table gives them, and a file that comes again in order leaves none behind.
     """
     landed = f"{warehouse}/landed/{fact}"
 
     def handle(df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
         seen = Observation("landed")
-        kept = df.withColumn(LANDING_FILE, F.sha2(LANDING_FILE, 256)).observe(
-            seen, F.min("BatchId").alias("first"), F.count_if(F.col("BatchId").isNull()).alias("lost")
+        fits = F.col(REASON).isNull()
+        batch_id = F.when(fits, F.col("BatchId")).otherwise(F.coalesce("BatchId", F.lit(NO_BATCH)))
+        kept = df.withColumns({LANDING_FILE: F.sha2(LANDING_FILE, 256), "BatchId": batch_id}).observe(
+            seen, F.min(F.when(F.col("BatchId") != NO_BATCH, F.col("BatchId"))).alias("first"), F.count_if(F.col("BatchId").isNull()).alias("lost")
         )
         kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("BatchId", LANDING_FILE).parquet(landed)
         if seen.get["lost"]:
             raise ValueError(f"{seen.get['lost']} rows of {fact} have no batch id")
         first = seen.get["first"]
-        stored = spark.read.schema(kept.schema).parquet(landed)
+        stored = accepted(spark.read.schema(kept.schema).parquet(landed))
         found = [name for name, is_folder, _, _ in files.children(spark, landed) if is_folder and name.startswith("BatchId=")]
-        known = sorted(int(name.split("=")[1]) for name in found)
+        known = sorted(b for b in (int(name.split("=")[1]) for name in found) if b != NO_BATCH)
         for batch_id in (b for b in known if first is not None and b >= first):
             _apply_batch(stored.filter(F.col("BatchId") == batch_id).drop(LANDING_FILE), batch_id)
 
@@ -98,9 +137,14 @@ def apply_stream(
             for t in model.of_kind("ref", "dim")
             if any(v < batch_id for v in tables.versions(spark, f"{warehouse}/{t.name}"))
         }
-        for name, merge in merge_dimensions(model, dims, dim_of(df), batch_id, now).items():
-            tables.write_version(merge.table, f"{warehouse}/{name}", batch_id)
+        stages = dim_of(df)
+
+        def keep(name: str, merge) -> tuple[Merge, DataFrame]:
+            done = tables.merge_version(spark, f"{warehouse}/{name}", batch_id, model[name], stages[name], merge)
             dims[name] = tables.read_version(spark, f"{warehouse}/{name}", batch_id + 1)
+            return done, dims[name]
+
+        merge_dimensions(model, dims, stages, batch_id, now, keep=keep)
         loaded = load_fact(model, fact, stage_of(df), dims, batch_id, now, highest=F.lit(batch_id) * 2**40)
         tables.replace_batch(loaded, f"{warehouse}/{fact}", batch_id)
 

@@ -217,16 +217,13 @@ def calendars(spark, *roots):
         tables.write_version(spark.createDataFrame([], MODEL["ProductStatus"].schema_type()), f"{root}/ProductStatus", 0)
 
 
-def land_three(landing_root):
+def land_two(landing_root):
     land(landing_root, 1, "Operator", ("O1", "Ann"))
     land(landing_root, 1, "Product", ("P1", "one", None, None, None, None))
     land(landing_root, 1, "ProductionOrder", ("W1", 5, 20240102, 20240104, 60, "P1", "O1", None), ("W2", 6, 20240102, 20240104, 60, "P1", None, None))
     land(landing_root, 2, "Product", ("P1", "two", None, None, None, None), ("P2", "two", None, None, None, None))
     land(landing_root, 2, "ProductSubstitute", (9, "P1", "P2"))
     land(landing_root, 2, "ProductionOrder", ("W3", 7, 20240105, 20240106, 0, "P2", "O1", None))
-    land(landing_root, 3, "Product", ("P2", "three", None, None, None, None))
-    land(landing_root, 3, "ProductSubstitute", (9, "P1", "P2"))
-    land(landing_root, 3, "ProductionOrder", ("W4", 8, 20240105, 20240106, 0, "P2", "O2", None))
 
 
 def named_contents(spark, root):
@@ -242,23 +239,22 @@ def named_contents(spark, root):
 
 def test_late_repeated_and_interrupted_batches_end_like_one_ordered_run(spark, tmp_path, monkeypatch):
     landing_root, root, ordered = (str(tmp_path / n) for n in ("landing", "late", "ordered"))
-    land_three(landing_root)
+    land_two(landing_root)
     calendars(spark, root, ordered)
     control = f"{root}/control"
     load = lambda where, batch, **how: jobs.load_batch(spark, MODEL, landing_root, where, batch, at(batch), **how)
-    for batch in (1, 2, 3):
-        load(ordered, batch)
-    for batch in (1, 3, 2):  # the second comes last, and the third is made again on top of it
-        load(root, batch)
+    for where, order in ((ordered, (1, 2)), (root, (2, 1))):  # a late first batch, on top of which the second is made again
+        for batch in order:
+            load(where, batch)
     want, got = named_contents(spark, ordered), named_contents(spark, root)
     assert got[0] == want[0] and sorted(r[1:] for r in got[1]) == sorted(r[1:] for r in want[1])
     # Facts have the keys that their batch got first, whatever came after.
-    assert sorted((r[4], r[0]) for r in got[1]) == [(1, 1), (1, 2), (2, 4), (3, 3)]
+    assert sorted((r[4], r[0]) for r in got[1]) == [(1, 2), (1, 3), (2, 1)]
     loads = batch_loads(spark, control)
-    assert [loads[b].BuiltOnToken for b in (1, 2, 3)] == [None, loads[1].LoadToken, loads[2].LoadToken] and stale_batches(loads) == []
-    assert tables.bucketed(spark, f"{root}/Product").built_from == 2
+    assert [loads[b].BuiltOnToken for b in (1, 2)] == [None, loads[1].LoadToken] and stale_batches(loads) == []
+    assert tables.bucketed(spark, f"{root}/Product").built_from == 1
     with pytest.raises(ValueError, match="not asked for"):
-        load(root, 2, later="refuse")
+        load(root, 1, later="refuse")
 
     # A changed first batch, whose load is lost before the later ones are made again.
     land(landing_root, 1, "Product", ("P1", "two", None, None, None, None))
@@ -268,11 +264,11 @@ def test_late_repeated_and_interrupted_batches_end_like_one_ordered_run(spark, t
         load(root, 1)
     assert stale_batches(batch_loads(spark, control)) == [2]
     monkeypatch.undo()
-    load(root, 3)  # brings the second up first
+    assert load(root, 3) == {}  # nothing landed, but it brings the second up first
     assert stale_batches(batch_loads(spark, control)) == []
     product = tables.read_version(spark, f"{root}/Product", schema=MODEL["Product"].schema_type())
-    assert rows(product, "ProductNumber", "ProductName", "BatchId", "IsCurrent") == [("P1", "two", 1, True), ("P2", "three", 3, True), ("P2", "two", 2, False)]
-    assert [r[0] for r in named_contents(spark, root)[1]] == [1, 2, 3, 4]
+    assert rows(product, "ProductNumber", "ProductName", "BatchId", "IsCurrent") == [("P1", "two", 1, True), ("P2", "two", 2, True)]
+    assert [r[0] for r in named_contents(spark, root)[1]] == [1, 2, 3]
 
     for name in os.listdir(f"{landing_root}/2"):
         os.remove(f"{landing_root}/2/{name}")

@@ -101,4 +101,46 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
         ingest.ingest(stream, checkpoint, target)
         land(root, batch, ("O1", batch), ("O2", batch))
     ingest.ingest(stream, checkpoint, target)
-    assert rows(spark.read.parquet(target), "BatchId", "RowNumber") == [(1, 1), (2, 1), (2, 2), (3, 1), (3, 2)]
+    landed = ingest.staged(spark, target, MODEL.staging_schema("ProductionOrder"))
+    assert rows(ingest.accepted(landed), "BatchId", "RowNumber") == [(1, 1), (2, 1), (2, 2), (3, 1), (3, 2)]
+
+
+def spoil(root, batch, *lines):
+    with open(landing.landing_path(root, batch, "ProductionOrder"), "a") as f:
+        f.writelines(line + "\n" for line in lines)
+
+
+def test_good_rows_and_dead_letters_add_up(spark, tmp_path):
+    root, target, checkpoint = (str(tmp_path / p) for p in ("landing", "staged", "checkpoint"))
+    schema = MODEL.staging_schema("ProductionOrder")
+    land(root, 1, ("O1", 5), ("O2", "many"))
+    spoil(root, 1, "W9,1,2", ",,,,,,,,,")
+    land(root, 2, ("O3", "few"))
+    stream = ingest.landing_stream(spark, f"{root}/*/stg.ProductionOrder.csv", schema, files_per_batch=1)
+    ingest.ingest(stream, checkpoint, target)
+    landed = ingest.staged(spark, target, schema)
+    good, dead = ingest.accepted(landed), ingest.dead_letters(landed)
+    assert good.columns == [*schema.names, ingest.LANDING_FILE] and rows(good, "BatchId", "LeadOperatorOperatorNumber") == [(1, "O1"), (1, None)]
+    assert rows(dead, "BatchId", "RowNumber", "RejectReasonText", "RejectedPayload") == [
+        (1, 2, "OrderQuantity is not decimal(18,4)", "W2,many,20240102,20240105,60,,O2,,1,2"),
+        (1, None, "wrong number of fields", "W9,1,2"),
+        (2, 1, "OrderQuantity is not decimal(18,4)", "W1,few,20240102,20240105,60,,O3,,2,1"),
+    ]
+    assert good.count() + dead.count() == landed.count() == 5
+    # A micro-batch that is repeated replaces its rows and its dead letters.
+    epoch = landed.filter("BatchId = 1").select("epoch").first()[0]
+    ingest._stage_epoch(spark.createDataFrame(landed.filter(f"epoch = {epoch}").drop("epoch", "Landed").collect(), landed.drop("epoch", "Landed").schema), target, epoch)
+    assert ingest.staged(spark, target, schema).count() == 5
+
+
+def test_the_applied_stream_keeps_what_does_not_fit(spark, tmp_path):
+    root, warehouse, checkpoint = (str(tmp_path / p) for p in ("landing", "warehouse", "checkpoint"))
+    prepare(spark, warehouse)
+    land(root, 1, ("O1", 5), ("O2", "many"))
+    run(spark, root, warehouse, checkpoint)
+    assert state(spark, warehouse) == [(1, "O1", 5, 3)]
+    landed = lambda: spark.read.parquet(f"{warehouse}/landed/ProductionOrder")
+    assert rows(ingest.dead_letters(landed()), "BatchId", "RowNumber") == [(1, 2)]
+    land(root, 1, ("O1", 5), ("O2", 6))  # the file comes again, in order
+    run(spark, root, warehouse, str(tmp_path / "checkpoint-new"))
+    assert ingest.dead_letters(landed()).isEmpty() and len(state(spark, warehouse)) == 2
