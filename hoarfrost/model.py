@@ -6,9 +6,13 @@ and which joins to declare; the data itself only ever lives in DataFrames.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from dataclasses import dataclass, field, replace
 
+from pyspark.sql import Column as Expression
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNKNOWN_KEY = -1
@@ -159,6 +163,38 @@ class TableSpec:
         return T.StructType([T.StructField(c.name, c.spark_type, True) for c in self.all_columns()])
 
 
+@dataclass(frozen=True)
+class Origin:
+    """The raw date that a key column is computed from and grows with: a source table and its column.
+
+    `grain` says what a key is: a day (yyyymmdd) or a month (yyyymm). A bound on such a key is a bound on
+    the date, which a Parquet scan can use, where it cannot use one on the computed key.
+    """
+
+    source: str
+    column: str
+    grain: str = "day"
+
+    def first_day(self, key: int) -> dt.date:
+        """The first day with this key or a larger one."""
+        year, month, day = (key // 10000, key // 100 % 100, key % 100) if self.grain == "day" else (key // 100, key % 100, 1)
+        if month > 12:
+            return dt.date(year + 1, 1, 1)
+        start = dt.date(year, max(month, 1), 1)
+        last = (start.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+        return min(start + dt.timedelta(days=max(day if month else 1, 1) - 1), last)
+
+    def condition(self, source: DataFrame, low: int | None, high: int | None) -> Expression:
+        """What holds for the source rows of all keys from low to high (None: without bound)."""
+        raw, kind = F.col(self.column), source.schema[self.column].dataType
+        out = F.lit(True)
+        if low is not None:
+            out = raw >= F.lit(self.first_day(low).isoformat()).cast(kind)
+        if high is not None:
+            out = out & (raw < F.lit(self.first_day(high + 1).isoformat()).cast(kind))
+        return out
+
+
 @dataclass(frozen=True)
 class Edge:
     """One foreign key of the catalog, from a child table to the table it names."""

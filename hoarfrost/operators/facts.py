@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hoarfrost.functions.scalars import count_where, days_between
 from hoarfrost.model import TableSpec, WarehouseModel
 from hoarfrost.operators.filters import batch, with_defaults
-from hoarfrost.operators.joins import check_key, resolve_key
+from hoarfrost.operators.joins import BroadcastBudget, check_key, resolve_key
 
 MISS = "__miss_"
 
@@ -53,7 +53,7 @@ def resolve_all(stage: DataFrame, plan: list[Lookup], dims: dict[str, DataFrame]
 
     Heavy keys are counted in the batch as staged, not behind the lookups already made.
     """
-    staged = stage
+    staged, budget = stage, BroadcastBudget()
     for look in plan:
         if look.mode == "natural":
             stage = resolve_key(
@@ -67,9 +67,10 @@ def resolve_all(stage: DataFrame, plan: list[Lookup], dims: dict[str, DataFrame]
                 miss=f"{MISS}{look.column}",
                 ci_keys=ci_keys,
                 skew_from=staged,
+                budget=budget,
             )
         elif look.mode == "key":
-            stage = check_key(stage, dims[look.parent], look.column, look.parent_key, skew_from=staged)
+            stage = check_key(stage, dims[look.parent], look.column, look.parent_key, skew_from=staged, budget=budget)
     return stage
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,10 +101,20 @@ def rolling_months(fact: DataFrame, date_column: str, months: int, as_of: dt.dat
     return fact.filter(F.col(date_column) >= literal_date_key(since))
 
 
+def datekey_bounds(years_back: int, as_of: dt.date) -> tuple[int, int]:
+    """First and last day key of whole calendar years, from n years back to as_of's."""
+    return (as_of.year - years_back) * 10000 + 101, as_of.year * 10000 + 1231
+
+
 def datekey_window(df: DataFrame, date_column: str, years_back: int, as_of: dt.date) -> DataFrame:
     """Whole calendar years: from January first n years back to the end of as_of's year."""
-    year = as_of.year
-    return df.filter(F.col(date_column).between((year - years_back) * 10000 + 101, year * 10000 + 1231))
+    return df.filter(F.col(date_column).between(*datekey_bounds(years_back, as_of)))
+
+
+def bounded(tables: Mapping[str, DataFrame], name: str, column: str, low: int | None, high: int | None) -> DataFrame:
+    """A table of which no row with a key from low to high is missing: the bounds as they reach its source,
+    if the tables know where the key comes from, else the whole table. The key is still to be compared."""
+    return tables.bounded(name, column, low, high) if hasattr(tables, "bounded") else tables[name]
 
 
 def flagged(df: DataFrame, flag: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hoarfrost.model import ForeignKey, TableSpec, WarehouseModel
-from hoarfrost.operators.joins import sized_join
+from hoarfrost.operators.joins import BroadcastBudget, sized_join
 
 NAME_LIMIT = 128
 
@@ -116,13 +116,13 @@ def flatten(
     every = branches(model, leaf, max_columns)
     wanted = set(columns) if columns is not None else None
     joins = every if wanted is None else _needed(every, wanted)
-    out = _with_parents(tables[leaf], 0, tables, joins, wanted)
+    out = _with_parents(tables[leaf], 0, tables, joins, wanted, BroadcastBudget())
     names = [*tables[leaf].columns, *[n for b in every for _, n in b.outputs]]
     return out.select(*[n for n in names if n in out.columns and (wanted is None or n in wanted)])
 
 
 def _with_parents(
-    df: DataFrame, index: int, tables: dict[str, DataFrame], joins: list[Branch], wanted: set[str] | None
+    df: DataFrame, index: int, tables: dict[str, DataFrame], joins: list[Branch], wanted: set[str] | None, budget: BroadcastBudget
 ) -> DataFrame:
     """A table with all its ancestors. Each parent is completed before it is joined, so the
     table meets one frame per parent, and the long chain is joined among the short tables."""
@@ -136,9 +136,9 @@ def _with_parents(
             *[F.col(c).alias(f"__{b.index}_{c}") for c in up],
             *[F.col(c).alias(n) for c, n in b.outputs if wanted is None or n in wanted],
         )
-        complete = _with_parents(parent, b.index, tables, joins, wanted).drop(*[f"__{b.index}_{c}" for c in up])
+        complete = _with_parents(parent, b.index, tables, joins, wanted, budget).drop(*[f"__{b.index}_{c}" for c in up])
         pointer = b.column if index == 0 else f"__{index}_{b.column}"
-        out = sized_join(out, complete, {pointer: "__key"}, "left", size_from=parent, skew_from=df)
+        out = sized_join(out, complete, {pointer: "__key"}, "left", size_from=parent, skew_from=df, budget=budget)
     return out
 
 

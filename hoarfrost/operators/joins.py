@@ -13,6 +13,8 @@ from hoarfrost.model import UNKNOWN_KEY
 # columns may grow to in memory, stays under the limit.
 BROADCAST_LIMIT = 256 * 1024 * 1024
 EXPANSION = 4
+# All sides that one plan broadcasts are in memory together, on the driver and on every executor.
+BROADCAST_BUDGET = 4 * BROADCAST_LIMIT
 # Beyond the limit both sides are shuffled on their key. A key with more rows than this on
 # the left, NULL and the unknown key included, is cut into pieces of about this size.
 HEAVY_ROWS = 5_000_000
@@ -23,8 +25,35 @@ def plan_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    return plan_bytes(df) * EXPANSION <= (BROADCAST_LIMIT if limit is None else limit)
+class BroadcastBudget:
+    """What the broadcasts of one plan may take together. Each side that fits takes its share."""
+
+    def __init__(self, size: int | None = None):
+        self.left = BROADCAST_BUDGET if size is None else size
+
+    def take(self, size: float) -> bool:
+        if size > self.left:
+            return False
+        self.left -= size
+        return True
+
+
+def row_bytes(df: DataFrame) -> int:
+    """The planner's size of a row, from the types of its columns."""
+    return 8 + df._jdf.schema().defaultSize()
+
+
+def broadcast_bytes(df: DataFrame, size_from: DataFrame | None = None) -> float:
+    """What a side may take in memory. With `size_from`, a frame of as many rows, its rows times the
+    width of `df`: the planner's own estimate grows with every join below, and would be far too high."""
+    if size_from is None:
+        return plan_bytes(df) * EXPANSION
+    return plan_bytes(size_from) / row_bytes(size_from) * row_bytes(df) * EXPANSION
+
+
+def fits_broadcast(df: DataFrame, limit: int | None = None, size_from: DataFrame | None = None, budget: BroadcastBudget | None = None) -> bool:
+    size = broadcast_bytes(df, size_from)
+    return size <= (BROADCAST_LIMIT if limit is None else limit) and (budget is None or budget.take(size))
 
 
 def sized_join(
@@ -37,6 +66,7 @@ def sized_join(
     size_from: DataFrame | None = None,
     skew_from: DataFrame | None = None,
     null_safe: bool = False,
+    budget: BroadcastBudget | None = None,
 ) -> DataFrame:
     """Join left rows to a right side that has few rows per key, one as a rule.
 
@@ -46,8 +76,9 @@ def sized_join(
     left keys are unique there is nothing to spread: pass `heavy_rows=None`.
 
     The planner multiplies sizes at each join, so for a right side that was itself joined
-    to its parents, row by row, `size_from` names the table it has the rows of. `skew_from`
-    names a cheaper frame with the left's keys to count them in.
+    to its parents, row by row, `size_from` names the table it has the rows of; the width is that
+    of all its columns. `skew_from` names a cheaper frame with the left's keys to count them in.
+    Joins of one plan share a `budget`: what they broadcast is held together.
     """
     names = {r: f"__right_{i}" for i, r in enumerate(keys.values())}
     picked = right.select(
@@ -56,7 +87,7 @@ def sized_join(
     )
     pairs = [(F.col(k), F.col(names[r])) for k, r in keys.items()]
     on = reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
-    if fits_broadcast(picked if size_from is None else size_from, limit):
+    if fits_broadcast(picked, limit, size_from, budget):
         joined = left.join(F.broadcast(picked), on, how)
     elif heavy_rows is None:
         joined = left.join(picked, on, how)
@@ -93,13 +124,13 @@ def _mark(df: DataFrame, keys: list[str], heavy: DataFrame) -> DataFrame:
 
 def star_join(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Inner join of a fact to each dimension on its surrogate key."""
-    joined = fact
+    joined, budget = fact, BroadcastBudget()
     for fk, (dim, key) in dims.items():
-        joined = sized_join(joined, dim, {fk: key}, skew_from=fact)
+        joined = sized_join(joined, dim, {fk: key}, skew_from=fact, budget=budget)
     return joined
 
 
-def climb(df: DataFrame, levels: list[tuple[str, DataFrame, str]]) -> DataFrame:
+def climb(df: DataFrame, levels: list[tuple[str, DataFrame, str]], budget: BroadcastBudget | None = None) -> DataFrame:
     """Inner chain up one branch: each level is (column pointing up, parent, parent key).
 
     The levels are joined to each other from the top down, so the rows at the bottom, the
@@ -108,16 +139,17 @@ def climb(df: DataFrame, levels: list[tuple[str, DataFrame, str]]) -> DataFrame:
     if not levels:
         return df
     (column, parent, key), above = levels[0], levels[1:]
-    return sized_join(df, climb(parent, above), {column: key}, size_from=parent, skew_from=df)
+    budget = BroadcastBudget() if budget is None else budget
+    return sized_join(df, climb(parent, above, budget), {column: key}, size_from=parent, skew_from=df, budget=budget)
 
 
 def role_join(fact: DataFrame, dim: DataFrame, key: str, roles: dict[str, str], how: str = "inner") -> DataFrame:
     """Join one dimension several times. `roles` maps a role to the fact column it plays;
     the dimension's columns come out prefixed with the role."""
-    joined = fact
+    joined, budget = fact, BroadcastBudget()
     for role, fk in roles.items():
         played = dim.select(F.col(key), *[F.col(c).alias(f"{role}{c}") for c in dim.columns if c != key])
-        joined = sized_join(joined, played, {fk: key}, how, skew_from=fact)
+        joined = sized_join(joined, played, {fk: key}, how, skew_from=fact, budget=budget)
     return joined
 
 
@@ -132,6 +164,7 @@ def resolve_key(
     miss: str | None = None,
     ci_keys: bool = False,
     skew_from: DataFrame | None = None,
+    budget: BroadcastBudget | None = None,
 ) -> DataFrame:
     """Add `out`: the key of the parent with the staged business key, or -1.
 
@@ -144,16 +177,18 @@ def resolve_key(
     parents = dim.select(fold(F.col(business_key)).alias("__bk"), F.col(key).alias("__key"))
     probe = stage.withColumn("__natural", fold(F.col(natural)))
     counted = None if skew_from is None else skew_from.select(fold(F.col(natural)).alias("__natural"))
-    joined = sized_join(probe, parents, {"__natural": "__bk"}, "left", skew_from=counted)
+    joined = sized_join(probe, parents, {"__natural": "__bk"}, "left", skew_from=counted, budget=budget)
     if miss:
         joined = joined.withColumn(miss, F.col(natural).isNotNull() & F.col("__key").isNull())
     return joined.withColumn(out, F.coalesce(F.col("__key"), F.lit(UNKNOWN_KEY))).drop("__key", "__natural")
 
 
-def check_key(stage: DataFrame, dim: DataFrame, fk: str, key: str, skew_from: DataFrame | None = None) -> DataFrame:
+def check_key(
+    stage: DataFrame, dim: DataFrame, fk: str, key: str, skew_from: DataFrame | None = None, budget: BroadcastBudget | None = None
+) -> DataFrame:
     """Keep a staged surrogate key only if the parent has it, else -1."""
     parents = dim.select(F.col(key).alias("__bk"), F.col(key).alias("__key"))
-    joined = sized_join(stage, parents, {fk: "__bk"}, "left", skew_from=skew_from)
+    joined = sized_join(stage, parents, {fk: "__bk"}, "left", skew_from=skew_from, budget=budget)
     return joined.withColumn(fk, F.coalesce(F.col("__key"), F.lit(UNKNOWN_KEY))).drop("__key")
 
 

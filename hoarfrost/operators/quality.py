@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hoarfrost.functions.scalars import count_where, rule_code
 from hoarfrost.model import UNKNOWN_KEY, TableSpec, WarehouseModel
-from hoarfrost.operators.joins import fits_broadcast, orphans, sized_join
+from hoarfrost.operators.joins import BroadcastBudget, broadcast_bytes, fits_broadcast, orphans, sized_join
 from hoarfrost.session import materialise
 
 # Parts of a column name that mark a measure which must not be negative.
@@ -90,10 +90,13 @@ def orphan_checks(
 ) -> DataFrame:
     """Rows per foreign key whose parent is missing.
 
-    Small parents are all looked up in one pass over the table. For a parent too large to
-    broadcast, the table is first reduced to one row per distinct key.
+    Small parents are all looked up in one pass over the table, as many as the plan's budget holds,
+    the smallest first. For the others the table is first reduced to one row per distinct key.
     """
-    small = {fk: p for fk, p in parents.items() if fits_broadcast(p[0].select(p[1]))}
+    budget = BroadcastBudget()
+    sized = sorted(parents.items(), key=lambda p: broadcast_bytes(p[1][0].select(p[1][1])))
+    fitting = {fk for fk, (parent, key) in sized if fits_broadcast(parent.select(key), budget=budget)}
+    small = {fk: p for fk, p in parents.items() if fk in fitting}
     parts = []
     if small:
         probe = df.select(*small)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from hoarfrost.model import Edge, WarehouseModel
 from hoarfrost.operators.aggregates import AGGREGATES, top_n
-from hoarfrost.operators.filters import datekey_window, loaded_only
-from hoarfrost.operators.joins import climb, sized_join
+from hoarfrost.operators.filters import bounded, datekey_bounds, datekey_window, loaded_only
+from hoarfrost.operators.joins import BroadcastBudget, climb, sized_join
 
 
 @dataclass(frozen=True)
@@ -55,31 +55,34 @@ def _grouped(
     measures: list[str],
 ) -> tuple[DataFrame, list[str]]:
     """The fact's loaded rows with every attribute joined on, and the attributes' labels."""
-    df = tables[fact]
     if window:
+        # The window's keys also bound the raw dates they come from, where the tables know those.
+        df = bounded(tables, fact, window.column, *datekey_bounds(window.years_back, window.as_of))
         df = datekey_window(df, window.column, window.years_back, window.as_of)
+    else:
+        df = tables[fact]
     df = loaded_only(df)
     keep = {a.foreign_key for a in attributes} | set(measures) | {"BatchId"}
     df = df.select(*[c for c in df.columns if c in keep])
-    base, labels = df, []
+    base, labels, budget = df, [], BroadcastBudget()
     for a in attributes:
         path = branch_path(model, fact, a.foreign_key, a.parents)
         label = f"{path[-1].parent}_{a.column}"
-        branch = _branch(tables, path, a.column, label)
+        branch = _branch(tables, path, a.column, label, budget)
         first = tables[path[0].parent]
-        df = sized_join(df, branch, {a.foreign_key: "__key"}, size_from=first, skew_from=base)
+        df = sized_join(df, branch, {a.foreign_key: "__key"}, size_from=first, skew_from=base, budget=budget)
         labels.append(label)
     return df, labels
 
 
-def _branch(tables: dict[str, DataFrame], path: list[Edge], column: str, label: str) -> DataFrame:
+def _branch(tables: dict[str, DataFrame], path: list[Edge], column: str, label: str, budget: BroadcastBudget) -> DataFrame:
     """The first dimension of a path with the attribute of the last one beside its key."""
     frames = []
     for level, edge in enumerate(path):
         last = level == len(path) - 1
         value = F.col(column).alias(label) if last else F.col(path[level + 1].column).alias(f"__up{level}")
         frames.append(tables[edge.parent].select(F.col(edge.parent_key).alias("__key"), value))
-    return climb(frames[0], [(f"__up{level}", frame, "__key") for level, frame in enumerate(frames[1:])])
+    return climb(frames[0], [(f"__up{level}", frame, "__key") for level, frame in enumerate(frames[1:])], budget)
 
 
 def _totals(aggs: list[tuple[str, str]]) -> tuple[list[Column], list[str]]:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from hoarfrost.functions.scalars import row_hash
 from hoarfrost.model import OPEN_END, VERSION_COLUMNS, TableSpec, WarehouseModel
 from hoarfrost.operators.filters import batch, changed, project_shared, with_defaults
-from hoarfrost.operators.joins import resolve_key, sized_join
+from hoarfrost.operators.joins import BroadcastBudget, resolve_key, sized_join
 from hoarfrost.operators.keys import assign_keys, highest_key
 from hoarfrost.session import materialise
 
@@ -46,14 +46,14 @@ def latest_per_key(stage: DataFrame, business_key: str) -> DataFrame:
 
 def resolve_parents(model: WarehouseModel, spec: TableSpec, stage: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Turn the staged natural keys of a dimension's parents into foreign keys."""
-    staged = stage
+    staged, budget = stage, BroadcastBudget()
     for fk in spec.foreign_keys:
         parent = model[fk.parent]
         natural = model.natural_column(fk)
         if fk.parent in dims and natural in stage.columns:
             stage = resolve_key(
                 stage, dims[fk.parent], natural, parent.business_key.name, parent.key, fk.column, parent.is_scd2,
-                skew_from=staged,
+                skew_from=staged, budget=budget,
             )
     return stage
 

@@ -17,6 +17,7 @@ from hoarfrost.functions.scalars import (
     shift_name,
     text_or_empty,
     wide_sum,
+    months_before,
 )
 from hoarfrost.operators import filters as flt
 from hoarfrost.operators import joins as jn
@@ -84,7 +85,7 @@ def prj_defaults(spark, folder):
 
 @query("flt_batch", f"SELECT * FROM {LINES} WHERE BatchId = 199906")
 def flt_batch(spark, folder):
-    return flt.batch(trade_warehouse(spark, folder)["OrderLine"], 199906)
+    return flt.batch(flt.bounded(trade_warehouse(spark, folder), "OrderLine", "BatchId", 199906, 199906), 199906)
 
 
 @query("flt_loaded", f"SELECT OrderNumber, BatchId FROM (SELECT OrderNumber, CASE WHEN LineCount > 0 THEN BatchId ELSE 0 END AS BatchId FROM {CYCLES}) WHERE BatchId > 0")
@@ -97,12 +98,14 @@ def flt_loaded(spark, folder):
 
 @query("flt_rolling_months", f"SELECT * FROM {LINES} WHERE ShipDateKey >= 20010201")
 def flt_rolling_months(spark, folder):
-    return flt.rolling_months(trade_warehouse(spark, folder)["OrderLine"], "ShipDateKey", 6, AS_OF)
+    wh = trade_warehouse(spark, folder)
+    return flt.rolling_months(flt.bounded(wh, "OrderLine", "ShipDateKey", int(f"{months_before(AS_OF, 6):%Y%m%d}"), None), "ShipDateKey", 6, AS_OF)
 
 
 @query("flt_datekey_years", f"SELECT * FROM {CYCLES} WHERE OrderDateKey BETWEEN 20000101 AND 20011231")
 def flt_datekey_years(spark, folder):
-    return flt.datekey_window(trade_warehouse(spark, folder)["OrderCycle"], "OrderDateKey", 1, AS_OF)
+    wh = trade_warehouse(spark, folder)
+    return flt.datekey_window(flt.bounded(wh, "OrderCycle", "OrderDateKey", *flt.datekey_bounds(1, AS_OF)), "OrderDateKey", 1, AS_OF)
 
 
 @query("flt_flag", "SELECT o_orderkey AS OrderNumber, o_orderpriority AS OrderPriorityCode FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from hoarfrost.functions.scalars import count_where, decimal_average, ratio, wide_sum
 from hoarfrost.operators.aggregates import sort_by_expression, top_ranked, with_share
 from hoarfrost.operators.filters import RAW_DATE, flagged, rolling_months
-from hoarfrost.operators.joins import climb, sized_join, star_join
+from hoarfrost.operators.joins import BroadcastBudget, climb, sized_join, star_join
 from hoarfrost.plans.warehouse import Warehouse
 
 Report = Callable[[Warehouse, dt.date], DataFrame]
@@ -87,14 +87,16 @@ def quality_mix(wh: Warehouse, as_of: dt.date) -> DataFrame:
     )
     family = product_branch(wh, "ProductSubfamily", "ProductFamily")
     # The product key is counted after the climb, so it is carried beside the join key.
+    budget = BroadcastBudget()
     rows = sized_join(
-        fact.withColumn("__product", F.col("ProductKey")), family, {"ProductKey": "ProductKey"}, size_from=wh["Product"]
+        fact.withColumn("__product", F.col("ProductKey")), family, {"ProductKey": "ProductKey"}, size_from=wh["Product"], budget=budget
     )
     rows = sized_join(
         rows,
         wh["QualityResultStatus"].select("QualityResultStatusKey", "ResultStatusCode", "ResultStatusName"),
         {"QualityResultStatusKey": "QualityResultStatusKey"},
         skew_from=fact,
+        budget=budget,
     )
     rows = sized_join(rows, _calendar(wh), {"InspectionDateKey": "DateKey"}, "left_semi", skew_from=fact)
     grouped = rows.groupBy("ProductFamilyCode", "ProductFamilyName", "ResultStatusCode", "ResultStatusName").agg(
@@ -212,7 +214,7 @@ def variance_line(wh: Warehouse, as_of: dt.date) -> DataFrame:
     line = product_branch(wh, "ProductSubfamily", "ProductFamily", "ProductLine", "ProductDivision")
     rows = sized_join(
         rows.withColumn("__product", F.col("ProductKey")), line, {"ProductKey": "ProductKey"},
-        size_from=wh["Product"], skew_from=fact,
+        size_from=wh["Product"], skew_from=fact, budget=BroadcastBudget(),
     )
     group = [
         "ProductDivisionCode", "ProductDivisionName", "ProductLineCode", "ProductLineName",

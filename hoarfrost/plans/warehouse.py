@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hoarfrost.model import WarehouseModel
+from hoarfrost.model import Origin, WarehouseModel
 from hoarfrost.sources import tables
 
 
@@ -14,10 +14,31 @@ class Warehouse(Mapping):
     """Tables by name. A table may be given as a function, which is called when first asked
     for, so that declaring a warehouse reads nothing."""
 
-    def __init__(self, spark: SparkSession, model: WarehouseModel, given: dict[str, DataFrame | Callable[[], DataFrame]]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        model: WarehouseModel,
+        given: dict[str, DataFrame | Callable[[], DataFrame]],
+        origins: dict[tuple[str, str], Origin] | None = None,
+        reopened: Callable[[dict[str, Callable[[DataFrame], DataFrame]]], Warehouse] | None = None,
+    ):
+        """`origins` names, by table and column, the raw dates that keys are computed from, and `reopened`
+        gives the same warehouse over sources that are narrowed first."""
         self.spark = spark
         self.model = model
         self._tables = dict(given)
+        self._origins, self._reopened = origins or {}, reopened
+
+    def bounded(self, name: str, column: str, low: int | None, high: int | None) -> DataFrame:
+        """A table without source rows whose key cannot lie from low to high (None: without bound).
+
+        The bounds become bounds on the raw date, before anything is computed from it, so they reach the
+        Parquet scan. A column without a known origin gives the whole table.
+        """
+        origin = self._origins.get((name, column))
+        if origin is None or self._reopened is None:
+            return self[name]
+        return self._reopened({origin.source: lambda source: source.filter(origin.condition(source, low, high))})[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         table = self._tables[name]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from hoarfrost.functions.scalars import date_key, days_between, seconds_of_day, shift_name
 from hoarfrost.model import Column as C
 from hoarfrost.model import ForeignKey as FK
-from hoarfrost.model import TableSpec, WarehouseModel
+from hoarfrost.model import Origin, TableSpec, WarehouseModel
 from hoarfrost.operators.filters import RAW_DATE
 from hoarfrost.operators.generate import date_dimension, time_dimension
 from hoarfrost.operators.joins import sized_join
@@ -119,9 +119,14 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(TABLES[table]).parquet(f"{folder}/{table}.parquet")
 
 
-def opened(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:
-    """The trade tables, each opened when first used."""
-    return {name: cache(lambda name=name: read(spark, folder, name)) for name in TABLES}
+#: What is done to source tables before anything is computed from them.
+Narrow = dict[str, Callable[[DataFrame], DataFrame]]
+
+
+def opened(spark: SparkSession, folder: str, only: Narrow | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """The trade tables, each opened when first used, some of them narrowed."""
+    narrow = only or {}
+    return {name: cache(lambda name=name: narrow.get(name, lambda df: df)(read(spark, folder, name))) for name in TABLES}
 
 
 def money(c: str) -> Column:
@@ -148,8 +153,24 @@ def code_key(c: Column, codes: tuple[str, ...]) -> Column:
     return key.cast("int")
 
 
-def trade_warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    t = opened(spark, folder)
+#: Keys of the trade tables that are computed from a date of the table whose rows they are keys of.
+ORIGINS = {
+    ("OrderLine", "ShipDateKey"): Origin("lineitem", "l_shipdate"),
+    ("OrderLine", "BatchId"): Origin("lineitem", "l_shipdate", "month"),
+    ("OrderCycle", "OrderDateKey"): Origin("orders", "o_orderdate"),
+    ("OrderCycle", "BatchId"): Origin("orders", "o_orderdate", "month"),
+    ("CustomerEvent", "EventDateKey"): Origin("events", "ts"),
+    ("CustomerEvent", "BatchId"): Origin("events", "ts", "month"),
+}
+
+
+def trade_warehouse(spark: SparkSession, folder: str, only: Narrow | None = None) -> Warehouse:
+    t = opened(spark, folder, only)
+
+    def shipped() -> DataFrame:
+        """Lines of the orders that are wanted, before they are put together by order."""
+        lines, wanted = t["lineitem"](), t["orders"]().select(F.col("o_orderkey").alias("__wanted"))
+        return lines.join(wanted, F.col("l_orderkey") == F.col("__wanted"), "left_semi") if only and "orders" in only else lines
 
     def part() -> DataFrame:
         return t["part"]().select(
@@ -185,7 +206,7 @@ def trade_warehouse(spark: SparkSession, folder: str) -> Warehouse:
         return sized_join(lines, orders, {"OrderNumber": "o_orderkey"}, "left")
 
     def order_cycle() -> DataFrame:
-        ships = t["lineitem"]().groupBy("l_orderkey").agg(
+        ships = shipped().groupBy("l_orderkey").agg(
             F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"), F.count("*").alias("n")
         )
         orders = t["orders"]()
@@ -249,6 +270,8 @@ def trade_warehouse(spark: SparkSession, folder: str) -> Warehouse:
                 money("value").alias("EventAmount"), ship_month("ts").alias("BatchId"),
             ),
         },
+        ORIGINS,
+        lambda narrow: trade_warehouse(spark, folder, narrow),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from hoarfrost.operators import aggregates, filters
+from hoarfrost.model import Origin
 from hoarfrost.operators import joins as jn
 from hoarfrost.plans import catalog, reports
 from hoarfrost.sources.trade import AS_OF, MODEL, manufacturing_warehouse, trade_warehouse
@@ -39,6 +40,64 @@ def test_windows_reach_the_raw_scan(spark):
         assert f"GreaterThanOrEqual({column}" in scan
 
 
+def pushed(df, column):
+    return [x for x in plan(df).splitlines() if "FileScan" in x and f"GreaterThanOrEqual({column}" in x and f"LessThan({column}" in x]
+
+
+def test_key_bounds_reach_the_raw_date_of_the_scan(spark):
+    for name, column in (("flt_batch", "l_shipdate"), ("flt_datekey_years", "o_orderdate"), ("ah_rollup", "l_shipdate")):
+        assert pushed(entry.queries()[name](spark, FOLDER), column), name
+    text = plan(entry.queries()["flt_rolling_months"](spark, FOLDER))
+    assert any("FileScan" in x and "GreaterThanOrEqual(l_shipdate" in x for x in text.splitlines())
+    # Lines of other years' orders are not put together.
+    assert "LeftSemi" in plan(entry.queries()["flt_datekey_years"](spark, FOLDER))
+
+
+@pytest.mark.parametrize(("key", "grain", "first"), [
+    (19990601, "day", "1999-06-01"), (19990631, "day", "1999-07-01"), (19991232, "day", "2000-01-01"), (19991301, "day", "2000-01-01"), (20000000, "day", "2000-01-01"),
+    (20000229, "day", "2000-02-29"), (20010229, "day", "2001-03-01"), (199906, "month", "1999-06-01"), (199913, "month", "2000-01-01"), (199900, "month", "1999-01-01"),
+])
+def test_first_day_of_a_key(key, grain, first):
+    assert Origin("t", "d", grain).first_day(key) == dt.date.fromisoformat(first)
+
+
+def test_bounded_tables_lose_no_row(spark):
+    wh = trade_warehouse(spark, FOLDER)
+    for name, column, low, high in (("OrderLine", "ShipDateKey", 19960315, 19970299), ("OrderLine", "BatchId", 199603, 199612), ("OrderCycle", "OrderDateKey", None, 19960229), ("CustomerEvent", "EventDateKey", 20240103, None)):
+        between = F.lit(True) if low is None else F.col(column) >= low
+        between = between if high is None else between & (F.col(column) <= high)
+        small, whole = wh.bounded(name, column, low, high), wh[name]
+        assert sorted(map(str, small.filter(between).collect())) == sorted(map(str, whole.filter(between).collect()))
+        assert 0 < small.count() < whole.count()
+    assert wh.bounded("OrderLine", "PartKey", 1, 2) is wh["OrderLine"]
+
+
+def wide(spark, n, columns, key):
+    return spark.range(n).select(F.col("id").alias(key), *[F.lit("x").alias(f"{key}{i}") for i in range(columns)])
+
+
+def test_a_wide_ancestor_is_not_broadcast_for_its_narrow_child(spark, monkeypatch):
+    """A small child with a wide ancestor: what is broadcast is as wide as both."""
+    fact = spark.range(50).select((F.col("id") % 5).alias("child"))
+    child = wide(spark, 100_000, 0, "c").withColumn("up", F.col("c") % 10)
+    for columns, how in ((1, True), (80, False)):
+        levels = [("child", child, "c"), ("up", wide(spark, 10, columns, "p"), "p")]
+        monkeypatch.setattr(jn, "BROADCAST_LIMIT", 40_000_000)
+        # Aggregated, so that no broadcast is the planner's own choice.
+        text = jn.climb(fact, levels)._jdf.queryExecution().analyzed().toString()
+        assert (text.count("strategy=broadcast") == 2) is how, columns
+
+
+def test_a_fact_with_fifty_parents_keeps_to_its_budget(spark, monkeypatch):
+    monkeypatch.setattr(jn, "BROADCAST_BUDGET", 10 * jn.EXPANSION * 8 * 1000)  # ten parents of 1,000 keys
+    fact = spark.range(100).select(*[(F.col("id") % 10).alias(f"k{i}") for i in range(50)])
+    dims = {f"k{i}": (spark.range(1000).select(F.col("id").alias(f"d{i}")), f"d{i}") for i in range(50)}
+    joined = jn.star_join(fact, dims)
+    hinted = joined._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
+    # Ten parents, and the (empty) lists of heavy keys of the others, two each.
+    assert hinted == 10 + 2 * 40
+
+
 def test_batch_filter_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "fact")
     spark.range(10).selectExpr("id", "id % 3 AS BatchId").write.partitionBy("BatchId").parquet(path)
