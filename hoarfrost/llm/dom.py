@@ -30,7 +30,10 @@ CLOSES_P = frozenset(
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# Elements that stand in a line without ending it, their content aside: replaced ones, and ones never shown.
+IN_LINE = INLINE | frozenset("audio button canvas embed iframe img input map meter noscript object output picture progress script select style svg template textarea video".split())
+# In a tag a quote opens a value only right after an equals sign. A tag that the page's end cuts off has no last group.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)(>|\Z)""", re.S)
 # What ends an element whose content is no markup: its own closing tag, whatever stands before it.
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I) for tag in RAW}
 NAMES = re.compile(r"""\b(class|id|role|data-main|data-rest|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
@@ -55,33 +58,69 @@ class Tree:
     texts: list[tuple[int, str | None]] = field(default_factory=list)
 
 
+class Stack:
+    """The open elements, from the page down, with how many of each tag there are."""
+
+    def __init__(self, tree: Tree):
+        self.tree, self.elements, self.count = tree, [0], {}
+
+    def push(self, element: int) -> None:
+        tag = self.tree.tags[element]
+        self.elements.append(element)
+        self.count[tag] = self.count.get(tag, 0) + 1
+
+    def cut(self, depth: int) -> None:
+        """Close all elements from a depth on."""
+        for element in self.elements[depth:]:
+            self.count[self.tree.tags[element]] -= 1
+        del self.elements[depth:]
+
+    def top(self) -> str:
+        return self.tree.tags[self.elements[-1]]
+
+    def depth_of(self, tags: set[str] | frozenset[str], stops: set[str] | frozenset[str] = frozenset()) -> int:
+        """The depth of the innermost open element with one of the tags, 0 if there is none before a stop.
+        What is passed on the way is closed with it, so a page's elements are passed about once."""
+        if any(self.count.get(tag) for tag in tags):
+            for depth in range(len(self.elements) - 1, 0, -1):
+                tag = self.tree.tags[self.elements[depth]]
+                if tag in stops:
+                    break
+                if tag in tags:
+                    return depth
+        return 0
+
+
 def parse(page: str) -> Tree:
-    """Elements and texts of a page as it is written: unclosed and wrongly nested tags are put up with."""
-    tree, open_, at = Tree(), [0], 0
+    """Elements and texts of a page as it is written: unclosed and wrongly nested tags are put up with.
+
+    A tag that the end of the page cuts off is no text, as in a browser. Each character is looked at a
+    bounded number of times, whatever is left open.
+    """
+    tree, at = Tree(), 0
+    open_ = Stack(tree)
     while m := TOKEN.search(page, at):
         if m.start() > at:
-            tree.texts.append((open_[-1], html.unescape(page[at : m.start()])))
+            tree.texts.append((open_.elements[-1], html.unescape(page[at : m.start()])))
         at = m.end()
         if not m[2]:
             continue
+        if not m[4]:
+            return tree
         tag = m[2].lower()
-        if tag not in INLINE:
-            tree.texts.append((open_[-1], None))
+        if tag not in IN_LINE:
+            tree.texts.append((open_.elements[-1], None))
         if m[1]:
-            depth = next((i for i in range(len(open_) - 1, 0, -1) if tree.tags[open_[i]] == tag), 0)
-            if depth:
-                del open_[depth:]
+            if depth := open_.depth_of({tag}):
+                open_.cut(depth)
             continue
-        if tag in CLOSES_P and any(tree.tags[i] == "p" for i in open_):
-            while tree.tags[open_[-1]] in INLINE or tree.tags[open_[-1]] == "p":
-                if tree.tags[open_.pop()] == "p":
+        if tag in CLOSES_P and open_.count.get("p"):
+            while (top := open_.top()) in INLINE or top == "p":
+                open_.cut(len(open_.elements) - 1)
+                if top == "p":
                     break
-        for i in range(len(open_) - 1, 0, -1) if tag in CLOSES else ():
-            if tree.tags[open_[i]] in STOPS[tag]:
-                break
-            if tree.tags[open_[i]] in CLOSES[tag]:
-                del open_[i:]
-                break
+        if tag in CLOSES and (depth := open_.depth_of(CLOSES[tag], STOPS[tag])):
+            open_.cut(depth)
         found, mark = [], 0
         for a in NAMES.finditer(m[3] or ""):
             what, value = a[1].lower(), a[2] or a[3] or a[4] or ""
@@ -92,17 +131,18 @@ def parse(page: str) -> Tree:
             else:
                 found += WORD.findall(value.lower())
         tree.tags.append(tag)
-        tree.parents.append(open_[-1])
+        tree.parents.append(open_.elements[-1])
         tree.names.append(tuple(dict.fromkeys(found)))
         tree.marks.append(mark)
         if tag in RAW and not (m[3] or "").endswith("/"):
             end = RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
-            tree.texts.append((open_[-1], None))
+            if tag not in IN_LINE:
+                tree.texts.append((open_.elements[-1], None))
         elif tag not in VOID and not (m[3] or "").endswith("/"):
-            open_.append(len(tree.tags) - 1)
+            open_.push(len(tree.tags) - 1)
     if at < len(page):
-        tree.texts.append((open_[-1], html.unescape(page[at:])))
+        tree.texts.append((open_.elements[-1], html.unescape(page[at:])))
     return tree
 
 

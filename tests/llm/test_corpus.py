@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -394,6 +395,31 @@ def test_raw_elements_end_at_their_closing_tag(raw):
     assert [t for _, t in dom.parse("<p>a</p><script>i<n</script").texts if t] == ["a"]
 
 
+def texts_of(page):
+    return [t for _, t in dom.parse(page).texts if t]
+
+
+def test_quotes_open_values_only_after_an_equals_sign():
+    assert texts_of("<p title=it's>First one.</p><p>Second.</p>") == ["First one.", "Second."]
+    assert texts_of("<p title = 'a > b' x=\"it's\" it's \" >One</p><p y=>Two</p><a href=/x?a=b>Three</a>") == ["One", "Two", "Three"]
+    assert texts_of('<p class="open>One</p><p>Two</p>') == ["One", "Two"]  # a value that never ends
+    assert texts_of("One <a href='x' title=\"y") == ["One "]
+
+
+def test_elements_in_a_line_end_no_block():
+    for mark in ("<img src=x>", "<input>", "<wbr>", "<svg><path d='M0'/></svg>", "<script>var a = 1 < 2;</script>", "<button></button>"):
+        page = dom.parse(f"<p>wo{mark}rd</p><p>next</p>")
+        assert "".join(t if t is not None else "|" for _, t in page.texts).strip("|").replace("||", "|") == "word|next"
+    assert "".join(t if t is not None else "|" for _, t in dom.parse("a<br>b").texts) == "a|b"
+
+
+def test_broken_pages_take_linear_time():
+    for page in ("<a " * 350_000, "<a b='" * 170_000, '<a "' * 250_000 + 'x="', "<div>" * 60_000 + "</p>" * 60_000, "<p><b>" * 60_000, "<ul><li>" * 40_000 + "<td>" * 40_000, "<!--" * 250_000, "<script>" * 100_000):
+        start = time.perf_counter()
+        dom.parse(page)
+        assert time.perf_counter() - start < 6
+
+
 def test_pipeline_takes_every_decision(spark):
     docs, kept = spark.read.parquet(f"{FOLDER}/documents.parquet"), []
     for _, stage in corpus_pipeline.STAGES[:-1]:
