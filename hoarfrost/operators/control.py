@@ -32,6 +32,13 @@ CONTROL_TABLES = {
     "RowsLoadedCount bigint, IngestStatusCode string",
     "LoadAudit": "BatchId bigint, SchemaName string, TableName string, SourceRowCount bigint, InsertedRowCount bigint, "
     "UpdatedRowCount bigint, MatchedRowCount bigint, RejectedRowCount bigint",
+    "LoadIncrement": "BatchId bigint, SchemaName string, TableName string, WatermarkColumnName string, LowValue string, "
+    "HighValue string",
+    "LoadConfig": "SchemaName string, TableName string, IsEnabled boolean",
+    "TableCatalog": "SchemaName string, TableName string, TableKind string, VersionCount bigint, FileCount bigint, "
+    "SizeBytes bigint, IsEnabled boolean",
+    "ColumnStatistic": "TableName string, ColumnName string, TotalRowCount bigint, NullRowCount bigint, DistinctCount bigint, "
+    "LowValue string, HighValue string",
     "KeyRange": "BatchId bigint, TableName string, BaseKey bigint, KeyCount bigint",
     "BatchLoad": "BatchId bigint, LoadToken string, BuiltOnToken string, LoadedAtUtc timestamp_ntz",
     "QueryTiming": "BatchId bigint, name string, row_count bigint, milliseconds double, status string, "
@@ -163,6 +170,58 @@ def above_watermark(df: DataFrame, column: str, mark: Column) -> DataFrame:
     return df.filter(mark.isNull() | (F.col(column) > mark))
 
 
+def load_increment(
+    spark: SparkSession, root: str, source: DataFrame, table: str, column: str, batch_id: int, load: Callable[[DataFrame], object],
+    system: str = "LOADER", schema: str = "stg",
+) -> tuple[str | None, str | None]:
+    """Load the source rows above the table's watermark as one batch, and move the mark when that is done.
+
+    The batch's bounds are written down before anything is read for it: above the mark, up to the highest
+    value there is. They bound the source's scan. A load that stops half-way is made again with the
+    same bounds, whatever arrived meanwhile, so `load` meets the same rows and has only to replace what
+    the batch had written. The mark moves after `load` has returned. Rows that arrive later with a value
+    at or below a mark are not seen: the column must grow. NULL is above no mark.
+
+    Returns the bounds (exclusive, inclusive); without new rows nothing is loaded and the bounds are equal.
+    A batch whose mark is already moved is loaded again with its bounds, and the mark stays.
+    """
+    kind = source.schema[column].dataType
+    value = lambda text: F.lit(text).cast(kind)
+    own = (F.col("SchemaName") == schema) & (F.col("TableName") == table)
+    told = lambda name: [r for r in read_control(spark, root, name).filter(own).collect()] if files.exists(spark, f"{root}/{name}") else []
+    noted = {r.BatchId: r for r in told("LoadIncrement")}  # a row a batch
+    marks = {r.BatchId: r.WatermarkValue for r in told("LoadWatermark")}
+    open_ = sorted(b for b in noted if b not in marks and b != batch_id)
+    if open_:
+        raise ValueError(f"batch {open_[0]} of {table} has not been loaded to its end: load it again first")
+    if batch_id in noted:
+        low, high = noted[batch_id].LowValue, noted[batch_id].HighValue
+    else:
+        if marks and batch_id < max(marks):
+            raise ValueError(f"batch {max(marks)} of {table} is loaded: batch {batch_id} would come before it")
+        low = marks[max(marks)] if marks else None
+        fresh = source if low is None else source.filter(F.col(column) > value(low))
+        high = fresh.agg(F.max(column).cast("string")).first()[0]
+        if high is None:
+            return low, low
+        row = [(batch_id, schema, table, column, low, high)]
+        replace_control(spark, root, "LoadIncrement", spark.createDataFrame(row, CONTROL_TABLES["LoadIncrement"]), f"{schema}-{table}-{batch_id}")
+    bounds = F.col(column) <= value(high)
+    load(source.filter(bounds if low is None else (F.col(column) > value(low)) & bounds))
+    row = [(batch_id, system, schema, table, column, high)]
+    replace_control(spark, root, "LoadWatermark", spark.createDataFrame(row, CONTROL_TABLES["LoadWatermark"]), f"{schema}-{table}-{batch_id}")
+    return low, high
+
+
+def disabled_tables(spark: SparkSession, root: str) -> set[str]:
+    """Tables that the load settings switch off. A table without a setting is on."""
+    if not files.exists(spark, f"{root}/LoadConfig"):
+        return set()
+    settings = read_control(spark, root, "LoadConfig")
+    off = settings.join(load_config(settings), ["SchemaName", "TableName"], "left_anti")
+    return {r.TableName for r in off.select("TableName").distinct().collect()}  # at most the tables of the model
+
+
 def purge(df: DataFrame, table: str, now: Column, days: int = RETENTION_DAYS) -> DataFrame:
     """What remains of a control table once rows older than the retention time are gone."""
     at = F.col(AGE_COLUMN[table])

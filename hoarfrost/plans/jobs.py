@@ -23,8 +23,10 @@ from hoarfrost.operators.control import (
     base_of,
     batch_loads,
     batch_run,
+    disabled_tables,
     expired_files,
     key_ranges,
+    load_increment,
     read_control,
     record_step,
     replace_control,
@@ -32,6 +34,7 @@ from hoarfrost.operators.control import (
 )
 from hoarfrost.operators.facts import load_bridge, load_fact, lookup_misses, lookup_plan
 from hoarfrost.operators.joins import sized_join
+from hoarfrost.operators.keys import numbered
 from hoarfrost.operators.scd import Merge, change_log, load_audit, merge_dimensions
 from hoarfrost.session import materialise
 from hoarfrost.sources import files, landing, tables
@@ -63,7 +66,8 @@ def load_batch(
 ) -> dict[str, int]:
     """Stage what has landed, merge dimensions, load facts and bridges, and record it all.
 
-    Returns the rows loaded per fact. Control tables live below `<root>/control`.
+    Returns the rows loaded per fact. Control tables live below `<root>/control`. Tables that the load
+    settings there switch off are left out, as are those not in `enabled` if that is given.
 
     A load stands on the load of the batch before it, and says so. When a batch is loaded again, or comes
     late, the batches after it stand on something that is no more: they are loaded again too, in order,
@@ -106,9 +110,9 @@ def _load_one(
         if batch_id in batch_loads(spark, control):
             # From here on the batches after this one count as built on something else.
             _note_load(spark, control, batch_id, token, moment)
-        stages = {}
+        stages, off = {}, disabled_tables(spark, control)
         for name in landing.landed_tables(spark, landing_root, batch_id, model):
-            if enabled is None or name in enabled:
+            if name not in off and (enabled is None or name in enabled):
                 staged = landing.read_landing(spark, landing_root, batch_id, name, model.staging_schema(name))
                 tables.stage(staged, f"{root}/stage/{name}")
                 stages[name] = spark.read.schema(staged.schema).parquet(f"{root}/stage/{name}")
@@ -228,8 +232,62 @@ def check_quality(spark: SparkSession, model: WarehouseModel, root: str, batch_i
     return checked
 
 
-def keep_house(spark: SparkSession, landing_root: str, root: str, now: dt.datetime, days: int = RETENTION_DAYS) -> dict[str, int]:
-    """Drop what is past its retention: landing folders, control rows, old versions."""
+def land_increment(
+    spark: SparkSession, model: WarehouseModel, source: DataFrame, table: str, column: str, landing_root: str, root: str, batch_id: int
+) -> tuple[str | None, str | None]:
+    """Land a source's rows above the table's watermark as a batch's file, for `load_batch` to pick up.
+
+    `source` has the table's staging columns but for batch and row number, and `column`, by which it grows.
+    """
+    names = [c.name for c in model.staging_columns(table)]
+
+    def land(rows: DataFrame) -> None:
+        kept = [c for c in rows.columns if c in names]
+        # Numbered over the increment as it was written once: a rerun writes it again from the same bounds.
+        numbered_rows = numbered(materialise(rows, f"increment-{table}"), [column, *[c for c in kept if c != column]], "RowNumber")
+        out = numbered_rows.withColumn("BatchId", F.lit(batch_id).cast("bigint"))
+        missing = [F.lit(None).cast(c.spark_type).alias(c.name) for c in model.staging_columns(table) if c.name not in out.columns]
+        tables.write_extract(out.select("*", *missing).select(*names), landing.landing_path(landing_root, batch_id, table))
+
+    return load_increment(spark, f"{root}/control", source, table, column, batch_id, land)
+
+
+def save_catalog(spark: SparkSession, model: WarehouseModel, root: str) -> DataFrame:
+    """The table list as rows: kind, versions or batches, files and bytes of each, and whether loads take it."""
+    off, lines = disabled_tables(spark, f"{root}/control"), []
+    for spec in model.of_kind("ref", "dim", "bridge", "fact"):
+        path = f"{root}/{spec.name}"
+        there = files.exists(spark, path)
+        parts = [n for n, is_folder, _, _ in files.children(spark, path) if is_folder and n.startswith(("v=", "BatchId="))]
+        count, size = files.total(spark, path) if there else (0, 0)
+        lines.append((spec.schema, spec.name, spec.kind, len(parts), count, size, spec.name not in off))
+    made = spark.createDataFrame(lines, CONTROL_TABLES["TableCatalog"])
+    replace_control(spark, f"{root}/control", "TableCatalog", made, "tables")
+    return made
+
+
+def cluster_facts(spark: SparkSession, model: WarehouseModel, root: str, target_bytes: int = tables.TARGET_FILE_BYTES) -> dict[str, list[int]]:
+    """Cluster the batches of every fact by its main date, and note the statistics of facts that changed."""
+    done = {}
+    for spec in model.of_kind("fact"):
+        path = f"{root}/{spec.name}"
+        if not files.exists(spark, path):
+            continue
+        main_date = f"{spec.date_roles[0]}DateKey" if spec.date_roles else None
+        done[spec.name] = tables.compact_batches(spark, path, spec.schema_type(), main_date, target_bytes)
+        if done[spec.name]:
+            fact = spark.read.schema(spec.schema_type()).parquet(path)
+            columns = [fk.column for fk in spec.references]
+            stats = tables.column_statistics(fact, columns).withColumn("TableName", F.lit(spec.name))
+            replace_control(spark, f"{root}/control", "ColumnStatistic", stats, spec.name)
+    return done
+
+
+def keep_house(
+    spark: SparkSession, landing_root: str, root: str, now: dt.datetime, days: int = RETENTION_DAYS, model: WarehouseModel | None = None
+) -> dict[str, int]:
+    """Drop what is past its retention: landing folders, control rows, old versions. With the model, also
+    cluster the facts' files and write the table list and statistics anew."""
     control = f"{root}/control"
     cutoff = now - dt.timedelta(days=days)
     done = {"landing": landing.purge_landing(spark, landing_root, int(cutoff.replace(tzinfo=dt.timezone.utc).timestamp() * 1000))}
@@ -243,4 +301,7 @@ def keep_house(spark: SparkSession, landing_root: str, root: str, now: dt.dateti
     for name, is_folder, _, _ in files.children(spark, root):
         if is_folder and tables.versions(spark, f"{root}/{name}"):
             done[name] = len(tables.drop_old_versions(spark, f"{root}/{name}"))
+    if model:
+        done |= {name: len(batches) for name, batches in cluster_facts(spark, model, root).items()}
+        save_catalog(spark, model, root)
     return done

@@ -5,13 +5,13 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoarfrost.model import Column
 from hoarfrost.operators import quality as dq
 from hoarfrost.operators.aggregates import row_counts
-from hoarfrost.operators.control import above_watermark, append_control, latest_watermarks, purge, read_control, upsert_watermarks
+from hoarfrost.operators.control import above_watermark, append_control, latest_watermarks, load_increment, purge, read_control, upsert_watermarks
 from hoarfrost.operators.flatten import flatten, flatten_all
 from hoarfrost.operators.keys import with_unknown
 from hoarfrost.operators.rollup import Attribute, DateWindow, distinct_profile, rollup, top_by_measure
@@ -366,6 +366,50 @@ def ct_watermark(spark, folder):
     return upsert_watermarks(first, _marks(events, 2)).withColumn("NewRowCount", arrived)
 
 
+@query("ct_increment", """SELECT event_id, user_id, CAST(CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 1 ELSE 2 END AS BIGINT) AS BatchId FROM events""")
+def ct_increment(spark, folder):
+    """Events as two increments over their time; the second one stops once after it has loaded."""
+    control, path = scratch(spark, "control"), scratch(spark, "events")
+    events = read(spark, folder, "events").select("event_id", "user_id", "ts")
+    early = events.filter(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"))
+
+    def load(batch_id):
+        return lambda rows: tables.replace_batch(rows, path, batch_id)
+
+    def stop(rows):
+        load(2)(rows)
+        raise InterruptedError
+
+    load_increment(spark, control, early, "CustomerEvent", "ts", 1, load(1))
+    try:
+        load_increment(spark, control, events, "CustomerEvent", "ts", 2, stop)
+    except InterruptedError:
+        load_increment(spark, control, events, "CustomerEvent", "ts", 2, load(2))
+    return spark.read.parquet(path).select("event_id", "user_id", F.col("BatchId").cast("bigint"))
+
+
+@query("ct_cluster", f"""SELECT CAST(year(l_shipdate) AS BIGINT) AS BatchId, count(*) AS n, {total(dec('l_extendedprice'))} AS amount,
+    true AS sorted FROM lineitem GROUP BY 1""")
+def ct_cluster(spark, folder):
+    """Lines stored by year in many files, then clustered in place by their day."""
+    path = scratch(spark, "fact")
+    lines = read(spark, folder, "lineitem").select(
+        F.year("l_shipdate").cast("bigint").alias("BatchId"), F.col("l_shipdate").alias("ShipDay"), money("l_extendedprice").alias("amount")
+    )
+    lines.repartition(16, "amount").write.partitionBy("BatchId").parquet(path)
+    tables.compact_batches(spark, path, lines.schema, "ShipDay")
+    stored = spark.read.schema(lines.schema).parquet(path).withColumn("__file", F.col("_metadata.file_path"))
+    by_file = stored.groupBy("BatchId", "__file").agg(
+        F.count("*").alias("n"), F.sum("amount").alias("amount"), F.min("ShipDay").alias("low"), F.max("ShipDay").alias("high")
+    )
+    # Files of a batch follow each other in time.
+    after = Window.partitionBy("BatchId").orderBy("low")
+    apart = F.coalesce(F.lag("high").over(after) <= F.col("low"), F.lit(True))
+    return by_file.withColumn("apart", apart).groupBy("BatchId").agg(
+        F.sum("n").alias("n"), F.sum("amount").cast("decimal(28,4)").alias("amount"), F.min("apart").alias("sorted")
+    )
+
+
 @query("ct_retention", "SELECT event_type AS DimensionName, count(*) AS kept, min(ts) AS oldest FROM events WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 14 DAY GROUP BY 1")
 def ct_retention(spark, folder):
     root = scratch(spark, "control")

@@ -13,9 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from hoarfrost.functions.scalars import count_where, decimal_average, ratio, wide_sum
+from hoarfrost.functions.scalars import count_where, decimal_average, months_before, ratio, wide_sum
 from hoarfrost.operators.aggregates import sort_by_expression, top_ranked, with_share
-from hoarfrost.operators.filters import RAW_DATE, flagged, rolling_months
+from hoarfrost.operators.filters import RAW_DATE, bounded, flagged, rolling_months
 from hoarfrost.operators.joins import BroadcastBudget, climb, sized_join, star_join
 from hoarfrost.plans.warehouse import Warehouse
 
@@ -35,7 +35,7 @@ def report(name: str) -> Callable[[Report], Report]:
 
 def _window(wh: Warehouse, fact: str, date_column: str, months: int, as_of: dt.date, *columns: str) -> DataFrame:
     """The fact's rows of the last months, read down to the columns the report uses."""
-    df = wh[fact]
+    df = bounded(wh, fact, date_column, int(f"{months_before(as_of, months):%Y%m%d}"), None)
     keep = [date_column, f"{date_column}{RAW_DATE}", *columns]
     return rolling_months(df.select(*[c for c in keep if c in df.columns]), date_column, months, as_of)
 

@@ -30,6 +30,13 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength()
 
 
+def total(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Files and bytes below a path."""
+    fs, p = _fs(spark, path)
+    summary = fs.getContentSummary(p)
+    return summary.getFileCount(), summary.getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

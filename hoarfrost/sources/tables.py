@@ -185,30 +185,63 @@ def compact(spark: SparkSession, source: str, target: str, target_bytes: int = T
     return wanted
 
 
+def overlapping(ranges: list[tuple[object, object]]) -> int:
+    """How many of the ranges (low, high) begin before an earlier one has ended."""
+    found, end = 0, None
+    for low, high in sorted(ranges):
+        found += end is not None and low <= end
+        end = high if end is None else max(end, high)
+    return found
+
+
 def compact_batches(
     spark: SparkSession, path: str, schema: T.StructType, sort_by: str | None = None, target_bytes: int = TARGET_FILE_BYTES
 ) -> list[int]:
-    """Merge the small files of a fact stored by batch, in place; returns the batches rewritten.
+    """Cluster the files of a fact stored by batch, in place; returns the batches rewritten.
 
-    Only batches with more than twice the files that their size asks for are touched, each by
-    a replacement of its own partition from a copy written first, so a failure leaves the
-    other batches alone and the copy whole.
+    Touched are batches with more than twice the files that their size asks for, and, if `sort_by` is
+    named, those in which half the files or more overlap another in that column, so that a filter on it cannot skip
+    them. Such a batch is dealt to files by range, and sorted in each. It is replaced as one partition
+    from a copy written first, so a failure leaves the other batches alone and the copy whole.
     """
-    done = []
+    sizes: dict[int, list[int]] = {}
     for name, is_folder, _, _ in files.children(spark, path):
-        if not is_folder or not name.startswith("BatchId="):
-            continue
-        parts = [size for part, _, _, size in files.children(spark, f"{path}/{name}") if part.endswith(".parquet")]
-        wanted, batch_id = max(1, ceil(sum(parts) / target_bytes)), int(name.partition("=")[2])
-        if len(parts) <= 2 * wanted:
+        if is_folder and name.startswith("BatchId="):
+            parts = [size for part, _, _, size in files.children(spark, f"{path}/{name}") if part.endswith(".parquet")]
+            sizes[int(name.partition("=")[2])] = parts
+    several = [b for b, parts in sizes.items() if len(parts) > 1]
+    spans: dict[int, list[tuple[object, object]]] = {}
+    if sort_by and several:
+        # One column of the batches that have several files; a row a file comes back.
+        kept = spark.read.schema(schema).parquet(path).filter(F.col("BatchId").isin(several))
+        by_file = kept.groupBy("BatchId", F.col("_metadata.file_path").alias("f")).agg(F.min(sort_by).alias("low"), F.max(sort_by).alias("high"))
+        for r in by_file.filter("low IS NOT NULL").collect():
+            spans.setdefault(r.BatchId, []).append((r.low, r.high))
+    done = []
+    for batch_id, parts in sorted(sizes.items()):
+        wanted = max(1, ceil(sum(parts) / target_bytes))
+        if len(parts) <= 1 or len(parts) <= 2 * wanted and 2 * overlapping(spans.get(batch_id, [])) < len(parts):
             continue
         batch = spark.read.schema(schema).parquet(path).filter(F.col("BatchId") == batch_id)
         copy = materialise(batch, f"compact-{batch_id}")
-        replace_batch(copy.coalesce(wanted), path, batch_id, sort_by)
+        dealt = copy.repartitionByRange(wanted, sort_by) if sort_by and wanted > 1 else copy.coalesce(wanted)
+        replace_batch(dealt, path, batch_id, sort_by)
         done.append(batch_id)
     return done
 
 
+def column_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows, NULLs, about how many values, lowest and highest of each column, in one pass."""
+    each = [
+        F.struct(
+            F.lit(c).alias("ColumnName"), F.count(F.lit(1)).alias("TotalRowCount"), F.count_if(F.col(c).isNull()).alias("NullRowCount"),
+            F.approx_count_distinct(c).alias("DistinctCount"), F.min(c).cast("string").alias("LowValue"), F.max(c).cast("string").alias("HighValue"),
+        )
+        for c in columns
+    ]
+    return df.agg(F.array(*each).alias("s")).select(F.inline("s"))
+
+
 def analyze(spark: SparkSession, table: str) -> None:
     """Column statistics of a catalog table, for the planner's join order and sizes."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")

@@ -289,11 +289,11 @@ def event_minute(c: str) -> Column:
     return (second - second % 60).cast("int")
 
 
-def manufacturing_warehouse(spark: SparkSession, folder: str) -> Warehouse:
+def manufacturing_warehouse(spark: SparkSession, folder: str, only: Narrow | None = None) -> Warehouse:
     """Nations stand for plants and work centers, suppliers for machines, parts for products
     under their sizes, line items for machine, quality and cost rows, orders for incidents,
     events for confirmations."""
-    t = opened(spark, folder)
+    t = opened(spark, folder, only)
     flags = tuple(f[0] for f in RETURN_FLAGS)
 
     def with_plant(lines: DataFrame) -> DataFrame:
@@ -318,7 +318,10 @@ def manufacturing_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     flag_key = code_key(F.col("l_returnflag"), flags)
 
     def incidents() -> DataFrame:
-        ships = t["lineitem"]().groupBy("l_orderkey").agg(
+        shipped = t["lineitem"]()
+        if only and "orders" in only:  # only lines of the wanted orders are put together
+            shipped = shipped.join(t["orders"]().select(F.col("o_orderkey").alias("__wanted")), F.col("l_orderkey") == F.col("__wanted"), "left_semi")
+        ships = shipped.groupBy("l_orderkey").agg(
             F.max("l_shipdate").alias("last"), F.count("*").alias("n"), F.sum(money("l_quantity")).alias("q")
         )
         orders = sized_join(
@@ -454,6 +457,8 @@ def manufacturing_warehouse(spark: SparkSession, folder: str) -> Warehouse:
             "FinanceManufacturingVariance": variances,
             "ProductionOperationConfirmation": confirmations,
         },
+        {("SafetyIncident", "OccurredDateKey"): Origin("orders", "o_orderdate")},
+        lambda narrow: manufacturing_warehouse(spark, folder, narrow),
     )
 
 

@@ -4,13 +4,23 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from hoarfrost.operators.control import base_of, batch_loads, key_ranges, latest_runs, read_control, stale_batches
+from hoarfrost.operators.control import (
+    CONTROL_TABLES,
+    base_of,
+    batch_loads,
+    key_ranges,
+    latest_runs,
+    load_increment,
+    read_control,
+    replace_control,
+    stale_batches,
+)
 from hoarfrost.operators.generate import date_dimension, time_dimension
 from hoarfrost.operators.scd import scd1_merge, scd2_merge
 from hoarfrost.plans import jobs
 from hoarfrost.sources import buckets, landing, tables
 from tests.conftest import rows
-from tests.warehouse_fixture import MODEL
+from tests.warehouse_fixture import MODEL, filled
 
 
 def land(root, batch, table, *data):
@@ -288,3 +298,74 @@ def test_a_fact_load_does_not_read_the_fact(spark, tmp_path):
     for batch, first in ((9, 4), (9, 4), (8, 8)):
         base = jobs.fact_keys(spark, control, spec, staged, path, batch)
         assert [r[0] for r in staged.select(base + F.col("RowNumber")).collect()] == [first + 1, first + 4]
+
+
+def test_a_switched_off_table_is_skipped_and_listed(spark, tmp_path):
+    landing_root, root = str(tmp_path / "landing"), str(tmp_path / "w")
+    land(landing_root, 1, "Operator", ("O1", "Ann"))
+    land(landing_root, 1, "UnitOfMeasure", ("EA", "Each"))
+    settings = spark.createDataFrame([("ref", "UnitOfMeasure", False), ("dim", "Operator", None)], CONTROL_TABLES["LoadConfig"])
+    replace_control(spark, f"{root}/control", "LoadConfig", settings, "settings")
+    jobs.load_batch(spark, MODEL, landing_root, root, 1, at(10))
+    assert tables.versions(spark, f"{root}/Operator") == [1] and tables.versions(spark, f"{root}/UnitOfMeasure") == []
+    jobs.keep_house(spark, landing_root, root, dt.datetime(2024, 1, 12), model=MODEL)
+    listed = {r.TableName: r for r in read_control(spark, f"{root}/control", "TableCatalog").collect()}
+    assert set(listed) == {t.name for t in MODEL.of_kind("ref", "dim", "bridge", "fact")}
+    assert [n for n, r in listed.items() if not r.IsEnabled] == ["UnitOfMeasure"] and listed["Operator"].VersionCount == 1
+    assert listed["Operator"].FileCount > 0 and listed["Operator"].TableKind == "dim" and listed["Product"].SizeBytes == 0
+
+
+def test_increments_lose_and_repeat_nothing(spark, tmp_path):
+    root, seen = str(tmp_path), {}
+    source = lambda n: spark.range(n).select("id", F.expr("IF(id % 7 = 6, NULL, id DIV 2)").alias("at"))
+
+    def load(batch, fail=False):
+        def run(df):
+            seen[batch] = sorted(r.id for r in df.collect())
+            if fail:
+                raise RuntimeError("lost")
+
+        return run
+
+    step = lambda n, batch, **how: load_increment(spark, root, source(n), "T", "at", batch, load(batch, **how))
+    assert step(10, 1) == (None, "4") and seen[1] == [0, 1, 2, 3, 4, 5, 7, 8, 9]
+    assert step(10, 2) == ("4", "4") and 2 not in seen
+    with pytest.raises(RuntimeError):
+        step(20, 2, fail=True)
+    first = seen.pop(2)
+    with pytest.raises(ValueError, match="batch 2"):
+        step(30, 3)
+    assert step(40, 2) == ("4", "9") and seen[2] == first  # what came meanwhile is left for the next one
+    step(40, 3)
+    assert step(40, 1) == (None, "4") and step(40, 4) == ("19", "19")  # an old batch again moves no mark
+    dated = {r.id for r in source(40).filter("at IS NOT NULL").collect()}
+    assert sorted(x for b in seen.values() for x in b) == sorted(dated)
+    with pytest.raises(ValueError, match="would come before"):
+        step(60, 0)
+
+
+def test_an_increment_lands_and_loads(spark, tmp_path):
+    landing_root, root = str(tmp_path / "landing"), str(tmp_path / "w")
+    source = spark.createDataFrame([("O1", "Ann", 5), ("O2", "Bob", 6)], "OperatorNumber string, OperatorName string, changed int")
+    assert jobs.land_increment(spark, MODEL, source.limit(1), "Operator", "changed", landing_root, root, 1) == (None, "5")
+    assert jobs.land_increment(spark, MODEL, source, "Operator", "changed", landing_root, root, 2) == ("5", "6")
+    staged = [rows(landing.read_landing(spark, landing_root, b, "Operator", MODEL.staging_schema("Operator"))) for b in (1, 2)]
+    assert staged == [[("O1", "Ann", 1, 1)], [("O2", "Bob", 2, 1)]]
+
+
+def test_facts_are_clustered_by_their_main_date(spark, tmp_path):
+    root, spec = str(tmp_path), MODEL["ProductionOrder"]
+    path = f"{root}/ProductionOrder"
+    fact = filled(spark, spec, 400, {}, dt.date(2024, 1, 31), 30)
+    fact.repartition(2, "ProductionOrderKey").write.partitionBy("BatchId").parquet(path)  # two files, both over all days
+    before = rows(spark.read.schema(spec.schema_type()).parquet(path))
+    assert jobs.cluster_facts(spark, MODEL, root, target_bytes=3000) == {"ProductionOrder": [1]}
+    kept = spark.read.schema(spec.schema_type()).parquet(path)
+    assert rows(kept) == before and kept.select("_metadata.file_path").distinct().count() > 2
+    by_file = kept.groupBy("_metadata.file_path").agg(F.min("OrderDateKey").alias("low"), F.max("OrderDateKey").alias("high"))
+    assert tables.overlapping([(r.low, r.high) for r in by_file.collect()]) == 0
+    stats = {r.ColumnName: r for r in read_control(spark, f"{root}/control", "ColumnStatistic").collect()}
+    assert stats["OrderDateKey"].TotalRowCount == 400 and stats["OrderDateKey"].HighValue == "20240131"
+    assert jobs.cluster_facts(spark, MODEL, root, target_bytes=3000) == {"ProductionOrder": []}
+    tables.replace_batch(kept.limit(5), path, 1)
+    assert spark.read.schema(spec.schema_type()).parquet(path).count() == 5
