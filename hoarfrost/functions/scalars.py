@@ -110,6 +110,9 @@ def row_hash(schema: T.StructType, columns: list[str]) -> Column:
     return F.unhex(F.sha2(F.concat_ws("|", *parts), 256))
 
 
+HASH_DIGITS = 64  # of a whole SHA-256
+
+
 def hash_bucket(digits: int, *columns: Column) -> Column:
     """The first hex digits of a SHA-256: a bucket that depends on content alone, so a
     recomputed task puts each row where the lost one did."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hoarfrost.functions.scalars import hash_number
 from hoarfrost.model import TableSpec, WarehouseModel
 from hoarfrost.operators.joins import sized_join
+from hoarfrost.session import materialise
 
 AGGREGATES = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max}
 
@@ -69,23 +70,20 @@ def _percent(value: str, total: str) -> Column:
     return share.cast("decimal(9,4)")
 
 
-def with_dense_rank(df: DataFrame, group: list[str], measure: str, out: str, bands: int = 256) -> DataFrame:
+def with_dense_rank(df: DataFrame, group: list[str], measure: str, out: str, bands: int | None = None) -> DataFrame:
     """Dense rank of a measure, largest first, within groups.
 
     The rank of a value is one more than the number of larger values in its group. Distinct
-    values are cut into bands of near-equal size, counted per band and ranked inside the
-    band, so a group that holds a third of the rows is ranked by many tasks.
+    values are dealt by range to bands, as many as the session's shuffles have partitions (AQE
+    joins small ones) or as asked for, and stored once with their band. They are counted per band and
+    ranked inside the band, so a group that holds a third of the rows is ranked by many tasks.
     """
     values = df.select(*group, measure).distinct()
-    quantiles = [i / bands for i in range(1, bands)]
-    edges = values.agg(F.percentile_approx(measure, quantiles, 10 * bands)).first()[0] or []
-    # At most `bands` numbers reach the driver. Wherever the edges lie, ranks come out right.
-    marks = F.array(*[F.lit(e) for e in sorted(set(edges))])
-    below = F.size(F.filter(marks, lambda e: e < F.col(measure))) if edges else F.lit(0)
-    band = F.when(F.col(measure).isNotNull(), below)
-    banded = values.withColumn("__band", band)
-    per_band = banded.groupBy(*group, "__band").agg(F.count(measure).alias("__n"))
-    above = Window.partitionBy(*group).orderBy(F.desc("__band")).rowsBetween(Window.unboundedPreceding, -1)
+    order = [*[F.asc(g) for g in group], F.desc(measure)]
+    dealt = values.repartitionByRange(bands, *order) if bands else values.repartitionByRange(*order)
+    banded = materialise(dealt.withColumn("__band", F.spark_partition_id()), "ranked-values")
+    per_band = banded.groupBy(*group, "__band").agg(F.count("*").alias("__n"))
+    above = Window.partitionBy(*group).orderBy("__band").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_band.select(
         *[F.col(g).alias(f"__g_{g}") for g in group],
         F.col("__band").alias("__b"),
@@ -93,7 +91,7 @@ def with_dense_rank(df: DataFrame, group: list[str], measure: str, out: str, ban
     )
     inside = Window.partitionBy(*group, "__band").orderBy(F.desc(measure))
     ranked = banded.withColumn("__rank", F.row_number().over(inside))
-    on = F.col("__band").eqNullSafe(F.col("__b"))
+    on = F.col("__band") == F.col("__b")
     for g in group:
         on = on & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
     ranks = ranked.join(starts, on).select(

@@ -39,6 +39,7 @@ CONTROL_TABLES = {
     "SizeBytes bigint, IsEnabled boolean",
     "ColumnStatistic": "TableName string, ColumnName string, TotalRowCount bigint, NullRowCount bigint, DistinctCount bigint, "
     "LowValue string, HighValue string",
+    "DqRule": "RuleCode string, RuleName string, TargetTableName string, RuleExpression string, IsActive boolean",
     "KeyRange": "BatchId bigint, TableName string, BaseKey bigint, KeyCount bigint",
     "BatchLoad": "BatchId bigint, LoadToken string, BuiltOnToken string, LoadedAtUtc timestamp_ntz",
     "QueryTiming": "BatchId bigint, name string, row_count bigint, milliseconds double, status string, "

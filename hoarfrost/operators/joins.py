@@ -13,8 +13,9 @@ from hoarfrost.model import UNKNOWN_KEY
 # columns may grow to in memory, stays under the limit.
 BROADCAST_LIMIT = 256 * 1024 * 1024
 EXPANSION = 4
-# All sides that one plan broadcasts are in memory together, on the driver and on every executor.
-BROADCAST_BUDGET = 4 * BROADCAST_LIMIT
+# All sides that one plan broadcasts are in memory together, on the driver and on every executor: they may
+# take as much as this many sides of the limit.
+BROADCAST_SIDES = 4
 # Beyond the limit both sides are shuffled on their key. A key with more rows than this on
 # the left, NULL and the unknown key included, is cut into pieces of about this size.
 HEAVY_ROWS = 5_000_000
@@ -29,7 +30,7 @@ class BroadcastBudget:
     """What the broadcasts of one plan may take together. Each side that fits takes its share."""
 
     def __init__(self, size: int | None = None):
-        self.left = BROADCAST_BUDGET if size is None else size
+        self.left = BROADCAST_SIDES * BROADCAST_LIMIT if size is None else size
 
     def take(self, size: float) -> bool:
         if size > self.left:

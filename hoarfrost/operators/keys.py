@@ -8,27 +8,41 @@ in the buckets before it. Buckets depend on content alone, so reruns give the sa
 from __future__ import annotations
 
 import re
+from math import ceil, log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hoarfrost.functions.scalars import hash_bucket
+from hoarfrost.functions.scalars import HASH_DIGITS, hash_bucket
 from hoarfrost.model import UNKNOWN_KEY, TableSpec
+from hoarfrost.operators.joins import plan_bytes, row_bytes
 from hoarfrost.session import materialise
 
-BUCKET_DIGITS = 3  # 4,096 buckets, over the table or inside each group
+#: Rows of a bucket that numbering aims at, by the planner's estimate, and hex digits of a bucket at most.
+BUCKET_ROWS, MOST_DIGITS = 100_000, 5
+#: Digits up to which the list of bucket sizes, 16 to their power at most, is broadcast.
+BROADCAST_DIGITS = 3
+
+
+def bucket_digits(df: DataFrame) -> int:
+    """Hex digits of a content hash that cut a table into buckets of about BUCKET_ROWS rows."""
+    buckets = plan_bytes(df) / row_bytes(df) / BUCKET_ROWS
+    return min(MOST_DIGITS, max(1, ceil(log(max(buckets, 1), 16))))
 
 
 def numbered(df: DataFrame, order: list[str], out: str, within: list[str] | None = None) -> DataFrame:
     """Add a row number from 1, over the whole table or within groups.
 
-    Rows are ordered by hash bucket and then by `order`, which must be unique. A group that
-    holds a third of the table is still spread over all of its buckets, and the list of
-    bucket sizes has at most one row per bucket (and group).
+    Rows are ordered by the hash of `order`, which must be unique, and then by `order`. A bucket is a
+    first part of the hash, as long as the table's size asks for: the numbers are the same however many
+    there are. A group that holds a third of the table is still spread over all of its buckets, and
+    the list of bucket sizes has at most one row per bucket (and group).
     """
     within = within or []
-    bucketed = df.withColumn("__bucket", hash_bucket(BUCKET_DIGITS, *[F.col(c) for c in order]))
+    digits = bucket_digits(df)
+    bucketed = df.withColumn("__hash", hash_bucket(HASH_DIGITS, *[F.col(c) for c in order]))
+    bucketed = bucketed.withColumn("__bucket", F.substring("__hash", 1, digits))
     sizes = bucketed.groupBy(*within, "__bucket").agg(F.count("*").alias("__size"))
     before = Window.partitionBy(*within).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
@@ -36,16 +50,16 @@ def numbered(df: DataFrame, order: list[str], out: str, within: list[str] | None
         F.col("__bucket").alias("__b"),
         F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"),
     )
-    inside = Window.partitionBy(*within, "__bucket").orderBy(*order)
+    inside = Window.partitionBy(*within, "__bucket").orderBy("__hash", *order)
     ranked = bucketed.withColumn("__rank", F.row_number().over(inside))
     on = F.col("__bucket") == F.col("__b")
     for c in within:
         on = on & F.col(c).eqNullSafe(F.col(f"__g_{c}"))
-    if not within:
-        starts = F.broadcast(starts)  # at most 16 ** BUCKET_DIGITS rows
+    if not within and digits <= BROADCAST_DIGITS:
+        starts = F.broadcast(starts)  # at most 16 ** BROADCAST_DIGITS rows
     joined = ranked.join(starts, on, "inner")
     return joined.withColumn(out, (F.col("__start") + F.col("__rank")).cast("bigint")).drop(
-        "__bucket", "__b", "__rank", "__start", *[f"__g_{c}" for c in within]
+        "__hash", "__bucket", "__b", "__rank", "__start", *[f"__g_{c}" for c in within]
     )
 
 

@@ -95,7 +95,7 @@ def orphan_checks(
     """
     budget = BroadcastBudget()
     sized = sorted(parents.items(), key=lambda p: broadcast_bytes(p[1][0].select(p[1][1])))
-    fitting = {fk for fk, (parent, key) in sized if fits_broadcast(parent.select(key), budget=budget)}
+    fitting = {fk for fk, (parent, key) in sized if fits_broadcast(parent.select(key)) and budget.take(broadcast_bytes(parent.select(key)))}
     small = {fk: p for fk, p in parents.items() if fk in fitting}
     parts = []
     if small:

@@ -20,6 +20,7 @@ from hoarfrost.operators.control import (
     BY_BATCH,
     CONTROL_TABLES,
     RETENTION_DAYS,
+    append_control,
     base_of,
     batch_loads,
     batch_run,
@@ -228,7 +229,11 @@ def check_quality(spark: SparkSession, model: WarehouseModel, root: str, batch_i
     parts = [dq.profile(found[n], model[n], rules) for n in sorted(found)]
     parts.append(dq.foreign_key_checks(model, found, ("fact", "bridge"), exempt_unknown=True))
     checked = materialise(dq.results(reduce(DataFrame.unionByName, parts), batch_id, now), "quality")
-    replace_control(spark, f"{root}/control", "DqResult", checked, f"quality-{batch_id}")
+    control = f"{root}/control"
+    replace_control(spark, control, "DqResult", checked, f"quality-{batch_id}")
+    # Rules that are met for the first time are registered.
+    known = read_control(spark, control, "DqRule") if files.exists(spark, f"{control}/DqRule") else spark.createDataFrame([], CONTROL_TABLES["DqRule"])
+    append_control(spark, control, "DqRule", materialise(dq.new_rules(known, checked), "rules"))
     return checked
 
 

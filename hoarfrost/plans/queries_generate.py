@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hoarfrost.functions.scalars import seconds_of_day
 from hoarfrost.operators.generate import HOLIDAYS, date_dimension, time_dimension
 from hoarfrost.operators.keys import dedupe_business_key
-from hoarfrost.plans.check_sql import bucket, key_of, small
+from hoarfrost.plans.check_sql import key_of, small
 from hoarfrost.plans.registry import query
 from hoarfrost.sources import trade
 from hoarfrost.sources.trade import read, trade_warehouse
@@ -69,7 +69,7 @@ def gn_time(spark, folder):
 
 
 @query("gn_unique_bk", f"""SELECT p_partkey, CASE WHEN n = 1 THEN p_name ELSE left(p_name, 24 - length('-' || n)) || '-' || n END AS PartCode
-  FROM (SELECT p_partkey, p_name, row_number() OVER (PARTITION BY p_name ORDER BY {bucket('CAST(p_partkey AS VARCHAR)')}, p_partkey) AS n FROM part) x""")
+  FROM (SELECT p_partkey, p_name, row_number() OVER (PARTITION BY p_name ORDER BY sha256(CAST(p_partkey AS VARCHAR)), p_partkey) AS n FROM part) x""")
 def gn_unique_bk(spark, folder):
     parts = read(spark, folder, "part").select("p_partkey", F.col("p_name").alias("PartCode"))
     return dedupe_business_key(parts, "PartCode", ["p_partkey"], limit=24)

@@ -468,7 +468,7 @@ def st_dead_letters(spark, folder):
     return good.unionByName(ingest.dead_letters(landed).drop(ingest.LANDING_FILE), allowMissingColumns=True)
 
 
-FIRST_SEEN = f"""SELECT c_name, epoch, row_number() OVER (ORDER BY epoch, substr(sha256(c_name), 1, 3), c_name) AS k
+FIRST_SEEN = f"""SELECT c_name, epoch, row_number() OVER (ORDER BY epoch, sha256(c_name), c_name) AS k
   FROM (SELECT c_name, min({EPOCH}) AS epoch FROM events JOIN customer ON c_custkey = user_id GROUP BY c_name) f"""
 
 

@@ -143,6 +143,8 @@ def test_a_rerun_does_not_repeat_its_control_rows(spark, tmp_path):
         checked = jobs.check_quality(spark, MODEL, root, 1, at(11))
         assert read_control(spark, control, "ScdChangeLog").count() == 1
         assert read_control(spark, control, "DqResult").count() == checked.count()
+        rules = read_control(spark, control, "DqRule")
+        assert rules.count() == rules.select("RuleCode").distinct().count() == checked.select("rule", "table").distinct().count()
     os.utime(f"{control}/LoadAudit/BatchId=1", (0, 0))
     jobs.keep_house(spark, landing_root, root, dt.datetime(2024, 2, 20))
     assert read_control(spark, control, "LoadAudit").isEmpty() and read_control(spark, control, "ScdChangeLog").isEmpty()

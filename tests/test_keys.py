@@ -16,6 +16,15 @@ def test_numbers_are_dense_and_repeatable(spark):
     assert sorted(n for _, n in first) == list(range(1, 1001))
 
 
+def test_numbers_do_not_depend_on_the_number_of_buckets(spark, monkeypatch):
+    names = spark.range(500).select(F.concat(F.lit("n"), F.col("id")).alias("name"))
+    want = rows(keys.numbered(names, ["name"], "n"))
+    for aimed_at, digits in ((40, 1), (5, 2), (0.5, 3), (0.01, 4)):
+        monkeypatch.setattr(keys, "BUCKET_ROWS", aimed_at)
+        assert keys.bucket_digits(names) == digits
+        assert rows(keys.numbered(names, ["name"], "n")) == want
+
+
 def test_numbers_within_a_hot_group(spark):
     df = spark.range(600).select(F.when(F.col("id") < 400, "hot").when(F.col("id") < 500, F.lit(None)).otherwise("cold").alias("g"), "id")
     got = keys.numbered(df, ["id"], "n", within=["g"]).groupBy("g").agg(F.sort_array(F.collect_list("n")).alias("n"))

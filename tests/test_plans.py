@@ -89,7 +89,8 @@ def test_a_wide_ancestor_is_not_broadcast_for_its_narrow_child(spark, monkeypatc
 
 
 def test_a_fact_with_fifty_parents_keeps_to_its_budget(spark, monkeypatch):
-    monkeypatch.setattr(jn, "BROADCAST_BUDGET", 10 * jn.EXPANSION * 8 * 1000)  # ten parents of 1,000 keys
+    monkeypatch.setattr(jn, "BROADCAST_LIMIT", jn.EXPANSION * 8 * 1000)  # a parent of 1,000 keys
+    monkeypatch.setattr(jn, "BROADCAST_SIDES", 10)
     fact = spark.range(100).select(*[(F.col("id") % 10).alias(f"k{i}") for i in range(50)])
     dims = {f"k{i}": (spark.range(1000).select(F.col("id").alias(f"d{i}")), f"d{i}") for i in range(50)}
     joined = jn.star_join(fact, dims)
