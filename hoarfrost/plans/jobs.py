@@ -125,6 +125,10 @@ def _load_one(
         dims = stored_dims(spark, model, root, before=batch_id)
         for name in (n for n in stages if model[n].kind in ("ref", "dim") and n not in dims):
             dims[name] = spark.createDataFrame([], model[name].schema_type())
+        # A batch may come before any that brings a parent: its rows are unknown members till then.
+        parents = {e.parent for n in stages if model[n].kind in ("fact", "bridge") for e in model.edges(n)} - set(dims)
+        for name in (p for p in sorted(parents) if model[p].business_key is not None and not model[p].explicit_key):
+            dims[name] = spark.createDataFrame([], model[name].schema_type())
         staged_dims = {n: s for n, s in stages.items() if model[n].kind in ("ref", "dim")}
         audits, logs = [], []
 
