@@ -21,6 +21,11 @@ from hoarfrost.operators.keys import assign_keys, highest_key
 from hoarfrost.session import materialise
 
 
+#: What a batch had to say of a dimension, kept by batch: every staged key, its hash (none where the table
+#: has no versions) and the time the batch was merged as of.
+OBSERVED = "BusinessKeyValue string, RowHash binary, ObservedAtUtc timestamp_ntz, BatchId bigint"
+
+
 @dataclass(frozen=True)
 class Merge:
     """A merged dimension, and what became of every staged business key."""
@@ -29,6 +34,16 @@ class Merge:
     changes: DataFrame  # business key, action (insert, update, unchanged), old and new hash, whether a row changed
 
 
+@dataclass(frozen=True)
+class Insertion:
+    """A dimension with a late batch put into its histories, and where facts of later batches must look anew."""
+
+    table: DataFrame
+    seen: DataFrame  # every staged business key, with its hash and the time it counts from (`OBSERVED`)
+    changed: DataFrame  # business key, one row or more, of every row that was written or changed
+    moved: DataFrame  # business key, OldKey (the key such facts carry now, NULL: none), UntilBatch (NULL: no end)
+
+
 def latest_per_key(stage: DataFrame, business_key: str) -> DataFrame:
     """One row per business key, the one staged last. Rows without a key cannot be stored.
 
@@ -78,6 +93,15 @@ def _existing(current: DataFrame, staged: DataFrame, business_key: str) -> DataF
     return sized_join(current, staged.select(business_key), {business_key: business_key}, "left_semi", heavy_rows=None)
 
 
+def _hashed(dim: DataFrame, stage: DataFrame, spec: TableSpec, batch_id: int, model: WarehouseModel | None) -> DataFrame:
+    """A batch's last row of each key, with its hash."""
+    staged = latest_per_key(batch(stage, batch_id), spec.business_key.name)
+    covered = hash_columns(model, spec, staged, dim.columns)
+    computed = row_hash(staged.schema, covered)
+    given = F.col("RowHash") if "RowHash" in staged.columns else F.lit(None)
+    return staged.withColumn("RowHash", F.coalesce(given, computed))
+
+
 def scd2_merge(
     dim: DataFrame,
     stage: DataFrame,
@@ -95,11 +119,7 @@ def scd2_merge(
     a part of the dimension that holds all staged keys; then `highest` is the whole one's highest key.
     """
     bk = spec.business_key.name
-    staged = latest_per_key(batch(stage, batch_id), bk)
-    covered = hash_columns(model, spec, staged, dim.columns)
-    computed = row_hash(staged.schema, covered)
-    given = F.col("RowHash") if "RowHash" in staged.columns else F.lit(None)
-    staged = staged.withColumn("RowHash", F.coalesce(given, computed))
+    staged = _hashed(dim, stage, spec, batch_id, model)
 
     current = dim.filter(F.col("IsCurrent")).select(bk, F.col("RowHash").alias("__old"))
     compared = sized_join(staged, _existing(current, staged, bk), {bk: bk}, "left", heavy_rows=None)
@@ -186,6 +206,146 @@ def scd1_merge(
     return Merge(updated.unionByName(fresh), changes)
 
 
+def observed(changes: DataFrame, now: Column) -> DataFrame:
+    """What a merge saw, for batches that come late: see `OBSERVED`."""
+    return changes.select("BusinessKeyValue", F.col("new_hash").alias("RowHash"), now.cast("timestamp_ntz").alias("ObservedAtUtc"))
+
+
+def scd2_insert(
+    dim: DataFrame,
+    stage: DataFrame,
+    spec: TableSpec,
+    batch_id: int,
+    now: Column,
+    later: DataFrame,
+    model: WarehouseModel | None = None,
+    dims: dict[str, DataFrame] | None = None,
+    highest: Column | int | None = None,
+) -> Insertion:
+    """Put a late batch into the histories of its own keys.
+
+    `later` holds what the batches after it observed (`OBSERVED`). From a key's first later observation on
+    its history is what it was, so only the stretch before that changes. A staged row that differs from the
+    version before the batch closes that version, and
+
+    - with nothing observed later, becomes the current one;
+    - if the next observation agrees with it, that one's version starts earlier, under its own key;
+    - if the next observation agrees with the version before, which then went on, stands in between, and
+      that version opens again at the next observation, under a new key;
+    - else ends where the next version starts.
+
+    A version starts no earlier than the one before it and no later than the next observation, whatever
+    `now` says. Parents are resolved by `dims`, to be given as of the batch.
+    """
+    bk, key = spec.business_key.name, spec.key
+    staged = materialise(_hashed(dim, stage, spec, batch_id, model), f"late-{spec.name}")
+    moment = dim.schema["EffectiveFromUtc"].dataType
+    own = _existing(dim, staged, bk)
+    before = own.filter(F.col("BatchId") < batch_id).groupBy(bk).agg(
+        F.max_by(F.struct(*dim.columns), F.struct("BatchId", key)).alias("__before")
+    )
+    following = later.groupBy(F.col("BusinessKeyValue").alias("__of")).agg(
+        F.min(F.struct("BatchId", F.col("ObservedAtUtc").cast(moment).alias("At"), "RowHash")).alias("__next")
+    )
+    met = sized_join(staged, before, {bk: bk}, "left", heavy_rows=None)
+    met = sized_join(met, following, {bk: "__of"}, "left", heavy_rows=None)
+    differs = F.col("__before").isNull() | changed(F.col("__before.RowHash"), F.col("RowHash"))
+    kind = (
+        F.when(F.col("__next").isNull(), "open")
+        .when(F.col("__next.RowHash") == F.col("RowHash"), "adopt")
+        .when(F.col("__next.RowHash") == F.col("__before.RowHash"), "return")
+        .otherwise("between")
+    )
+    start = F.greatest(F.least(now.cast(moment), F.col("__next.At")), F.col("__before.EffectiveFromUtc"))
+    every = materialise(met.withColumns({"__differs": differs, "__kind": kind, "__start": start}), f"late-{spec.name}")
+    met = every.filter("__differs")
+
+    closes = met.filter(F.col("__before").isNotNull()).select(
+        F.col(f"__before.{key}").alias("__row"), F.col("__start").alias("__to"), F.lit(None).cast(moment).alias("__from")
+    )
+    adopting = met.filter("__kind = 'adopt'").select(bk, F.col("__next.BatchId").alias("__batch"), "__start")
+    adopts = sized_join(adopting, own.select(bk, "BatchId", key), {bk: bk, "__batch": "BatchId"}, heavy_rows=None).select(
+        F.col(key).alias("__row"), F.lit(None).cast(moment).alias("__to"), F.col("__start").alias("__from")
+    )
+    marked = sized_join(dim, closes.unionByName(adopts), {key: "__row"}, "left", heavy_rows=None)
+    kept = marked.withColumns(
+        {
+            "EffectiveToUtc": F.coalesce("__to", "EffectiveToUtc"),
+            "IsCurrent": F.col("IsCurrent") & F.col("__to").isNull(),
+            "EffectiveFromUtc": F.coalesce("__from", "EffectiveFromUtc"),
+            "BatchId": F.when(F.col("__from").isNotNull(), batch_id).otherwise(F.col("BatchId")).cast(dim.schema["BatchId"].dataType),
+        }
+    ).select(*dim.columns)
+
+    entering = met.filter("__kind <> 'adopt'")
+    if dims:
+        entering = resolve_parents(model, spec, entering, dims)
+    ends = F.when(F.col("__kind") == "open", F.lit(OPEN_END).cast(moment)).otherwise(F.col("__next.At"))
+    entering = entering.withColumns(
+        {"EffectiveFromUtc": F.col("__start"), "EffectiveToUtc": ends, "IsCurrent": F.col("__kind") == "open", key: F.lit(None).cast("bigint")}
+    )
+    entering = _shaped(entering.drop("BatchId"), dim, spec, batch_id, now)
+    going_on = met.filter("__kind = 'return'").select("__before.*", F.col("__next.At").alias("__at"), F.col("__next.BatchId").alias("__batch"))
+    returning = going_on.withColumns({"EffectiveFromUtc": F.col("__at"), "BatchId": F.col("__batch")}).select(*dim.columns)
+    fresh = entering.unionByName(returning).drop(key)
+    fresh = assign_keys(fresh, [bk, "BatchId"], key, highest_key(dim, key) if highest is None else highest)
+    fresh = fresh.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in dim.schema.fields])
+    until = F.when(F.col("__kind").isin("adopt", "between"), F.col("__next.BatchId"))
+    return Insertion(
+        kept.unionByName(fresh),
+        every.select(F.col(bk).cast("string").alias("BusinessKeyValue"), "RowHash", F.col("__start").cast("timestamp_ntz").alias("ObservedAtUtc")),
+        met.select(bk),
+        met.select(bk, F.col(f"__before.{key}").alias("OldKey"), until.alias("UntilBatch")),
+    )
+
+
+def scd1_insert(
+    dim: DataFrame,
+    stage: DataFrame,
+    spec: TableSpec,
+    batch_id: int,
+    now: Column,
+    later: DataFrame,
+    model: WarehouseModel | None = None,
+    dims: dict[str, DataFrame] | None = None,
+    highest: Column | int | None = None,
+) -> Insertion:
+    """Merge a late batch into a table without versions: what later batches said of a key stays.
+
+    Keys that no later batch names are merged as ever. A row that a later batch entered counts from
+    this one on, by its batch id; `moved` names these keys and the new ones.
+    """
+    bk = spec.business_key.name
+    staged = materialise(latest_per_key(batch(stage, batch_id), bk), f"late-{spec.name}")
+    named = later.select("BusinessKeyValue").distinct()
+    told = sized_join(staged.select(bk), named, {bk: "BusinessKeyValue"}, "left_semi", heavy_rows=None)
+    done = scd1_merge(dim, sized_join(staged, named, {bk: "BusinessKeyValue"}, "left_anti", heavy_rows=None), spec, batch_id, now, model, dims, highest)
+    entered = dim.filter(F.col("BatchId") > batch_id).select(bk, F.col("BatchId").alias("__entered"))
+    earlier = materialise(_existing(entered, told, bk), f"late-{spec.name}")
+    marked = sized_join(done.table, earlier, {bk: bk}, "left", heavy_rows=None)
+    counts_from = F.when(F.col("__entered").isNotNull(), batch_id).otherwise(F.col("BatchId"))
+    table = marked.withColumn("BatchId", counts_from.cast(dim.schema["BatchId"].dataType)).select(*dim.columns)
+    kind, key_type = dim.schema[bk].dataType, dim.schema[spec.key].dataType
+    entering = done.changes.filter("action = 'insert'").select(F.col("BusinessKeyValue").cast(kind).alias(bk), F.lit(None).cast("bigint").alias("__entered"))
+    rewritten = done.changes.filter("changed").select(F.col("BusinessKeyValue").cast(kind).alias(bk))
+    moved = earlier.unionByName(entering).select(bk, F.lit(None).cast(key_type).alias("OldKey"), F.col("__entered").alias("UntilBatch"))
+    at = now.cast("timestamp_ntz").alias("ObservedAtUtc")
+    seen = staged.select(F.col(bk).cast("string").alias("BusinessKeyValue"), F.lit(None).cast("binary").alias("RowHash"), at)
+    return Insertion(table, seen, rewritten.unionByName(earlier.select(bk)), moved)
+
+
+def as_of_batch(dim: DataFrame, spec: TableSpec, batch_id: int) -> DataFrame:
+    """A dimension as the facts of a batch see it: without what later batches entered, and with the last
+    version of every key up to the batch as its current one."""
+    known = dim.filter(F.col("BatchId") <= batch_id)
+    if not spec.is_scd2:
+        return known
+    last = known.groupBy(spec.business_key.name).agg(F.max(F.struct("BatchId", spec.key)).alias("__last"))
+    picked = last.select(F.col(f"__last.{spec.key}").alias("__row"), F.lit(True).alias("__is"))
+    marked = sized_join(known, picked, {spec.key: "__row"}, "left", heavy_rows=None)
+    return marked.withColumn("IsCurrent", F.coalesce("__is", F.lit(False))).select(*dim.columns)
+
+
 def _shaped(rows: DataFrame, dim: DataFrame, spec: TableSpec, batch_id: int, now: Column) -> DataFrame:
     full = with_defaults(rows, spec, batch_id, now)
     return full.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in dim.schema.fields])

@@ -1,4 +1,4 @@
-"""The scheduled jobs: load a landed batch, check quality, keep house.
+"""The scheduled jobs: load a landed batch, check quality, run the reports, keep house.
 
 Each job is a driver program over the operators. A scheduler outside decides when it runs;
 running one again with the same batch id leaves the warehouse as one run does.
@@ -28,6 +28,7 @@ from hoarfrost.operators.control import (
     expired_files,
     key_ranges,
     load_increment,
+    log_error,
     read_control,
     record_step,
     replace_control,
@@ -37,6 +38,8 @@ from hoarfrost.operators.facts import load_bridge, load_fact, lookup_misses, loo
 from hoarfrost.operators.joins import sized_join
 from hoarfrost.operators.keys import numbered
 from hoarfrost.operators.scd import Merge, change_log, load_audit, merge_dimensions
+from hoarfrost.plans.reports import run_reports, timings
+from hoarfrost.plans.warehouse import Warehouse
 from hoarfrost.session import materialise
 from hoarfrost.sources import files, landing, tables
 
@@ -241,6 +244,35 @@ def check_quality(spark: SparkSession, model: WarehouseModel, root: str, batch_i
     return checked
 
 
+def run_analytics(
+    spark: SparkSession, model: WarehouseModel, root: str, batch_id: int, as_of: dt.date, names: list[str] | None = None
+) -> DataFrame:
+    """Run the registered reports over the stored warehouse, in name order, and keep rows, time and status of each.
+
+    The reports and their windows are fixed, so their times can be compared from run to run. One that fails is
+    recorded as an error, and the rest go on.
+    """
+    control = f"{root}/control"
+    with batch_run(spark, control, batch_id, "analytics"):
+        started = _now()
+        runs = run_reports(Warehouse.stored(spark, model, root), as_of, names)
+        for r in runs.filter("status = 'Failed'").collect():  # at most one row per report
+            log_error(spark, control, batch_id, "report", r.name, r.message, _now())
+        replace_control(spark, control, "QueryTiming", timings(runs, batch_id), f"analytics-{batch_id}")
+        record_step(spark, control, batch_id, "reports", "Succeeded", started, _now())
+    return runs
+
+
+def slower_reports(spark: SparkSession, root: str, batch_id: int, factor: float = 2.0) -> DataFrame:
+    """Reports of a run that took more than `factor` times the median of their earlier runs."""
+    kept = read_control(spark, f"{root}/control", "QueryTiming").filter("status = 'Succeeded'")
+    usual = kept.filter(F.col("BatchId") < batch_id).groupBy("name").agg(
+        F.median("milliseconds").alias("usual_milliseconds"), F.count("*").alias("run_count")
+    )
+    run = kept.filter(F.col("BatchId") == batch_id).select("name", "row_count", "milliseconds")
+    return sized_join(run, usual, {"name": "name"}, heavy_rows=None).filter(F.col("milliseconds") > factor * F.col("usual_milliseconds"))
+
+
 def land_increment(
     spark: SparkSession, model: WarehouseModel, source: DataFrame, table: str, column: str, landing_root: str, root: str, batch_id: int
 ) -> tuple[str | None, str | None]:

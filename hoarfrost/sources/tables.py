@@ -9,6 +9,7 @@ into keep their rows in buckets, and a version is then a manifest of them (see `
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from math import ceil
 from typing import Protocol
 
@@ -99,6 +100,25 @@ def merge_version(
     return done
 
 
+def batches(spark: SparkSession, path: str) -> list[int]:
+    """The batches that a table stored by batch has folders of, in order."""
+    found = [name for name, is_folder, _, _ in files.children(spark, path) if is_folder and name.startswith("BatchId=")]
+    return sorted(int(name.split("=")[1]) for name in found)
+
+
+def insert_version(
+    spark: SparkSession, path: str, batch_id: int, spec: TableSpec, table: DataFrame, changed: DataFrame, base: buckets.Version
+) -> None:
+    """Commit a late batch's rows into the current version. The versions between are dropped first: they lack
+    the batch, so that a later rerun of one of them starts from the version before the batch."""
+    only = buckets.touched(changed, spec.business_key.name, base.buckets)
+    for v in versions(spark, path):
+        if batch_id < v < base.number:
+            files.delete(spark, f"{path}/v={v}")
+    if only:
+        buckets.write(table, path, base.number, spec.business_key.name, spec.key, replace(base, number=base.built_from), only)
+
+
 def replace_batch(df: DataFrame, path: str, batch_id: int, date_column: str | None = None) -> int:
     """Replace the rows of one batch in a fact stored by batch; returns the rows written.
 

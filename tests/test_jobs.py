@@ -17,7 +17,7 @@ from hoarfrost.operators.control import (
 )
 from hoarfrost.operators.generate import date_dimension, time_dimension
 from hoarfrost.operators.scd import scd1_merge, scd2_merge
-from hoarfrost.plans import jobs
+from hoarfrost.plans import jobs, reports
 from hoarfrost.sources import buckets, landing, tables
 from tests.conftest import rows
 from tests.warehouse_fixture import MODEL, filled
@@ -371,3 +371,21 @@ def test_facts_are_clustered_by_their_main_date(spark, tmp_path):
     assert jobs.cluster_facts(spark, MODEL, root, target_bytes=3000) == {"ProductionOrder": []}
     tables.replace_batch(kept.limit(5), path, 1)
     assert spark.read.schema(spec.schema_type()).parquet(path).count() == 5
+
+
+def test_reports_run_as_a_job_with_kept_timings(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    tables.write_version(date_dimension(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 31)), f"{root}/Date", 0)
+    monkeypatch.setattr(reports, "REPORTS", {"days": lambda wh, as_of: wh["Date"], "broken": lambda wh, as_of: wh["Product"]})
+    for batch in (1, 2, 2):  # a rerun replaces its rows
+        jobs.run_analytics(spark, MODEL, root, batch, dt.date(2024, 1, 31))
+    kept = read_control(spark, f"{root}/control", "QueryTiming")
+    assert rows(kept, "BatchId", "name", "status", "row_count") == [
+        (1, "broken", "Failed", None), (1, "days", "Succeeded", 31), (2, "broken", "Failed", None), (2, "days", "Succeeded", 31)
+    ]
+    assert rows(read_control(spark, f"{root}/control", "LoadError").filter("BatchId = 1"), "SchemaName", "TableName") == [("report", "broken")]
+    assert rows(latest_runs(read_control(spark, f"{root}/control", "BatchRun")), "BatchId", "BatchStatusCode") == [(1, "Succeeded"), (2, "Succeeded")]
+    slow = kept.filter("name = 'days' AND BatchId = 1").withColumns({"BatchId": F.lit(3), "milliseconds": F.lit(1e7)})
+    replace_control(spark, f"{root}/control", "QueryTiming", slow, "analytics-3")
+    assert rows(jobs.slower_reports(spark, root, 3), "name", "row_count", "run_count") == [("days", 31, 2)]
+    assert jobs.slower_reports(spark, root, 1).isEmpty()

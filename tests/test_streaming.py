@@ -1,8 +1,11 @@
 import datetime as dt
 import os
+from dataclasses import replace
 
+import pytest
 from pyspark.sql import functions as F
 
+from hoarfrost.model import WarehouseModel
 from hoarfrost.operators.generate import date_dimension, time_dimension
 from hoarfrost.sources import landing, tables
 from hoarfrost.streaming import ingest
@@ -144,3 +147,94 @@ def test_the_applied_stream_keeps_what_does_not_fit(spark, tmp_path):
     land(root, 1, ("O1", 5), ("O2", 6))  # the file comes again, in order
     run(spark, root, warehouse, str(tmp_path / "checkpoint-new"))
     assert ingest.dead_letters(landed()).isEmpty() and len(state(spark, warehouse)) == 2
+
+
+VERSIONED = WarehouseModel.of(*[replace(t, scd=2) if t.name == "Operator" else t for t in MODEL.tables.values()])
+# Per batch, operator and what is known of it then: versions that go on, return, move or come first.
+TOLD = {
+    1: (("A", 1), ("B", 1), ("C", 1), ("G", 1)),
+    2: (("A", 2), ("B", 2), ("C", 1), ("D", 1), ("E", 5), ("F", 3), ("", 9)),
+    3: (("A", 1), ("B", 2), ("E", 6), ("C", 4)),
+    4: (("A", 1), ("F", 3), ("D", 1), ("G", 2)),
+    5: (("A", 2), ("B", 1), ("E", 5)),
+}
+
+
+def versioned(df):
+    seen = df.filter(F.col("LeadOperatorOperatorNumber").isNotNull())
+    return {"Operator": seen.select(F.col("LeadOperatorOperatorNumber").alias("OperatorNumber"), F.col("OrderQuantity").cast("int").cast("string").alias("OperatorName"), "BatchId", "RowNumber")}
+
+
+def apply(spark, folder, model, *batches):
+    """Batches land together, and a stream takes what has landed, as of a day of its own."""
+    for batch in batches:
+        land(f"{folder}/landing", batch, *TOLD[batch])
+    stream = ingest.landing_stream(spark, f"{folder}/landing/*/stg.ProductionOrder.csv", model.staging_schema("ProductionOrder"))
+    now = F.lit(f"2024-02-{10 + len(os.listdir(f'{folder}/landing')):02d}").cast("timestamp_ntz")
+    ingest.apply_stream(stream, f"{folder}/checkpoint", model, f"{folder}/warehouse", "ProductionOrder", now, versioned, lambda df: df)
+
+
+def begin(spark, folder, model):
+    prepare(spark, f"{folder}/warehouse")
+    tables.write_version(spark.createDataFrame([], model["Operator"].schema_type()), f"{folder}/warehouse/Operator", 0)
+
+
+def in_order(batches, keeps_versions):
+    """What batches loaded in order leave, row by row: versions and facts, by what they say."""
+    dim, facts = [], []
+    for batch in sorted(batches):
+        for name, value in TOLD[batch]:
+            mine = [r for r in dim if r[0] == name]
+            if name and (not mine or keeps_versions and mine[-1][1] != str(value)):
+                dim.append([name, str(value), batch])
+            elif name and not keeps_versions:
+                mine[-1][1] = str(value)
+        for n, (name, _) in enumerate(TOLD[batch], 1):
+            last = next((r for r in reversed(dim) if r[0] == name), [None] * 3)
+            facts.append((batch, batch * 2**40 + n, last))
+    return sorted(map(tuple, dim), key=lambda r: (r[0], r[2])), [(b, k, *r) for b, k, r in facts]
+
+
+def histories(spark, warehouse, model):
+    """The same from the tables; and surrogate keys are unique, and the intervals of a key meet."""
+    dim = tables.read_version(spark, f"{warehouse}/Operator").orderBy("OperatorNumber", "BatchId").collect()
+    assert len({r.OperatorKey for r in dim}) == len(dim)
+    for a, b in zip(dim, [*dim[1:], None]) if model["Operator"].is_scd2 else ():
+        last = b is None or b.OperatorNumber != a.OperatorNumber
+        assert a.IsCurrent == last and a.EffectiveFromUtc <= a.EffectiveToUtc
+        assert a.EffectiveToUtc == (dt.datetime(9999, 12, 31) if last else b.EffectiveFromUtc)
+    fact = spark.read.schema(model["ProductionOrder"].schema_type()).parquet(f"{warehouse}/ProductionOrder")
+    named = {r.OperatorKey: (r.OperatorNumber, r.OperatorName, r.BatchId) for r in dim}
+    found = sorted((r.BatchId, r.ProductionOrderKey, r.LeadOperatorKey) for r in fact.collect())
+    return [(r.OperatorNumber, r.OperatorName, r.BatchId) for r in dim], [(b, k, *named.get(o, (None,) * 3)) for b, k, o in found]
+
+
+@pytest.mark.parametrize("model", [VERSIONED, MODEL], ids=["versions", "no-versions"])
+def test_late_batches_are_put_into_the_histories_of_their_keys(spark, tmp_path, model):
+    folder = str(tmp_path)
+    begin(spark, folder, model)
+    apply(spark, folder, model, 1, 5)
+    apply(spark, folder, model, 3)
+    assert histories(spark, f"{folder}/warehouse", model) == in_order((1, 3, 5), model is VERSIONED)
+    apply(spark, folder, model, 2, 4)
+    assert histories(spark, f"{folder}/warehouse", model) == in_order((1, 2, 3, 4, 5), model is VERSIONED)
+    # Nothing was loaded again: batches that came late have no version of their own.
+    assert tables.versions(spark, f"{folder}/warehouse/Operator") == [0, 1, 5]
+
+
+def test_a_late_load_that_was_cut_is_made_up_for(spark, tmp_path, monkeypatch):
+    folder, whole = str(tmp_path), tables.replace_batch
+    begin(spark, folder, VERSIONED)
+    apply(spark, folder, VERSIONED, 1, 3)
+
+    def stop(df, path, *args):
+        if path.endswith("/ProductionOrder"):
+            raise RuntimeError("cut")
+        return whole(df, path, *args)
+
+    monkeypatch.setattr(tables, "replace_batch", stop)
+    with pytest.raises(Exception, match="cut"):
+        apply(spark, folder, VERSIONED, 2)
+    monkeypatch.undo()
+    apply(spark, folder, VERSIONED)
+    assert histories(spark, f"{folder}/warehouse", VERSIONED) == in_order((1, 2, 3), True)
