@@ -348,6 +348,30 @@ def test_leaks_of_thousands_of_items_are_found(spark):
     assert len(found) == len(set(found)) and set(found) == want
 
 
+def test_one_scan_serves_many_spaces(spark, monkeypatch):
+    """Items that fill several spaces are looked for in one scan; a task that can keep one space at a time,
+    and looks after every text, finds the same as one that keeps all."""
+    random.seed(8)
+    vocabulary = ["".join(random.choices("abcdefghijklmnop", k=random.randint(3, 9))) for _ in range(4000)]
+    items = [random.choices(vocabulary, k=random.randint(15, 59)) for _ in range(150)] + [random.choices(vocabulary, k=300)]
+    docs = [" ".join([*random.choices(vocabulary, k=40), *random.choice(items), *random.choice(items)]) for _ in range(60)]
+    df = spark.createDataFrame([*enumerate(docs), (None, docs[0]), (7, None), (8, "")], "doc_id long, text string")
+    rows = [(i, " ".join(x)) for i, x in enumerate(items)] + [(None, " ".join(items[0])), (5, ""), (6, None)]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    monkeypatch.setattr(leaks, "RANK", 32)
+    kept = leaks.find_leaks(df, bench)
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    monkeypatch.setattr(leaks, "KEEP_BYTES", 0)
+    monkeypatch.setattr(leaks, "GATHER_BYTES", 1)
+    columns = ("doc_id", "mark", "item_id", "shared", "answered", "first_word", "words")
+    one, other = (collections.Counter(map(tuple, x.select(*columns).collect())) for x in (kept, leaks.find_leaks(df, bench)))
+    assert one == other
+    words = {i: x for i, x in enumerate(items)} | {None: items[0]}
+    text_of = dict(enumerate(docs)) | {None: docs[0]}
+    want = {(d, i) for d, text in text_of.items() for i, x in words.items() if " ".join(x) in text}
+    assert {(d, i) for d, _, i, *_ in one} == want
+
+
 def test_longest_common_subsequence():
     random.seed(4)
     for _ in range(200):
