@@ -172,3 +172,17 @@ def test_every_query_has_sql_and_the_model_is_sound():
     for spec in MODEL.tables.values():
         for fk in spec.references:
             assert fk.parent in MODEL
+
+
+def test_a_side_whose_files_are_small_for_its_rows_is_not_broadcast(spark, tmp_path):
+    """Files of some 11 MB that hold three million rows: as a hash table they would take some 200 MB of the driver."""
+    path = str(tmp_path / "orders")
+    spark.range(3_000_000).select("id", (F.col("id") % 1000).alias("c"), (F.col("id") % 500).cast("int").alias("d")).coalesce(1).write.parquet(path)
+    orders = spark.read.schema("id bigint, c bigint, d int").parquet(path)
+    assert 8_000_000 < jn.plan_bytes(orders) < 30_000_000
+    fact = spark.range(10).select(F.col("id").alias("k"))
+    for heavy in (None, 50):
+        joined = jn.sized_join(fact, orders, {"k": "id"}, "left", heavy_rows=heavy)
+        # The only broadcasts are the two (empty) lists of heavy keys.
+        assert joined._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") == (0 if heavy is None else 2)
+        assert joined.count() == 10
