@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hoarfrost.functions.scalars import count_where, rule_code
 from hoarfrost.model import UNKNOWN_KEY, TableSpec, WarehouseModel
-from hoarfrost.operators.joins import BroadcastBudget, broadcast_bytes, fits_broadcast, orphans, sized_join
+from hoarfrost.operators.joins import BroadcastBudget, broadcast_bytes, fits_broadcast, orphans, pieces_of, sized_join
 from hoarfrost.session import materialise
 
 # Parts of a column name that mark a measure which must not be negative.
@@ -145,9 +145,16 @@ def foreign_key_checks(model: WarehouseModel, tables: dict[str, DataFrame], kind
 
 
 def _duplicate_rows(df: DataFrame, keys: list[str], table: str, rule: str, null_fails: bool) -> DataFrame:
-    """Rows beyond the first of each key, and rows without a key where that fails too."""
-    groups = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    """Rows beyond the first of each key, and rows without a key where that fails too.
+
+    Nearly every key stands alone, so counting before the shuffle would only fill memory: rows are dealt
+    by key to as many tasks as the table's size asks for. Rows without a key need not meet, and stay spread.
+    """
     empty = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    rows, parts = df.select(*keys, F.when(empty, F.spark_partition_id()).alias("__part")), pieces_of(df)
+    by = [*keys, "__part"]
+    dealt = rows.repartition(parts, *by) if parts else rows.repartition(*by)
+    groups = dealt.groupBy(*by).agg(F.count("*").alias("n"))
     extra = F.when(empty, F.col("n") if null_fails else 0).otherwise(F.col("n") - 1)
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("checked"), F.coalesce(F.sum(extra), F.lit(0)).alias("failed")

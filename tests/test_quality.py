@@ -1,6 +1,8 @@
 from pyspark.sql import functions as F
 
+from hoarfrost.operators import joins as jn
 from hoarfrost.operators import quality as dq
+from hoarfrost.sources import trade
 from tests.conftest import rows
 from tests.warehouse_fixture import MODEL
 
@@ -74,3 +76,20 @@ def test_depth_of_the_fixture(spark):
     assert [tuple(r) for r in depth] == [("Product", 3), ("ProductFamily", 2), ("ProductLine", 1)]
     columns = dq.catalog_columns(spark, MODEL)
     assert columns.filter("table_name = 'Product' AND column_name = 'RowHash'").count() == 1
+
+
+def test_duplicate_keys_are_counted_by_as_many_tasks_as_the_files_ask_for(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "bridge")
+    keys = [(i % 50, None if i % 10 == 0 else i) for i in range(200)] + [(1, 1)] * 3
+    spark.createDataFrame(keys, "PartKey bigint, SupplierKey bigint").write.parquet(path)
+    pairs = spark.read.schema("PartKey bigint, SupplierKey bigint").parquet(path)
+    monkeypatch.setattr(jn.pieces_of, "__defaults__", (100,))
+    spec = trade.MODEL["PartSupplier"]
+    found = dq.members_unique(pairs, spec)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # One map of keys in a task, dealt by number, so that small tasks are not put together again.
+    assert "REPARTITION_BY_NUM" in plan and jn.pieces_of(pairs) > 10
+    assert [(r.checked, r.failed) for r in found.collect()] == [(203, 3)]
+    assert [(r.checked, r.failed) for r in dq._duplicate_rows(pairs, ["PartKey", "SupplierKey"], "t", "r", True).collect()] == [(203, 23)]
+    unknown = spark.createDataFrame(keys, "PartKey bigint, SupplierKey bigint")
+    assert [(r.checked, r.failed) for r in dq.members_unique(unknown, spec).collect()] == [(203, 3)]

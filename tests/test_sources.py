@@ -186,3 +186,17 @@ def test_decimal_and_flag_text(spark, tmp_path):
     tables.write_extract(df, str(tmp_path / "x"))
     text = "".join(open(tmp_path / "x" / f).read() for f in os.listdir(tmp_path / "x") if f.endswith(".csv"))
     assert "1.5000,1" in text and "True" not in text
+
+
+def test_a_batch_of_many_rows_in_small_files_is_sorted_by_several_tasks(spark, tmp_path, monkeypatch):
+    """Files that compress well say little of the rows that a task sorts: it is given no more than its share."""
+    path = str(tmp_path / "fact")
+    rows = spark.range(20_000).select(F.lit(1).cast("bigint").alias("BatchId"), (F.col("id") % 100).cast("int").alias("day"))
+    rows.repartition(4).write.partitionBy("BatchId").parquet(path)
+    monkeypatch.setattr(tables, "SORT_BYTES", 100_000)  # 5,000 rows of 20 bytes
+    assert tables.compact_batches(spark, path, rows.schema, "day") == [1]
+    stored = spark.read.schema(rows.schema).parquet(path).withColumn("f", F.col("_metadata.file_path"))
+    files = stored.groupBy("f").agg(F.min("day").alias("low"), F.max("day").alias("high"), F.count("*").alias("n")).orderBy("low").collect()
+    assert len(files) > 1 and max(r.n for r in files) < 10_000 and sum(r.n for r in files) == 20_000
+    assert all(a.high < b.low for a, b in zip(files, files[1:], strict=False))
+    assert tables.compact_batches(spark, path, rows.schema, "day") == []
