@@ -186,3 +186,19 @@ def test_a_side_whose_files_are_small_for_its_rows_is_not_broadcast(spark, tmp_p
         # The only broadcasts are the two (empty) lists of heavy keys.
         assert joined._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") == (0 if heavy is None else 2)
         assert joined.count() == 10
+
+
+def test_a_side_over_the_limit_is_not_broadcast_by_the_planner_either(spark, tmp_path):
+    """Files of some 5 MB that hold over a million rows: under the ten megabytes up to which the planner
+    broadcasts by itself, and over a megabyte, which may take 55 MB of the driver."""
+    path = str(tmp_path / "customers")
+    spark.range(1_200_000).select("id", (F.col("id") % 25).cast("int").alias("n")).coalesce(1).write.parquet(path)
+    customers = spark.read.schema("id bigint, n int").parquet(path)
+    assert 2_000_000 < jn.plan_bytes(customers) < 10_000_000
+    fact = spark.range(10).select(F.col("id").alias("k"))
+    for how in ("left", "inner"):
+        joined = jn.sized_join(fact, customers, {"k": "id"}, how, heavy_rows=50)
+        # The only broadcasts are the two (empty) lists of heavy keys, also when its stages are known.
+        assert joined.count() == 10
+        joined.collect()
+        assert plan(joined).count("BroadcastExchange") == 2
