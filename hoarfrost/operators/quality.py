@@ -12,10 +12,11 @@ from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from hoarfrost.functions.scalars import count_where, rule_code
 from hoarfrost.model import UNKNOWN_KEY, TableSpec, WarehouseModel
-from hoarfrost.operators.joins import BroadcastBudget, broadcast_bytes, fits_broadcast, orphans, pieces_of, sized_join
+from hoarfrost.operators.joins import BroadcastBudget, broadcast_bytes, fits_broadcast, pieces_of, sized_join
 from hoarfrost.session import materialise
 
 # Parts of a column name that mark a measure which must not be negative.
@@ -86,39 +87,51 @@ def profile(df: DataFrame, spec: TableSpec, extra: list[Rule] | None = None) ->
 
 
 def orphan_checks(
-    df: DataFrame, table: str, parents: dict[str, tuple[DataFrame, str]], exempt_unknown: bool = True
+    df: DataFrame, table: str, parents: dict[str, tuple[DataFrame, str]], exempt_unknown: bool = True, budget: BroadcastBudget | None = None
 ) -> DataFrame:
-    """Rows per foreign key whose parent is missing.
+    """Rows per foreign key whose parent is missing, in one pass over the table.
 
-    Small parents are all looked up in one pass over the table, as many as the plan's budget holds,
-    the smallest first. For the others the table is first reduced to one row per distinct key.
+    Small parents are looked up row by row, if the plan's budget holds them all. Otherwise the rows and
+    the parents are counted together by key.
     """
-    budget = BroadcastBudget()
-    sized = sorted(parents.items(), key=lambda p: broadcast_bytes(p[1][0].select(p[1][1])))
-    fitting = {fk for fk, (parent, key) in sized if fits_broadcast(parent.select(key)) and budget.take(broadcast_bytes(parent.select(key)))}
-    small = {fk: p for fk, p in parents.items() if fk in fitting}
-    parts = []
-    if small:
-        probe = df.select(*small)
-        rules = []
-        for n, (fk, (parent, key)) in enumerate(small.items()):
-            present = parent.select(F.col(key).alias("__k"), F.lit(True).alias(f"__has{n}"))
-            probe = sized_join(probe, present, {fk: "__k"}, "left")
-            missing = F.col(fk).isNotNull() & F.col(f"__has{n}").isNull()
-            if exempt_unknown:
-                missing = missing & (F.col(fk) != UNKNOWN_KEY)
-            rules.append((f"Orphan FK {fk}", missing))
-        parts.append(one_pass(probe, table, rules))
-    for fk, (parent, key) in parents.items():
-        if fk not in small:
-            lost = orphans(df, parent, fk, key, exempt_unknown)
-            failed = lost.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n")).scalar()
-            parts.append(
-                df.agg(F.count("*").alias("checked")).select(
-                    F.lit(f"Orphan FK {fk}").alias("rule"), F.lit(table).alias("table"), "checked", failed.alias("failed")
-                )
-            )
-    return reduce(DataFrame.unionByName, parts)
+    budget = BroadcastBudget() if budget is None else budget
+    present = [parent.select(F.col(key).alias("__k"), F.lit(True).alias(f"__has{n}")) for n, (parent, key) in enumerate(parents.values())]
+    if not all(fits_broadcast(p) for p in present) or not budget.take(sum(broadcast_bytes(p) for p in present)):
+        return _counted_orphans(df, table, parents, exempt_unknown)
+    probe, rules = df.select(*parents), []
+    for n, fk in enumerate(parents):
+        probe = sized_join(probe, present[n], {fk: "__k"}, "left")
+        missing = F.col(fk).isNotNull() & F.col(f"__has{n}").isNull()
+        if exempt_unknown:
+            missing = missing & (F.col(fk) != UNKNOWN_KEY)
+        rules.append((f"Orphan FK {fk}", missing))
+    return one_pass(probe, table, rules)
+
+
+def _counted_orphans(df: DataFrame, table: str, parents: dict[str, tuple[DataFrame, str]], exempt_unknown: bool) -> DataFrame:
+    """Orphans of any number of large parents: one row per key and foreign key is left before the shuffle,
+    whatever the table's size and skew, and nothing is broadcast."""
+    types = [f.dataType for fk, (parent, key) in parents.items() for f in (df.schema[fk], parent.schema[key])]
+    kind = "bigint" if all(isinstance(t, IntegralType) for t in types) else "string"
+    # No. of the foreign key, key, rows that carry it, whether the parent has it.
+    used = F.explode(F.array(*[F.struct(F.lit(n).alias("fk"), F.col(fk).cast(kind).alias("key")) for n, fk in enumerate(parents)]))
+    sides = [df.select(used.alias("k")).select("k.*", F.lit(1).cast("bigint").alias("n"), F.lit(False).alias("known"))] + [
+        parent.select(F.lit(n).alias("fk"), F.col(key).cast(kind).alias("key"), F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("known"))
+        for n, (parent, key) in enumerate(parents.values())
+    ]
+    met = reduce(DataFrame.unionByName, sides).groupBy("fk", "key").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+    missing = F.col("key").isNotNull() & ~F.col("known")
+    if exempt_unknown:
+        missing = missing & (F.col("key") != F.lit(UNKNOWN_KEY).cast(kind))
+    count_of = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+    totals = met.agg(*[c for n in range(len(parents)) for c in (
+        count_of(F.col("fk") == n).alias(f"c{n}"), count_of((F.col("fk") == n) & missing).alias(f"f{n}")
+    )])
+    rows = F.array(*[
+        F.struct(F.lit(f"Orphan FK {fk}").alias("rule"), F.lit(table).alias("table"), F.col(f"c{n}").alias("checked"), F.col(f"f{n}").alias("failed"))
+        for n, fk in enumerate(parents)
+    ])
+    return totals.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def spark_of(tables: dict[str, DataFrame]) -> SparkSession:
@@ -126,8 +139,8 @@ def spark_of(tables: dict[str, DataFrame]) -> SparkSession:
 
 
 def foreign_key_checks(model: WarehouseModel, tables: dict[str, DataFrame], kinds: tuple[str, ...], exempt_unknown: bool) -> DataFrame:
-    """Orphan checks for every declared foreign key of the tables present."""
-    parts = []
+    """Orphan checks for every declared foreign key of the tables present, in one plan with one budget."""
+    parts, budget = [], BroadcastBudget()
     for spec in model.of_kind(*kinds):
         if spec.name not in tables:
             continue
@@ -138,7 +151,7 @@ def foreign_key_checks(model: WarehouseModel, tables: dict[str, DataFrame], kind
             if e.parent in tables and e.column in df.columns
         }
         if parents:
-            parts.append(orphan_checks(df, f"{spec.schema}.{spec.name}", parents, exempt_unknown))
+            parts.append(orphan_checks(df, f"{spec.schema}.{spec.name}", parents, exempt_unknown, budget))
     if not parts:  # no table of these kinds has data yet
         return spark_of(tables).createDataFrame([], "rule string, `table` string, checked bigint, failed bigint")
     return reduce(DataFrame.unionByName, parts)

@@ -22,6 +22,35 @@ def test_small_and_large_parents_find_the_same_orphans(spark, monkeypatch):
     ]
 
 
+def test_large_parents_are_counted_in_one_pass_and_not_broadcast(spark, monkeypatch):
+    fact = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (-1, "a"), (None, None)], "AKey int, BKey string")
+    parents = {
+        "AKey": (spark.createDataFrame([(1,), (1,), (None,)], "AKey bigint"), "AKey"),  # a key that repeats
+        "BKey": (spark.createDataFrame([("a",), ("b",)], "BKey string"), "BKey"),
+    }
+    none = spark.createDataFrame([], "AKey int, BKey string")
+    monkeypatch.setattr(jn, "BROADCAST_LIMIT", 0)
+    for exempt, lost in ((True, 1), (False, 2)):
+        checks = dq.orphan_checks(fact, "fact.T", parents, exempt)
+        assert rows(checks) == [("Orphan FK AKey", "fact.T", 5, lost), ("Orphan FK BKey", "fact.T", 5, 1)]
+    assert "Join" not in checks._jdf.queryExecution().optimizedPlan().toString()
+    empty = {fk: (parent.limit(0), key) for fk, (parent, key) in parents.items()}
+    assert rows(dq.orphan_checks(none, "fact.T", empty)) == [("Orphan FK AKey", "fact.T", 0, 0), ("Orphan FK BKey", "fact.T", 0, 0)]
+
+
+def test_the_checks_of_all_tables_share_one_budget(spark, monkeypatch):
+    """Two tables with a parent each, where one plan may broadcast one such parent."""
+    wh = trade.trade_warehouse(spark, "/root/testdata/sf0.001")
+    tables = {name: wh[name] for name in ("Nation", "Customer", "Supplier")}
+    expected = rows(dq.foreign_key_checks(trade.MODEL, tables, ("dim",), True))
+    one = jn.broadcast_bytes(tables["Nation"].select("NationKey"))
+    monkeypatch.setattr(jn, "BROADCAST_LIMIT", 1.5 * one)
+    monkeypatch.setattr(jn, "BROADCAST_SIDES", 1)
+    checks = dq.foreign_key_checks(trade.MODEL, tables, ("dim",), True)
+    assert checks._jdf.queryExecution().analyzed().toString().count("strategy=broadcast") == 1
+    assert rows(checks) == expected
+
+
 def test_profile_is_one_aggregate(spark):
     spec = MODEL["ProductionOrder"]
     df = spark.createDataFrame([], spec.schema_type())
