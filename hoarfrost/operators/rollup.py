@@ -82,7 +82,9 @@ def _branch(tables: dict[str, DataFrame], path: list[Edge], column: str, label:
         last = level == len(path) - 1
         value = F.col(column).alias(label) if last else F.col(path[level + 1].column).alias(f"__up{level}")
         frames.append(tables[edge.parent].select(F.col(edge.parent_key).alias("__key"), value))
-    return climb(frames[0], [(f"__up{level}", frame, "__key") for level, frame in enumerate(frames[1:])], budget)
+    ups = [f"__up{level}" for level in range(len(frames) - 1)]
+    # The pointers of one branch would be ambiguous beside those of the next.
+    return climb(frames[0], [(up, frame, "__key") for up, frame in zip(ups, frames[1:])], budget).drop(*ups)
 
 
 def _totals(aggs: list[tuple[str, str]]) -> tuple[list[Column], list[str]]:

@@ -202,3 +202,11 @@ def test_a_side_over_the_limit_is_not_broadcast_by_the_planner_either(spark, tmp
         assert joined.count() == 10
         joined.collect()
         assert plan(joined).count("BroadcastExchange") == 2
+
+
+@pytest.mark.parametrize("name", ["ah_rollup", "ah_top_measure", "ah_distinct", "jn_star", "dq_fk_revalidate"])
+def test_queries_hold_beyond_the_broadcast_limit(spark, monkeypatch, name):
+    run = lambda: sorted(map(str, entry.queries()[name](spark, FOLDER).collect()))
+    expected = run()
+    monkeypatch.setattr(jn, "BROADCAST_LIMIT", 0)
+    assert run() == expected
